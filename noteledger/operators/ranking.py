@@ -70,3 +70,27 @@ def unit_bucket(score: str, buckets: int = 4096) -> Column:
     """Bucket of a value in [0, 1] (values outside are clamped)."""
     s = F.col(score)
     return F.greatest(F.lit(0), F.least(F.floor(s * buckets), F.lit(buckets - 1))).cast("int")
+
+
+def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
+    """0-based position of each row in the frame's current order (file order
+    for a plain scan), without moving all rows into one task.
+
+    Per-partition counts (one row per partition) give offsets; the position
+    inside a partition comes from ``monotonically_increasing_id``. The frame
+    is checkpointed first so both uses see the same partitioning, also after
+    an executor loss.
+    """
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    m = df.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    part = F.shiftright(F.col("_mid"), 33)
+    counts = m.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition: a bounded table, safe to broadcast
+    offsets = F.broadcast(counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    local = F.col("_mid") - F.shiftleft(F.col("_p"), 33)
+    return (m.withColumn("_p", part).join(offsets, "_p")
+            .withColumn(out, F.col("_off") + local)
+            .drop("_p", "_off", "_mid"))
