@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import parse_code_set, raw_code_pieces
+from ..functions.generators import explode_rows
 from ..functions.patterns import CODE_STRICT
 from .ranking import exact_rank
 
@@ -29,7 +30,7 @@ def code_dictionary(df: DataFrame, codes: str = "codes", raw: bool = False,
     no label column is permanently zero.
     """
     pieces = raw_code_pieces(codes) if raw else parse_code_set(codes, pattern)
-    distinct = df.select(F.explode(pieces).alias("code")).distinct()
+    distinct = explode_rows(df, pieces, "code").distinct()
     ranked = exact_rank(distinct, "code", "code", prefix_len=1, out="_r")
     return ranked.select("code", (F.col("_r") - 1).alias("code_index"))
 
@@ -44,7 +45,7 @@ def _checked(dictionary: DataFrame, limit: int) -> int:
 def label_pairs(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str = "codes",
                 pattern: str = CODE_STRICT) -> DataFrame:
     """Sparse label matrix: (id, code, code_index) for every positive cell."""
-    exploded = df.select(id_col, F.explode(F.array_distinct(parse_code_set(codes, pattern))).alias("code"))
+    exploded = explode_rows(df, F.array_distinct(parse_code_set(codes, pattern)), "code", [id_col])
     n = dictionary.count()
     dict_side = F.broadcast(dictionary) if n <= MAX_BROADCAST_LABELS else dictionary
     return exploded.join(dict_side, "code").select(id_col, "code", "code_index")
@@ -79,7 +80,7 @@ def one_hot_labels(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str
 def label_union(df: DataFrame, split: str = "split", codes: str = "codes",
                 pattern: str = CODE_STRICT) -> DataFrame:
     """Sorted distinct codes over the union of the per-split code sets."""
-    per_split = df.select(split, F.explode(parse_code_set(codes, pattern)).alias("code")).distinct()
+    per_split = explode_rows(df, parse_code_set(codes, pattern), "code", [split]).distinct()
     parts = [per_split.where(F.col(split) == s).select("code") for s in ("train", "validation", "test")]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.distinct().orderBy("code")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.generators import explode_rows
 from .ranking import running_totals, unit_bucket
 
 
@@ -28,7 +29,7 @@ def _div(a: Column, b: Column) -> Column:
 def to_long(wide: DataFrame, row: str = "row_id", scores: str = "scores", truth: str = "y_true",
             codes: list[str] | None = None) -> DataFrame:
     z = F.arrays_zip(F.col(scores).alias("score"), F.col(truth).alias("y"))
-    out = wide.select(row, F.posexplode(z).alias("label", "p")).select(
+    out = explode_rows(wide, z, "p", [row], pos="label").select(
         row, "label", F.col("p.score").alias("score"), F.col("p.y").alias("y_true"))
     if codes:
         names = F.array(*[F.lit(c) for c in codes])
@@ -135,7 +136,7 @@ def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 4096) ->
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                   F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return agg.select(_r(F.try_divide(F.col("_u"), F.col("_p") * F.col("_n"))).alias("roc_auc_micro"),
+    return agg.select(_r(F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_n"))).alias("roc_auc_micro"),
                       F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 
@@ -159,7 +160,7 @@ def roc_auc_by_label(long: DataFrame, label: str = "label", score: str = "score"
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(label).agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                                  F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return agg.select(label, _r(F.try_divide(F.col("_u"), F.col("_p") * F.col("_n"))).alias("roc_auc"))
+    return agg.select(label, _r(F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_n"))).alias("roc_auc"))
 
 
 def sparse_micro(truth_pairs: DataFrame, pred_pairs: DataFrame, n_rows, n_labels,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import all_codes_valid, code_pieces
+from ..functions.generators import explode_rows
 from ..functions.patterns import AGE_BUCKETS, CODE_STRICT, SEVERITY_BUCKETS, STAY_BUCKETS
 from ..functions.rules import RecordColumns, Rules
 
@@ -170,7 +171,7 @@ def category_distribution(df: DataFrame, column: str, section: str, name: str |
 
 def code_counts(df: DataFrame, codes: str = "codes") -> DataFrame:
     """(code, count) over all pieces of all code sets."""
-    return (df.select(F.explode(code_pieces(codes)).alias("code"))
+    return (explode_rows(df, code_pieces(codes), "code")
             .groupBy("code").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -303,7 +304,7 @@ def split_statistics(df: DataFrame, split: str = "split", age: str = "age",
         F.avg(age).alias("_age"),
         F.sum(F.size(pieces)).alias("_codes"),
     )
-    distinct_codes = (df.select(split, F.explode(pieces).alias("code")).distinct()
+    distinct_codes = (explode_rows(df, pieces, "code", [split]).distinct()
                       .groupBy(split).agg(F.count(F.lit(1)).alias("unique_codes")))
     total = per.select(F.sum("records")).scalar()
     return (per.join(distinct_codes, split, "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.generators import explode_rows
 from ..functions.patterns import CONFIDENCE_LEVELS
 from ..functions.text import preview
 from .reports import percent
@@ -39,7 +40,7 @@ def top_k(wide: DataFrame, codes: list[str], k: int = 3, threshold: float = 0.5,
           inclusive: bool = True, row: str = "row_id", scores: str = "scores") -> DataFrame:
     """Always k labels per row, each flagged whether it clears the threshold."""
     top = F.slice(ranked_labels(scores, codes), 1, k)
-    return (wide.select(row, F.posexplode(top).alias("pos", "t"))
+    return (explode_rows(wide, top, "t", [row], pos="pos")
             .select(row, (F.col("pos") + 1).alias("rank"), F.col("t.label").alias("label"),
                     F.col("t.code").alias("code"), F.col("t.score").alias("score"),
                     above(F.col("t.score"), threshold, inclusive).alias("above_threshold")))

@@ -25,7 +25,7 @@ from ..operators import scoring as S
 from ..operators import split as SP
 from ..operators import vectorize as V
 from ..sources import roles
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 RECORD_COLS = RecordColumns(id="record_id", age="age", gender="category", text="note", code="code", stay="stay")
 
@@ -50,7 +50,8 @@ THRESHOLD = 0.5
 
 
 def _docs(spark, d):
-    return read_table(spark, d, "documents")
+    # text operators are CPU-bound: use all cores even on a narrow input
+    return spread(read_table(spark, d, "documents"), "doc_id")
 
 
 # -- reports ----------------------------------------------------------------

@@ -20,3 +20,18 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when it has fewer partitions than
+    the cluster's default parallelism.
+
+    CPU-heavy row work (regexes over long texts) should use every core. A
+    large input already arrives in many splits and is left alone (no extra
+    shuffle); a narrow one (a single file or row group) is spread out first.
+    Only the plan is inspected; no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
