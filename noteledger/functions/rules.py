@@ -27,6 +27,9 @@ class RecordColumns:
     code: str = "icd10_code"
     stay: str = "length_of_stay"
     severity: str = "severity_score"
+    # optional precomputed length(trim(text)); lets a role shuffle an int
+    # instead of the text when only the length rules are evaluated
+    text_length: str | None = None
     code_pattern: str = CODE_REPORT
     min_text_length: int = 10
     min_age: int = 0
@@ -49,7 +52,8 @@ class Rules:
         self.id = F.col(c.id)
         self.age_int = F.col(c.age).try_cast("int")
         self.stay_int = F.col(c.stay).try_cast("int")
-        self.text_len = F.length(F.trim(F.col(c.text)))
+        self.text_len = F.col(c.text_length) if c.text_length else F.length(F.trim(F.col(c.text)))
+        self.text_present = F.col(c.text_length or c.text).isNotNull()
         self.code = F.col(c.code)
 
     # validity predicates
@@ -72,7 +76,7 @@ class Rules:
         c = self.cols
         parts = [
             F.col(c.id).isNotNull(),
-            F.col(c.text).isNotNull(),
+            self.text_present,
             F.col(c.code).isNotNull(),
             self.age_valid(),
             self.stay_valid(),
@@ -113,10 +117,18 @@ class Rules:
         return reduce(lambda a, b: a | b, [r.invalid for r in rules])
 
 
-def input_errors(text, age=None, min_length: int = 10, min_age: int = 0, max_age: int = 120) -> Column:
-    """List of validation messages for one scoring input (empty when fine)."""
-    t = F.col(text) if isinstance(text, str) else text
-    short = t.isNull() | (F.length(strip_ws(t)) < min_length)
+def input_errors(text, age=None, min_length: int = 10, min_age: int = 0, max_age: int = 120,
+                 stripped_length=None) -> Column:
+    """List of validation messages for one scoring input (empty when fine).
+
+    ``stripped_length`` may give a precomputed length(strip(text)) (NULL for
+    a NULL text) in place of ``text``."""
+    if stripped_length is not None:
+        n = F.col(stripped_length) if isinstance(stripped_length, str) else stripped_length
+        short = n.isNull() | (n < min_length)
+    else:
+        t = F.col(text) if isinstance(text, str) else text
+        short = t.isNull() | (F.length(strip_ws(t)) < min_length)
     msgs = [F.when(short, F.lit(MSG_SHORT_TEXT))]
     if age is not None:
         a = F.col(age) if isinstance(age, str) else age

@@ -1,8 +1,8 @@
 """Code dictionaries and label matrices.
 
-The dictionary is the label space, so it is small by construction; its size
-is checked before it is broadcast or inlined into rows, and a shuffle join
-is used beyond the bound. Label matrices are kept sparse (positive pairs
+The dictionary is the label space, so it is small by construction; joins
+against it are left to AQE, which broadcasts it only when its measured size
+is under the threshold, and the dense width is checked in the query. Label matrices are kept sparse (positive pairs
 only); the dense 0/1 array is built per row from the dictionary array only
 when asked for.
 """
@@ -17,7 +17,6 @@ from ..functions.generators import explode_rows
 from ..functions.patterns import CODE_STRICT
 from .ranking import exact_rank
 
-MAX_BROADCAST_LABELS = 1_000_000
 MAX_DENSE_LABELS = 100_000
 
 
@@ -35,20 +34,16 @@ def code_dictionary(df: DataFrame, codes: str = "codes", raw: bool = False,
     return ranked.select("code", (F.col("_r") - 1).alias("code_index"))
 
 
-def _checked(dictionary: DataFrame, limit: int) -> int:
-    n = dictionary.count()
-    if n > limit:
-        raise ValueError(f"label dictionary has {n} codes, above the bound {limit}")
-    return n
-
-
 def label_pairs(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str = "codes",
                 pattern: str = CODE_STRICT) -> DataFrame:
-    """Sparse label matrix: (id, code, code_index) for every positive cell."""
+    """Sparse label matrix: (id, code, code_index) for every positive cell.
+
+    No broadcast hint: AQE measures the materialized dictionary at run time
+    and broadcasts it when it is under the broadcast threshold, and keeps a
+    sort-merge join otherwise.
+    """
     exploded = explode_rows(df, F.array_distinct(parse_code_set(codes, pattern)), "code", [id_col])
-    n = dictionary.count()
-    dict_side = F.broadcast(dictionary) if n <= MAX_BROADCAST_LABELS else dictionary
-    return exploded.join(dict_side, "code").select(id_col, "code", "code_index")
+    return exploded.join(dictionary, "code").select(id_col, "code", "code_index")
 
 
 def dictionary_array(dictionary: DataFrame):
@@ -62,19 +57,22 @@ def one_hot_labels(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str
     """Dense 0/1 label array per row, in dictionary order.
 
     Built from the sparse pairs: the index set of each row (bounded by the
-    label count) is expanded against 0..n-1, n being the checked dictionary
-    size.
+    label count) is expanded against 0..n-1. n, the dictionary size, is a
+    scalar subquery; above ``max_labels`` the query fails instead of
+    building rows that wide (use :func:`label_pairs` then).
     """
-    n = _checked(dictionary, max_labels)
+    n = dictionary.select(F.count(F.lit(1))).scalar()
+    width = F.when(n > max_labels, F.raise_error(F.lit(f"label dictionary above {max_labels} codes"))) \
+        .otherwise(n).cast("bigint")
     pairs = label_pairs(df, dictionary, id_col, codes, pattern)
     idx = pairs.groupBy(id_col).agg(F.collect_set("code_index").alias("_idx"))
     base = df.select(id_col).join(idx, id_col, "left")
-    if n == 0:
-        return base.select(id_col, F.array().cast("array<int>").alias("labels"))
+    seq = F.when(width > 0, F.sequence(F.lit(0).cast("bigint"), width - 1)).otherwise(
+        F.array().cast("array<bigint>"))
     have = F.coalesce(F.col("_idx"), F.array().cast("array<bigint>"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                        lambda i: F.array_contains(have, i.cast("bigint")).cast("int"))
-    return base.select(id_col, dense.alias("labels"))
+    with_seq = base.select(id_col, have.alias("_have"), seq.alias("_seq"))
+    dense = F.transform("_seq", lambda i: F.array_contains(F.col("_have"), i).cast("int"))
+    return with_seq.select(id_col, dense.alias("labels"))
 
 
 def label_union(df: DataFrame, split: str = "split", codes: str = "codes",

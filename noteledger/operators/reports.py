@@ -79,13 +79,16 @@ def _metric_rows(agg: DataFrame, names: list[str], category: str) -> DataFrame:
     )
 
 
-def missing_values(df: DataFrame, columns: list[str], category: str = "Missing Values") -> DataFrame:
-    """Per column: number and percent of NULLs, from a single aggregation."""
+def missing_values(df: DataFrame, columns, category: str = "Missing Values") -> DataFrame:
+    """Per column: number and percent of NULLs, from a single aggregation.
+    ``columns``: names, or {reported name: column} (e.g. a length column
+    that is NULL exactly when the text is)."""
+    cols = columns if isinstance(columns, dict) else {c: c for c in columns}
     agg = df.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(c) for c in columns],
+        *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(name) for name, c in cols.items()],
     )
-    return _metric_rows(agg, list(columns), category)
+    return _metric_rows(agg, list(cols), category)
 
 
 def rule_violations(df: DataFrame, cols: RecordColumns = RecordColumns(),
@@ -189,15 +192,24 @@ def _ranked_string(counts: DataFrame, key: str, n: int | None = None) -> Column:
     return src.select(s).scalar()
 
 
+def _note_length(note: str | None, note_length: str | None):
+    if note_length:
+        return F.col(note_length)
+    return F.length(F.col(note)) if note else None
+
+
 def dataset_metadata(df: DataFrame, codes: str = "codes", age: str = "age", gender: str = "gender",
-                     note: str | None = None, pattern: str = CODE_STRICT, top_n: int = 20) -> DataFrame:
+                     note: str | None = None, pattern: str = CODE_STRICT, top_n: int = 20,
+                     note_length: str | None = None) -> DataFrame:
     """One row: records, distinct codes, age range, gender counts, top codes,
-    and the three all-rows checks."""
+    and the three all-rows checks (``note_length``: a precomputed length,
+    NULL for a missing note, may replace ``note``)."""
     counts = code_counts(df, codes)
     genders = df.groupBy(F.col(gender).alias("g")).agg(F.count(F.lit(1)).alias("count"))
-    if note:
-        null_ok = F.bool_and(F.col(note).isNotNull())
-        empty_ok = F.bool_and(F.coalesce(F.length(F.col(note)) > 0, F.lit(False)))
+    n_len = _note_length(note, note_length)
+    if n_len is not None:
+        null_ok = F.bool_and(n_len.isNotNull())
+        empty_ok = F.bool_and(F.coalesce(n_len > 0, F.lit(False)))
     else:
         null_ok = empty_ok = F.lit(None).cast("boolean")
     agg = df.agg(
@@ -219,7 +231,8 @@ def dataset_metadata(df: DataFrame, codes: str = "codes", age: str = "age", gend
 
 
 def dataset_metrics(df: DataFrame, codes: str = "codes", age: str = "age", gender: str = "gender",
-                    note: str | None = None, pattern: str = CODE_STRICT, top_n: int = 5) -> DataFrame:
+                    note: str | None = None, pattern: str = CODE_STRICT, top_n: int = 5,
+                    note_length: str | None = None) -> DataFrame:
     """One row: average codes per record, age mean and sample std, gender
     balance (smallest / largest group), top codes, code diversity, 0/1 scores."""
     counts = code_counts(df, codes)
@@ -227,7 +240,8 @@ def dataset_metrics(df: DataFrame, codes: str = "codes", age: str = "age", gende
     n_codes = counts.select(F.sum("count")).scalar()
     n_distinct = counts.select(F.count(F.lit(1))).scalar()
     balance = genders.select(F.try_divide(F.min("count").cast("double"), F.max("count"))).scalar()
-    complete = F.bool_and(F.col(note).isNotNull()) if note else F.lit(True)
+    n_len = _note_length(note, note_length)
+    complete = F.bool_and(n_len.isNotNull()) if n_len is not None else F.lit(True)
     agg = df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.avg(age).alias("_age_mean"),
@@ -250,16 +264,18 @@ def dataset_metrics(df: DataFrame, codes: str = "codes", age: str = "age", gende
     )
 
 
-def profile(df: DataFrame, age: str = "age", gender: str = "gender", text: str = "note") -> DataFrame:
+def profile(df: DataFrame, age: str = "age", gender: str = "gender", text: str = "note",
+            text_length: str | None = None) -> DataFrame:
     """Ranges of a raw table: age, distinct genders, text length."""
+    n_len = F.col(text_length) if text_length else F.length(text)
     genders = df.select(F.col(gender).alias("g")).where(F.col("g").isNotNull()).distinct()
     gender_list = genders.select(F.array_join(F.array_sort(F.collect_list("g")), ",")).scalar()
     return df.agg(
         F.min(age).alias("min_age"),
         F.max(age).alias("max_age"),
         F.count_distinct(F.col(gender)).alias("n_genders"),
-        F.min(F.length(text)).alias("min_text_length"),
-        F.max(F.length(text)).alias("max_text_length"),
+        F.min(n_len).alias("min_text_length"),
+        F.max(n_len).alias("max_text_length"),
     ).select("*", F.lit(gender_list).alias("genders"))
 
 

@@ -28,6 +28,9 @@ from ..sources import roles
 from ..sources.tables import read_table, spread
 
 RECORD_COLS = RecordColumns(id="record_id", age="age", gender="category", text="note", code="code", stay="stay")
+# the same rules over the length-only role (no text in the shuffle)
+RECORD_LEN_COLS = RecordColumns(id="record_id", age="age", gender="category", text="note_len", code="code",
+                                stay="stay", text_length="note_len")
 
 # Lexicon groups for the input documents (four languages).
 DATA_LEXICON = {
@@ -56,21 +59,27 @@ def _docs(spark, d):
 
 # -- reports ----------------------------------------------------------------
 
+def _lengths(spark, d):
+    return roles.records(spark, d, text="length")
+
+
 def q_quality_summary(spark, d):
-    return R.quality_summary(roles.records(spark, d), RECORD_COLS)
+    return R.quality_summary(_lengths(spark, d), RECORD_LEN_COLS)
 
 
 def q_report_metadata(spark, d):
-    return R.report_metadata(roles.records(spark, d), RECORD_COLS)
+    return R.report_metadata(_lengths(spark, d), RECORD_LEN_COLS)
 
 
 def q_missing_values(spark, d):
-    cols = ["record_id", "age", "category", "note", "code", "stay", "quality", "toxic"]
-    return R.missing_values(roles.records(spark, d), cols)
+    cols = {c: c for c in ["record_id", "age", "category"]}
+    cols["note"] = "note_chars"  # NULL exactly when the note is
+    cols.update({c: c for c in ["code", "stay", "quality", "toxic"]})
+    return R.missing_values(_lengths(spark, d), cols)
 
 
 def q_rule_violations(spark, d):
-    return R.rule_violations(roles.records(spark, d), RECORD_COLS)
+    return R.rule_violations(_lengths(spark, d), RECORD_LEN_COLS)
 
 
 def q_invalid_records(spark, d):
@@ -79,8 +88,8 @@ def q_invalid_records(spark, d):
 
 
 def q_validation_errors(spark, d):
-    rec = roles.records(spark, d)
-    errs = input_errors("note", "age")
+    rec = _lengths(spark, d)
+    errs = input_errors(None, "age", stripped_length="note_strip_len")
     return rec.select("record_id", F.size(errs).alias("n_errors"), F.array_join(errs, "; ").alias("errors"))
 
 
@@ -89,7 +98,7 @@ def q_category_distribution(spark, d):
 
 
 def q_prefix_distribution(spark, d):
-    return R.prefix_distribution(roles.records(spark, d), "code")
+    return R.prefix_distribution(_lengths(spark, d), "code")
 
 
 def q_age_buckets(spark, d):
@@ -106,15 +115,15 @@ def q_severity_buckets(spark, d):
 
 
 def q_dataset_metadata(spark, d):
-    return R.dataset_metadata(roles.visits(spark, d, with_note=True), note="note")
+    return R.dataset_metadata(roles.visits(spark, d, with_note=True), note_length="note_chars")
 
 
 def q_dataset_metrics(spark, d):
-    return R.dataset_metrics(roles.visits(spark, d, with_note=True), note="note")
+    return R.dataset_metrics(roles.visits(spark, d, with_note=True), note_length="note_chars")
 
 
 def q_profile(spark, d):
-    return R.profile(roles.records(spark, d), "age", "category", "note")
+    return R.profile(_lengths(spark, d), "age", "category", text_length="note_chars")
 
 
 def q_histogram_value(spark, d):
@@ -171,6 +180,38 @@ def q_preview(spark, d):
     return _docs(spark, d).select("doc_id", T.preview("text").alias("preview"))
 
 
+def q_feature_map(spark, d):
+    """Lexicon features as one map column (8 keys), then counts read back
+    from the map with a default of 0."""
+    docs = _docs(spark, d).select("doc_id", T.word_runs(T.clean_text("text")).alias("runs"))
+    counts = T.lexicon_counts(None, DATA_LEXICON, tokens="runs")
+    m = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), c)])
+    feats = docs.select("doc_id", m.alias("features"))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("features")),
+                                    lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",")
+    return feats.select("doc_id", text.alias("feature_map"),
+                        *[F.coalesce(F.col("features")[f"{k}_count"], F.lit(0)).alias(f"{k}_count")
+                          for k in DATA_LEXICON])
+
+
+def q_preprocess_metrics(spark, d):
+    """Input and output record counts, distinct codes, vocabulary size (the
+    real one) and the number of feature columns."""
+    docs = _docs(spark, d)
+    toks = V.token_frame(docs, "doc_id", "text")
+    vocab = V.term_df_idf(toks)
+    dictionary = L.code_dictionary(roles.visits(spark, d))
+    feature_cols = len(docs.columns) + 4  # cleaned text, features map, tokens, filtered tokens
+    return spark.range(1).select(
+        docs.select(F.count(F.lit(1))).scalar().alias("input_records"),
+        toks.select(F.count(F.lit(1))).scalar().alias("output_records"),
+        dictionary.select(F.count(F.lit(1))).scalar().alias("unique_icd10_codes"),
+        vocab.select(F.count(F.lit(1))).scalar().alias("vocabulary_size"),
+        F.lit(2).alias("min_document_frequency"),
+        F.lit(feature_cols).alias("feature_count"),
+    )
+
+
 # -- codes and labels -------------------------------------------------------
 
 def q_code_parse(spark, d):
@@ -232,6 +273,14 @@ def q_split_assign(spark, d):
     return SP.assign_split(_docs(spark, d).select("doc_id"), "doc_id").select("doc_id", "split")
 
 
+def q_split_metrics(spark, d):
+    s = SP.assign_split(_docs(spark, d).select("doc_id"), "doc_id")
+    agg = s.agg(F.count(F.lit(1)).alias("total_records"),
+                *[F.count_if(F.col("split") == k).alias(f"{k}_records") for k in ("train", "validation", "test")])
+    return agg.select("*", *[F.round(F.col(f"{k}_records") / F.col("total_records"), 6).alias(f"{k}_ratio")
+                             for k in ("train", "validation", "test")])
+
+
 def q_split_stats(spark, d):
     return R.split_statistics(SP.assign_split(roles.visits(spark, d), "record_id"))
 
@@ -338,6 +387,34 @@ def q_sparse_micro(spark, d):
     return M.sparse_micro(truth, pred, n_rows, N_LABELS)
 
 
+def q_evaluation_report(spark, d):
+    """All evaluation metrics of the scored rows in one row."""
+    long = _long(spark, d)
+    el = M.element_metrics(long)
+    mi = M.micro_prf(long)
+    ma = M.macro_prf(long)
+    st = M.label_accuracy_stats(long)
+    auc = M.roc_auc_micro(long)
+    sub = M.subset_accuracy(_wide(spark, d), THRESHOLD)
+    cols = {
+        "overall_accuracy": sub.select("subset_accuracy"),
+        "element_accuracy": el.select("element_accuracy"),
+        "hamming_loss": el.select("hamming_loss"),
+        "precision_micro": mi.select("precision_micro"),
+        "recall_micro": mi.select("recall_micro"),
+        "f1_micro": mi.select("f1_micro"),
+        "precision_macro": ma.select("precision_macro"),
+        "recall_macro": ma.select("recall_macro"),
+        "f1_macro": ma.select("f1_macro"),
+        "per_label_accuracy_mean": st.select("per_label_accuracy_mean"),
+        "per_label_accuracy_std": st.select("per_label_accuracy_std"),
+        "per_label_accuracy_min": st.select("per_label_accuracy_min"),
+        "per_label_accuracy_max": st.select("per_label_accuracy_max"),
+        "roc_auc_micro": auc.select("roc_auc_micro"),
+    }
+    return spark.range(1).select(*[df.scalar().alias(k) for k, df in cols.items()])
+
+
 # -- run table ----------------------------------------------------------------
 
 def q_run_metrics_flat(spark, d):

@@ -654,3 +654,63 @@ FROM lp GROUP BY code HAVING SUM(y_true) > 0 ORDER BY key"""
 
 SQL["confidence_series"] = """SELECT CAST(ts AS DATE) AS day, ROUND(AVG(value), 6) AS avg_confidence, COUNT(*) AS n
 FROM events GROUP BY 1 ORDER BY 1"""
+
+# -- documents and runs (composite reports) ---------------------------------
+
+_FM_KEYS = sorted([f"{k}_{s}" for k in DATA_LEXICON for s in ("count", "present")])
+
+
+def _fm_expr(key: str) -> str:
+    group, kind = key.rsplit("_", 1)
+    n = f"len(list_filter(runs, lambda x: x IN {_in_list(DATA_LEXICON[group])}))"
+    return f"CAST({n} AS INTEGER)" if kind == "count" else f"CAST({n} > 0 AS INTEGER)"
+
+
+SQL["feature_map"] = (
+    "WITH r AS (SELECT doc_id, " + _runs + " AS runs FROM documents)\nSELECT doc_id, "
+    + " || ',' || ".join(f"'{k}:' || CAST({_fm_expr(k)} AS VARCHAR)" for k in _FM_KEYS) + " AS feature_map,\n  "
+    + ",\n  ".join(f"{_fm_expr(k + '_count')} AS {k}_count" for k in DATA_LEXICON)
+    + "\nFROM r")
+
+SQL["preprocess_metrics"] = f"""WITH {_VOCAB},
+{VISITS},
+{_DICT}
+SELECT (SELECT COUNT(*) FROM documents) AS input_records,
+  (SELECT COUNT(*) FROM tok) AS output_records,
+  (SELECT COUNT(*) FROM dict) AS unique_icd10_codes,
+  (SELECT COUNT(*) FROM vocab) AS vocabulary_size,
+  2 AS min_document_frequency,
+  9 AS feature_count"""
+
+SQL["split_metrics"] = f"""WITH {_split_case('documents', 'doc_id')},
+cnt AS (SELECT COUNT(*) AS total_records,
+        COUNT(*) FILTER (WHERE split = 'train') AS train_records,
+        COUNT(*) FILTER (WHERE split = 'validation') AS validation_records,
+        COUNT(*) FILTER (WHERE split = 'test') AS test_records FROM s)
+SELECT *, ROUND(train_records / total_records, 6) AS train_ratio,
+  ROUND(validation_records / total_records, 6) AS validation_ratio,
+  ROUND(test_records / total_records, 6) AS test_ratio
+FROM cnt"""
+
+
+def _sub(name: str, col: str) -> str:
+    return f"(SELECT {col} FROM ({SQL[name]}))"
+
+
+SQL["evaluation_report"] = "SELECT " + ",\n  ".join(
+    f"{_sub(q, c)} AS {a}" for q, c, a in [
+        ("subset_accuracy", "subset_accuracy", "overall_accuracy"),
+        ("hamming", "element_accuracy", "element_accuracy"),
+        ("hamming", "hamming_loss", "hamming_loss"),
+        ("micro_prf", "precision_micro", "precision_micro"),
+        ("micro_prf", "recall_micro", "recall_micro"),
+        ("micro_prf", "f1_micro", "f1_micro"),
+        ("macro_prf", "precision_macro", "precision_macro"),
+        ("macro_prf", "recall_macro", "recall_macro"),
+        ("macro_prf", "f1_macro", "f1_macro"),
+        ("label_accuracy_stats", "per_label_accuracy_mean", "per_label_accuracy_mean"),
+        ("label_accuracy_stats", "per_label_accuracy_std", "per_label_accuracy_std"),
+        ("label_accuracy_stats", "per_label_accuracy_min", "per_label_accuracy_min"),
+        ("label_accuracy_stats", "per_label_accuracy_max", "per_label_accuracy_max"),
+        ("roc_auc", "roc_auc_micro", "roc_auc_micro"),
+    ])

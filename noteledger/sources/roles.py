@@ -31,7 +31,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from ..functions.text import strip_ws
+from .tables import read_table, spread
 
 
 def part_code() -> Column:
@@ -48,11 +49,26 @@ def age_of_balance(c: str = "c_acctbal") -> Column:
     return F.floor(F.col(c) / 100).cast("int")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # All three joins are on the same key, so after the first join the
-    # documents side keeps its hash partitioning and only the other inputs
-    # are shuffled (AQE broadcasts them when they turn out small).
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+def records(spark: SparkSession, sf_dir: str, text: str = "full") -> DataFrame:
+    """``text="full"`` keeps the note; ``text="length"`` replaces it by the
+    lengths the rules need (note_len = length(trim), note_strip_len =
+    length(strip), note_chars = length), computed before the join so the
+    shuffle carries integers instead of texts.
+
+    All three joins are on the same key: the documents side is partitioned
+    by doc_id once (by ``spread`` when the scan is narrow, else by the first
+    join) and keeps that partitioning; only the other inputs are shuffled,
+    and AQE broadcasts them when they turn out small.
+    """
+    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id")
+    if text == "length":
+        t = F.col("text")
+        docs = docs.select("doc_id", "lang", F.length(F.trim(t)).alias("note_len"),
+                           F.length(strip_ws(t)).alias("note_strip_len"), F.length(t).alias("note_chars"))
+        text_cols = ["note_len", "note_strip_len", "note_chars"]
+    else:
+        docs = docs.select("doc_id", "text", "lang")
+        text_cols = [F.col("text").alias("note")]
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     part = read_table(spark, sf_dir, "part").select(
         F.col("p_partkey"), record_code().alias("code"), F.col("p_size").alias("stay"))
@@ -64,7 +80,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("record_id"),
         "age",
         F.col("lang").alias("category"),
-        F.col("text").alias("note"),
+        *text_cols,
         "code",
         "stay",
         "quality",
@@ -79,7 +95,9 @@ def code_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     the number of distinct codes, so a huge order cannot blow up one task.
     """
     part = read_table(spark, sf_dir, "part").select("p_partkey", part_code().alias("code"))
-    items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    # hash-partitioned by order key when the scan is narrow: the aggregation
+    # below then reuses that partitioning (no second shuffle)
+    items = spread(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
     return (items.join(part, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy("l_orderkey")
             .agg(F.array_join(F.array_sort(F.collect_set("code")), "|").alias("codes")))
@@ -100,9 +118,10 @@ def visits(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFra
         "codes",
     ]
     if with_note:
-        docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+        # only the note length crosses the shuffle (NULL when there is no note)
+        docs = read_table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("note_chars"))
         v = v.join(docs, F.col("o_orderkey") == F.col("doc_id"), "left")
-        cols.append(F.col("text").alias("note"))
+        cols.append("note_chars")
     return v.select(*cols)
 
 
