@@ -24,6 +24,7 @@ from ..operators import runs as H
 from ..operators import scoring as S
 from ..operators import split as SP
 from ..operators import vectorize as V
+from ..session import materialize
 from ..sources import roles
 from ..sources.tables import read_table, spread
 
@@ -114,12 +115,18 @@ def q_severity_buckets(spark, d):
     return R.severity_distribution(roles.severity(spark, d), "severity_score")
 
 
+def _visits(spark, d, with_note: bool = False):
+    """The visits role written once to the checkpoint folder, for queries
+    that read it in several branches (counts, groups, subqueries)."""
+    return materialize(roles.visits(spark, d, with_note=with_note))
+
+
 def q_dataset_metadata(spark, d):
-    return R.dataset_metadata(roles.visits(spark, d, with_note=True), note_length="note_chars")
+    return R.dataset_metadata(_visits(spark, d, with_note=True), note_length="note_chars")
 
 
 def q_dataset_metrics(spark, d):
-    return R.dataset_metrics(roles.visits(spark, d, with_note=True), note_length="note_chars")
+    return R.dataset_metrics(_visits(spark, d, with_note=True), note_length="note_chars")
 
 
 def q_profile(spark, d):
@@ -131,7 +138,7 @@ def q_histogram_value(spark, d):
 
 
 def q_histogram_codes(spark, d):
-    v = roles.visits(spark, d)
+    v = _visits(spark, d)
     return R.histogram(v, F.size(code_pieces("codes")), 10, "codes_per_record")
 
 
@@ -200,7 +207,7 @@ def q_preprocess_metrics(spark, d):
     docs = _docs(spark, d)
     toks = V.token_frame(docs, "doc_id", "text")
     vocab = V.term_df_idf(toks)
-    dictionary = L.code_dictionary(roles.visits(spark, d))
+    dictionary = L.code_dictionary(_visits(spark, d))
     feature_cols = len(docs.columns) + 4  # cleaned text, features map, tokens, filtered tokens
     return spark.range(1).select(
         docs.select(F.count(F.lit(1))).scalar().alias("input_records"),
@@ -230,19 +237,19 @@ def q_code_dictionary_raw(spark, d):
 
 
 def q_one_hot(spark, d):
-    v = roles.visits(spark, d)
-    oh = L.one_hot_labels(v, L.code_dictionary(v), "record_id")
+    v = _visits(spark, d)
+    oh = L.one_hot_labels(v, materialize(L.code_dictionary(v)), "record_id")
     return oh.select("record_id", F.aggregate("labels", F.lit(0), lambda a, x: a + x).alias("n_labels"),
                      F.array_join(F.transform("labels", lambda x: x.cast("string")), "").alias("one_hot"))
 
 
 def q_label_pairs(spark, d):
-    v = roles.visits(spark, d)
-    return L.label_pairs(v, L.code_dictionary(v), "record_id")
+    v = _visits(spark, d)
+    return L.label_pairs(v, materialize(L.code_dictionary(v)), "record_id")
 
 
 def q_label_union(spark, d):
-    v = SP.assign_split(roles.visits(spark, d), "record_id")
+    v = materialize(SP.assign_split(_visits(spark, d), "record_id"))
     return L.label_union(v)
 
 
@@ -282,7 +289,7 @@ def q_split_metrics(spark, d):
 
 
 def q_split_stats(spark, d):
-    return R.split_statistics(SP.assign_split(roles.visits(spark, d), "record_id"))
+    return R.split_statistics(materialize(SP.assign_split(_visits(spark, d), "record_id")))
 
 
 def q_sample_500(spark, d):
@@ -294,7 +301,7 @@ def q_kfold(spark, d):
 
 
 def q_strat_fold(spark, d):
-    v = roles.visits(spark, d).select("record_id", F.size(parse_code_set("codes")).alias("n_labels"))
+    v = materialize(roles.visits(spark, d).select("record_id", F.size(parse_code_set("codes")).alias("n_labels")))
     return SP.stratified_fold(v, "record_id", "n_labels", 5).select("record_id", "n_labels", "fold")
 
 

@@ -60,3 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialize(df):
+    """Write ``df`` to the checkpoint folder and read it back (eager).
+
+    Used where one plan would otherwise recompute the same joins several
+    times (a role read by several branches, a fitted dictionary); it also
+    cuts the lineage, so a lost executor does not replay the joins.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
