@@ -28,12 +28,14 @@ def seeded_hash(key, seed: int) -> Column:
 
 
 def exact_rank(df: DataFrame, hash_col: str, tie_col: str, partition_cols: list[str] | None = None,
-               prefix_len: int = 3, out: str = "rank") -> DataFrame:
+               prefix_len: int = 4, out: str = "rank") -> DataFrame:
     """1-based ``row_number() over (partition by P order by hash_col, tie_col)``.
 
-    ``hash_col`` must be a hex string (e.g. :func:`seeded_hash`), so its first
-    ``prefix_len`` characters are a bucket monotone in the order
-    (16**prefix_len buckets per partition group).
+    ``hash_col`` must be a string whose first ``prefix_len`` characters are a
+    bucket monotone in the order: a hex hash (:func:`seeded_hash`) gives
+    16**prefix_len evenly filled buckets. With the default 4 (65,536
+    buckets) a window partition holds about 1.5 million rows at 10**11 rows,
+    and the offset table stays about 1 MB.
     """
     parts = list(partition_cols or [])
     b = df.withColumn("_bucket", F.substring(F.col(hash_col), 1, prefix_len))

@@ -53,6 +53,11 @@ N_LABELS = 10
 THRESHOLD = 0.5
 
 
+def _ids(spark, d):
+    # id-only work is cheap per row: no spreading needed
+    return read_table(spark, d, "documents").select("doc_id")
+
+
 def _docs(spark, d):
     # text operators are CPU-bound: use all cores even on a narrow input
     return spread(read_table(spark, d, "documents"), "doc_id")
@@ -95,7 +100,7 @@ def q_validation_errors(spark, d):
 
 
 def q_category_distribution(spark, d):
-    return R.category_distribution(_docs(spark, d), "lang", "Language Distribution")
+    return R.category_distribution(read_table(spark, d, "documents"), "lang", "Language Distribution")
 
 
 def q_prefix_distribution(spark, d):
@@ -277,11 +282,11 @@ def q_tfidf_long(spark, d):
 # -- split, sample, folds ---------------------------------------------------
 
 def q_split_assign(spark, d):
-    return SP.assign_split(_docs(spark, d).select("doc_id"), "doc_id").select("doc_id", "split")
+    return SP.assign_split(_ids(spark, d), "doc_id").select("doc_id", "split")
 
 
 def q_split_metrics(spark, d):
-    s = SP.assign_split(_docs(spark, d).select("doc_id"), "doc_id")
+    s = SP.assign_split(_ids(spark, d), "doc_id")
     agg = s.agg(F.count(F.lit(1)).alias("total_records"),
                 *[F.count_if(F.col("split") == k).alias(f"{k}_records") for k in ("train", "validation", "test")])
     return agg.select("*", *[F.round(F.col(f"{k}_records") / F.col("total_records"), 6).alias(f"{k}_ratio")
@@ -293,11 +298,11 @@ def q_split_stats(spark, d):
 
 
 def q_sample_500(spark, d):
-    return SP.sample_rows(_docs(spark, d).select("doc_id"), "doc_id", 500)
+    return SP.sample_rows(_ids(spark, d), "doc_id", 500)
 
 
 def q_kfold(spark, d):
-    return SP.kfold(_docs(spark, d).select("doc_id"), "doc_id", 5)
+    return SP.kfold(_ids(spark, d), "doc_id", 5)
 
 
 def q_strat_fold(spark, d):
