@@ -183,13 +183,27 @@ def top_counts(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), key).limit(n)
 
 
+MAX_CATEGORIES = 10_000
+
+
+def _guard_categories(df: DataFrame, value: Column, limit: int = MAX_CATEGORIES) -> Column:
+    """``value`` if ``df`` has at most ``limit`` rows, else the query fails:
+    folding a high-cardinality column into one string would put an unbounded
+    group in one task (use :func:`distribution` for such columns)."""
+    n = df.select(F.count(F.lit(1))).scalar()
+    return F.when(n > limit, F.raise_error(F.lit(f"more than {limit} categories; use a distribution table"))) \
+        .otherwise(value)
+
+
 def _ranked_string(counts: DataFrame, key: str, n: int | None = None) -> Column:
-    """Scalar subquery: 'key:count, ...' ordered by count desc then key."""
+    """Scalar subquery: 'key:count, ...' ordered by count desc then key
+    (the top ``n``, or every group when at most MAX_CATEGORIES)."""
     src = top_counts(counts, key, n) if n else counts
     pairs = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("o"), F.col(key).alias("k"),
                                                  F.col("count").alias("c"))))
     s = F.array_join(F.transform(pairs, lambda p: F.concat(p["k"], F.lit(":"), p["c"].cast("string"))), ", ")
-    return src.select(s).scalar()
+    out = src.select(s).scalar()
+    return out if n else _guard_categories(counts, out)
 
 
 def _note_length(note: str | None, note_length: str | None):
@@ -269,7 +283,8 @@ def profile(df: DataFrame, age: str = "age", gender: str = "gender", text: str =
     """Ranges of a raw table: age, distinct genders, text length."""
     n_len = F.col(text_length) if text_length else F.length(text)
     genders = df.select(F.col(gender).alias("g")).where(F.col("g").isNotNull()).distinct()
-    gender_list = genders.select(F.array_join(F.array_sort(F.collect_list("g")), ",")).scalar()
+    gender_list = _guard_categories(
+        genders, genders.select(F.array_join(F.array_sort(F.collect_list("g")), ",")).scalar())
     return df.agg(
         F.min(age).alias("min_age"),
         F.max(age).alias("max_age"),
