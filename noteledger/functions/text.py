@@ -76,9 +76,11 @@ def lexicon_counts(clean, lexicon: dict[str, list[str]], tokens=None) -> dict[st
     return out
 
 
-def substring_presence(text, words: list[str]) -> Column:
-    """Number of distinct ``words`` that occur as substrings of lower(text)."""
-    low = F.lower(F.coalesce(col(text), F.lit("")))
+def substring_presence(text, words: list[str], lowered: bool = False) -> Column:
+    """Number of distinct ``words`` that occur as substrings of lower(text)
+    (``lowered=True``: the text is already lower-cased)."""
+    low = F.coalesce(col(text), F.lit(""))
+    low = low if lowered else F.lower(low)
     total = F.lit(0)
     for w in dict.fromkeys(words):
         total = total + (F.instr(low, w) > 0).cast("int")
@@ -96,17 +98,15 @@ def entity_pattern(phrases: list[str]) -> str:
     return "(?:^|" + NON_WORD + ")(" + alts + ")(?:" + NON_WORD + "|$)"
 
 
-def entities(text, phrases: list[str]) -> Column:
-    """Sorted distinct phrases found as whole words in lower(text).
+def doubled_text(text) -> Column:
+    """lower(text) with every non-word character doubled (see :func:`entities`);
+    compute it once when several phrase groups scan the same text."""
+    return F.regexp_replace(F.lower(F.coalesce(col(text), F.lit(""))), "(" + NON_WORD + ")", "$1$1")
 
-    Semantics of ``re.findall(r'\\b(p1|p2|...)\\b', text.lower())``: leftmost
-    match first, alternatives in list order, so an earlier multi-word phrase
-    hides the words inside it. Engines without look-around consume the
-    boundary character after a match; doubling every non-word character in
-    the text (and in the phrases) leaves one for the next match.
-    """
-    doubled = F.regexp_replace(F.lower(F.coalesce(col(text), F.lit(""))), "(" + NON_WORD + ")", "$1$1")
-    found = F.regexp_extract_all(doubled, F.lit(entity_pattern(phrases)), 1)
+
+def entities_in(doubled, phrases: list[str]) -> Column:
+    """:func:`entities` on a text already passed through :func:`doubled_text`."""
+    found = F.regexp_extract_all(col(doubled), F.lit(entity_pattern(phrases)), 1)
     seps = sorted({ch for p in phrases for ch in p if not re.match(r"\w", ch)})
 
     def undo(x):
@@ -117,6 +117,18 @@ def entities(text, phrases: list[str]) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, undo)))
 
 
+def entities(text, phrases: list[str]) -> Column:
+    """Sorted distinct phrases found as whole words in lower(text).
+
+    Semantics of ``re.findall(r'\\b(p1|p2|...)\\b', text.lower())``: leftmost
+    match first, alternatives in list order, so an earlier multi-word phrase
+    hides the words inside it. Engines without look-around consume the
+    boundary character after a match; doubling every non-word character in
+    the text (and in the phrases) leaves one for the next match.
+    """
+    return entities_in(doubled_text(text), phrases)
+
+
 def words(text) -> Column:
     """Python ``str.split()``: whitespace-separated words, no empties."""
     return F.filter(F.split(F.coalesce(col(text), F.lit("")), SPACE_RUN), lambda x: x != "")

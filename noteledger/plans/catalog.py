@@ -174,14 +174,15 @@ def q_lexicon_counts(spark, d):
 
 
 def q_lexicon_presence(spark, d):
-    docs = _docs(spark, d).select("doc_id", T.clean_text_app("text").alias("clean"))
-    return docs.select("doc_id", *[T.substring_presence("clean", w).alias(k.replace("_words", "_present"))
+    docs = _docs(spark, d).select("doc_id", F.lower(T.clean_text_app("text")).alias("low"))
+    return docs.select("doc_id", *[T.substring_presence("low", w, lowered=True).alias(k.replace("_words", "_present"))
                                    for k, w in DATA_LEXICON.items()])
 
 
 def q_entities(spark, d):
-    return _docs(spark, d).select("doc_id", *[F.array_join(T.entities("text", p), ", ").alias(k)
-                                              for k, p in DATA_PHRASES.items()])
+    docs = _docs(spark, d).select("doc_id", T.doubled_text("text").alias("doubled"))
+    return docs.select("doc_id", *[F.array_join(T.entities_in("doubled", p), ", ").alias(k)
+                                   for k, p in DATA_PHRASES.items()])
 
 
 def q_text_metrics(spark, d):
