@@ -186,10 +186,11 @@ def top_counts(counts: DataFrame, key: str, n: int) -> DataFrame:
 MAX_CATEGORIES = 10_000
 
 
-def _guard_categories(df: DataFrame, value: Column, limit: int = MAX_CATEGORIES) -> Column:
+def _guard_categories(df: DataFrame, value: Column, limit: int | None = None) -> Column:
     """``value`` if ``df`` has at most ``limit`` rows, else the query fails:
     folding a high-cardinality column into one string would put an unbounded
     group in one task (use :func:`distribution` for such columns)."""
+    limit = MAX_CATEGORIES if limit is None else limit
     n = df.select(F.count(F.lit(1))).scalar()
     return F.when(n > limit, F.raise_error(F.lit(f"more than {limit} categories; use a distribution table"))) \
         .otherwise(value)

@@ -73,3 +73,22 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Shuffle and scan sizing for a given input size and core count.
+
+    The initial shuffle partition count is high enough that each partition
+    holds about ``target_partition_bytes`` of input (and at least 2 waves of
+    tasks); AQE then coalesces small partitions and splits skewed ones, so
+    the number only needs the right order of magnitude.
+    """
+    by_size = -(-int(input_bytes) // target_partition_bytes)
+    partitions = max(2 * cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
