@@ -89,12 +89,12 @@ def _one_row(spark, cols: dict) -> DataFrame:
     return spark.range(1).select(*[c.alias(n) for n, c in cols.items()])
 
 
-def evaluate(scored: DataFrame, threshold: float = 0.5, row: str = "row_id") -> DataFrame:
+def evaluate(scored: DataFrame, threshold: float = 0.5, row: str = "row_id", truth: str = "y_true") -> DataFrame:
     """One row of the standard metrics of a scored frame."""
-    long = M.with_prediction(M.to_long(scored, row=row), threshold)
+    long = M.with_prediction(M.to_long(scored, row=row, truth=truth), threshold)
     el = M.element_metrics(long)
     mi = M.micro_prf(long)
-    su = M.subset_accuracy(scored, threshold)
+    su = M.subset_accuracy(scored, threshold, truth=truth)
     return _one_row(scored.sparkSession, {
         "element_accuracy": el.select("element_accuracy").scalar(),
         "hamming_loss": el.select("hamming_loss").scalar(),

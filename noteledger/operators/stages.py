@@ -96,3 +96,61 @@ def write_validation_reports(df: DataFrame, out_dir: str, cols: RecordColumns =
     for name, rep in reports.items():
         write_report_csv(rep, os.path.join(out_dir, name), single_file=(name != "invalid_records"))
     return list(reports)
+
+
+def model_features(df: DataFrame, text: str = "doctor_notes", age: str | None = "age",
+                   gender: str | None = "gender", vector: str = "tfidf_features", app: bool = False,
+                   out: str = "features") -> DataFrame:
+    """Text vector followed by the engineered block (training or app form)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from .features import ENGINEERED_NAMES, app_engineered_columns, engineered_columns
+
+    block = (app_engineered_columns if app else engineered_columns)(text, age, gender)
+    with_block = df.select("*", *block)
+    va = VectorAssembler(inputCols=[vector] + ENGINEERED_NAMES, outputCol=out)
+    return va.transform(with_block).drop(*ENGINEERED_NAMES)
+
+
+def train_and_evaluate(split_df: DataFrame, n_labels: int, id_col: str = "patient_id",
+                       truth: str = "icd10_onehot", kind: str = "gbt", threshold: float = 0.5,
+                       runs_path: str | None = None, run_id: str = "run", parallelism: int = 4, **params):
+    """Fit one model per label on train (+ validation rows for early stopping
+    with GBT), evaluate on test, optionally append params and metrics to the
+    run table. Returns (models, metrics row)."""
+    from . import models as MO
+    from . import runs as H
+
+    train = split_df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "validation")
+    if kind != "gbt":
+        train = train.where(F.col("split") == "train")
+    models = MO.fit_binary_relevance(train, n_labels, kind, truth=truth,
+                                     validation="is_val" if kind == "gbt" else None,
+                                     parallelism=parallelism, **params)
+    scored = materialize(MO.score(models, split_df.where(F.col("split") == "test")))
+    metrics = MO.evaluate(scored, threshold, id_col, truth)
+    if runs_path:
+        row = metrics.collect()[0].asDict()  # one row of a handful of numbers
+        H.append_runs(H.run_rows(split_df.sparkSession, run_id, {"classifier": kind, **params}, row), runs_path)
+    return models, metrics
+
+
+def score_uploads_table(uploads: DataFrame, pipeline_model, models: list, codes: list[str],
+                        text: str = "doctor_notes") -> DataFrame:
+    """The scoring-app batch flow: app cleaning, text vector from the fitted
+    feature pipeline, app engineered block, per-label probabilities, then the
+    batch table. A row without a note is kept with status 'Error'."""
+    from ..functions.text import clean_text_app
+    from . import models as MO
+    from .scoring import batch_scores
+
+    ok = uploads.where(F.col(text).isNotNull())
+    cleaned = ok.withColumn("cleaned_notes", clean_text_app(text))
+    vec = pipeline_model.transform(cleaned)
+    feats = model_features(vec, "cleaned_notes", "age", "gender", app=True)
+    scored = MO.score(models, feats)
+    good = batch_scores(scored, codes, row="patient_id", note=text)
+    bad = uploads.where(F.col(text).isNull()).select(
+        "patient_id", F.lit(None).cast("string").alias("doctor_notes"), F.lit("ERROR").alias("top_prediction"),
+        F.lit(0.0).alias("confidence"), F.lit("ERROR").alias("all_predictions"), F.lit("Error").alias("status"))
+    return good.unionByName(bad)

@@ -53,3 +53,30 @@ def test_write_validation_reports(spark):
     assert len(names) == 10
     summary = spark.read.option("header", True).csv(os.path.join(out, "validation_summary")).collect()[0]
     assert summary.fully_valid_records == "1" and summary.overall_quality_score == "50.0"
+
+
+def test_train_evaluate_log_and_score_uploads(spark):
+    import tempfile
+
+    from noteledger.operators import runs as H
+    from noteledger.operators import scoring as S
+
+    raw, d = _raw(spark)
+    feats, mapping, model, _ = ST.preprocess(raw, vocab_size=50, min_df=1)
+    feats = ST.model_features(feats)
+    split, _ = ST.split_and_write(feats, "patient_id")
+    runs = tempfile.mkdtemp(prefix="runs-", dir="/tmp") + "/runs"
+    models, metrics = ST.train_and_evaluate(split, 5, kind="lr", runs_path=runs, run_id="r1", maxIter=20)
+    m = metrics.collect()[0]
+    assert 0.0 <= m.element_accuracy <= 1.0
+    keys = {r.key for r in H.read_runs(spark, runs).collect()}
+    assert {"classifier", "f1_micro", "hamming_loss"} <= keys
+    up = spark.createDataFrame([("U1", "chest pain and nausea", 50, "M"), ("U2", None, 40, "F")],
+                               "patient_id string, doctor_notes string, age int, gender string")
+    codes = [r.icd10_code for r in mapping.orderBy("code_index").collect()]
+    table = {r.patient_id: r for r in ST.score_uploads_table(up, model, models, codes).collect()}
+    assert table["U1"].status == "Success" and table["U1"].top_prediction in codes
+    assert table["U1"].all_predictions.count(";") == 2
+    assert (table["U2"].status, table["U2"].top_prediction) == ("Error", "ERROR")
+    summary = S.batch_summary(ST.score_uploads_table(up, model, models, codes)).collect()[0]
+    assert summary.success_rate == 50.0
