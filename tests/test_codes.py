@@ -1,6 +1,5 @@
 """Code formats, code-set parsing, dictionaries and label matrices (FIXTURES.md section 3)."""
 
-from pyspark.sql import functions as F
 
 from noteledger.functions.codes import is_code, parse_code_set
 from noteledger.functions.patterns import CODE_REPORT

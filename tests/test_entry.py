@@ -1,6 +1,5 @@
 """Driver contract: entry, query registry, and every SQL twin against DuckDB (sf0.001)."""
 
-import math
 
 import duckdb
 import pytest

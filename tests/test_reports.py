@@ -2,7 +2,7 @@
 
 import pytest
 
-from noteledger.functions.rules import RecordColumns, Rules
+from noteledger.functions.rules import Rules
 from noteledger.operators import reports as R
 from noteledger.sources.files import VALIDATION_RECORDS
 

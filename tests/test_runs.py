@@ -2,7 +2,6 @@
 
 import tempfile
 
-from pyspark.sql import functions as F
 
 from noteledger.operators import runs as H
 

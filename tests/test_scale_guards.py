@@ -1,7 +1,6 @@
 """Scale guards: spreading narrow inputs only, bounds that fail loudly."""
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from noteledger.operators import labels as L

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from noteledger.operators import stages as ST
 from noteledger.sources import files as IO

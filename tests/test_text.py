@@ -1,6 +1,5 @@
 """Text expressions against the hand-computed rows of FIXTURES.md section 2."""
 
-from pyspark.sql import functions as F
 
 from noteledger.functions import text as T
 from noteledger.functions.patterns import APP_LEXICON, ENTITY_LEXICON, TRAINING_LEXICON
