@@ -174,13 +174,15 @@ def random_search(df: DataFrame, space: dict, trials: int, n_labels: int, kind:
     return out
 
 
-def feature_importance(models: list, names: list[str], spark, top: int | None = 20) -> DataFrame:
+def feature_importance(models: list, names: list[str], spark, top: int | None = 20,
+                       subset: list[str] | None = None) -> DataFrame:
     """Mean importance of each feature over the label models, ranked (one
-    value per feature: the table is as wide as the feature vector)."""
+    value per feature: the table is as wide as the feature vector).
+    ``subset``: only these features (e.g. the engineered block), all of them."""
     import numpy as np
 
     imps = np.mean([m.featureImportances.toArray() for m in models], axis=0)
-    rows = [(n, float(v)) for n, v in zip(names, imps)]
+    rows = [(n, float(v)) for n, v in zip(names, imps) if subset is None or n in subset]
     df = spark.createDataFrame(rows, "feature string, importance double")
     ranked = df.select("feature", F.round("importance", 6).alias("importance")).orderBy(
         F.desc("importance"), "feature")

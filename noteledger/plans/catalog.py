@@ -341,6 +341,13 @@ def q_batch_summary(spark, d):
     return S.batch_summary(S.batch_scores(_wide(spark, d), CODES))
 
 
+def q_top_predictions(spark, d):
+    """Top 10 predicted codes over the successfully scored rows."""
+    b = S.batch_scores(_wide(spark, d), CODES).where(F.col("status") == "Success")
+    counts = b.groupBy(F.col("top_prediction").alias("code")).agg(F.count(F.lit(1)).alias("count"))
+    return R.top_counts(counts, "code", 10)
+
+
 def q_category_counts(spark, d):
     top = S.top_k(_wide(spark, d), CODES, 3, THRESHOLD, inclusive=True)
     return S.category_counts(top, "code")

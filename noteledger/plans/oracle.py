@@ -515,6 +515,12 @@ SELECT COUNT(*) AS total_records,
     AS success_rate
 FROM batch"""
 
+SQL["top_predictions"] = f"""WITH {LONG},
+{_TOP3},
+{_BATCH}
+SELECT top_prediction AS code, COUNT(*) AS count FROM batch WHERE status = 'Success'
+GROUP BY 1 ORDER BY count DESC, code LIMIT 10"""
+
 SQL["category_counts"] = f"""WITH {LONG},
 {_TOP3}
 SELECT substr(code, 1, 1) AS category, COUNT(*) AS count FROM top3 GROUP BY 1 ORDER BY count DESC, category"""
