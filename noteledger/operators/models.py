@@ -29,7 +29,7 @@ LR_PARAMS = dict(maxIter=1000)
 
 
 def make_estimator(kind: str, features: str = "features", label: str = "label",
-                   validation: str | None = None, **overrides):
+                   validation: str | None = None, n_rows: int | None = None, **overrides):
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 
     if kind == "gbt":
@@ -43,7 +43,12 @@ def make_estimator(kind: str, features: str = "features", label: str = "label",
     if kind == "rf":
         return RandomForestClassifier(featuresCol=features, labelCol=label, **{**RF_PARAMS, **overrides})
     if kind == "lr":
-        return LogisticRegression(featuresCol=features, labelCol=label, **{**LR_PARAMS, **overrides})
+        params = {**LR_PARAMS, **overrides}
+        if "regParam" not in params and n_rows:
+            # the reference's default penalty (L2 with C = 1 on the summed
+            # loss) is regParam = 1 / n on Spark's averaged loss, unscaled
+            params.update(regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False)
+        return LogisticRegression(featuresCol=features, labelCol=label, **params)
     raise ValueError(f"unknown model kind {kind!r}")
 
 
@@ -58,8 +63,10 @@ def fit_binary_relevance(train: DataFrame, n_labels: int, kind: str = "gbt", fea
     cached = train.select(features, truth, *([validation] if validation else [])).persist(
         StorageLevel.MEMORY_AND_DISK)
     try:
+        n_rows = cached.count() if kind == "lr" else None  # also fills the cache once
+
         def fit(k):
-            est = make_estimator(kind, features, "label", validation, **overrides)
+            est = make_estimator(kind, features, "label", validation, n_rows, **overrides)
             return est.fit(label_frame(cached, truth, k))
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

@@ -75,10 +75,12 @@ def best_runs(runs: DataFrame, metric: str, k: int = 5) -> DataFrame:
             .select("run_id", F.lit(metric).alias("metric"), F.round("num", 6).alias("value")))
 
 
-def compare_runs(runs: DataFrame, run_ids: list[str], keys: list[str]) -> DataFrame:
-    """One row per run, one column per metric (explicit pivot values: no
-    extra job to discover them)."""
-    m = runs.where((F.col("kind") == "metric") & F.col("run_id").isin(list(run_ids)))
+def compare_runs(runs: DataFrame, run_ids: list[str] | None, keys: list[str]) -> DataFrame:
+    """One row per run (the given ones, or all), one column per metric
+    (explicit pivot values: no extra job to discover them)."""
+    m = runs.where(F.col("kind") == "metric")
+    if run_ids is not None:
+        m = m.where(F.col("run_id").isin(list(run_ids)))
     p = m.groupBy("run_id").pivot("key", list(keys)).agg(F.first("num"))
     return p.select("run_id", *[F.round(F.col(k), 6).alias(k) for k in keys]).orderBy("run_id")
 

@@ -447,7 +447,7 @@ def q_best_run(spark, d):
 
 def q_compare_runs(spark, d):
     runs = H.source_runs(spark, d)
-    return H.compare_runs(runs, ["src0", "src1", "src2"], ["records", "mean_chars", "quality_rate", "toxic_rate"])
+    return H.compare_runs(runs, None, ["records", "mean_chars", "quality_rate", "toxic_rate"])
 
 
 def q_label_metrics(spark, d):
