@@ -56,17 +56,19 @@ def one_hot_labels(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str
                    pattern: str = CODE_STRICT, max_labels: int = MAX_DENSE_LABELS) -> DataFrame:
     """Dense 0/1 label array per row, in dictionary order.
 
-    Built from the sparse pairs: the index set of each row (bounded by the
-    label count) is expanded against 0..n-1. n, the dictionary size, is a
+    The index set of each row (its codes joined to the dictionary, bounded
+    by the label count) is expanded against 0..n-1. n, the dictionary size, is a
     scalar subquery; above ``max_labels`` the query fails instead of
     building rows that wide (use :func:`label_pairs` then).
     """
     n = dictionary.select(F.count(F.lit(1))).scalar()
     width = F.when(n > max_labels, F.raise_error(F.lit(f"label dictionary above {max_labels} codes"))) \
         .otherwise(n).cast("bigint")
-    pairs = label_pairs(df, dictionary, id_col, codes, pattern)
-    idx = pairs.groupBy(id_col).agg(F.collect_set("code_index").alias("_idx"))
-    base = df.select(id_col).join(idx, id_col, "left")
+    # an outer explode keeps records without codes (one NULL code row), so
+    # every record reaches the aggregation and no join back is needed
+    exploded = df.select(id_col, F.explode_outer(F.array_distinct(parse_code_set(codes, pattern))).alias("code"))
+    idx = exploded.join(dictionary, "code", "left").groupBy(id_col).agg(F.collect_set("code_index").alias("_idx"))
+    base = idx
     seq = F.when(width > 0, F.sequence(F.lit(0).cast("bigint"), width - 1)).otherwise(
         F.array().cast("array<bigint>"))
     have = F.coalesce(F.col("_idx"), F.array().cast("array<bigint>"))
