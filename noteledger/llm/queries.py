@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import sharding, topk, url_filter, warc
+from noteledger.llm import packing, quality, sharding, topk, url_filter, warc
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -21,6 +21,23 @@ URL_RULES = [
 ]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op5_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), capacity=1024)
+
+
 def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(read_table(spark, sf_dir, "documents"), n=16)
 
@@ -41,6 +58,8 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_additive_quality": op1_additive_quality,
+    "op5_differencing_packing": op5_differencing_packing,
     "op4_minimax_shards": op4_minimax_shards,
     "op8_exact_topk": op8_exact_topk,
     "op9_warc_zstd": op9_warc_zstd,
