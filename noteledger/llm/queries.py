@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import packing, quality, sharding, topk, url_filter, warc
+from noteledger.llm import packing, quality, sharding, topk, url_filter, warc, winnowing
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -42,6 +42,10 @@ def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(read_table(spark, sf_dir, "documents"), n=16)
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0, k=5)
@@ -61,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op1_additive_quality": op1_additive_quality,
     "op5_differencing_packing": op5_differencing_packing,
     "op4_minimax_shards": op4_minimax_shards,
+    "op6_winnowing": op6_winnowing,
     "op8_exact_topk": op8_exact_topk,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_bloom_cascade": op10_bloom_cascade,
