@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import minhash, packing, quality, sharding, topk, url_filter, warc, winnowing
+from noteledger.llm import minhash, packing, quality, sharding, suffix_dedup, topk, url_filter, warc, winnowing
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -42,6 +42,10 @@ def op4_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_slots(read_table(spark, sf_dir, "documents"), n=16)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read_table(spark, sf_dir, "documents"), length=400)
+
+
 def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=3, numerator=85, denominator=100)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -69,6 +73,7 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_additive_quality": op1_additive_quality,
     "op5_differencing_packing": op5_differencing_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_bayes_minhash": op3_bayes_minhash,
     "op4_minimax_shards": op4_minimax_shards,
     "op6_winnowing": op6_winnowing,
