@@ -216,7 +216,7 @@ def across_components(members: DataFrame, nodes: DataFrame, least: dict[int, int
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id), and tkey (of the text), one row per row."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id), tkey (of the text) and node (of the component), one row per row."""
     threshold = numerator / denominator
     rows_in_band, n_bands = bands(threshold)
     least = least_matches(threshold)
@@ -260,7 +260,26 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominato
     # the smallest doc_id of each component, and back to the rows by the set's key
     found = with_components(nodes.select("id", "skey", "low_id"), comps, "id")
     lowest = found.groupBy("c_id").agg(F.min("low_id").alias("component_id"))
-    by_set = found.join(lowest, "c_id").select("skey", "component_id")
+    by_set = found.join(lowest, "c_id").select("skey", "component_id", F.col("c_id").alias("node"))
     out = documents.select("doc_id", "tkey", "skey", "n").join(by_set, "skey", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "tkey").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "tkey", "node").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without near duplicates: of each component the row with the smallest doc_id stays.
+
+    Where several rows of a component have that id, or none has an id, the one
+    with the smallest text key stays, and of rows equal in both any one does.
+    Rows without shingles all stay.
+    """
+    found = near_duplicates(docs, k, numerator, denominator, doc_id, text)
+    # one (id, text key) per component; documents without shingles are not looked up
+    chosen = (
+        found.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("one"))
+        .select(F.col("one.doc_id").alias("_id"), F.col("one.tkey").alias("_key"))
+    )
+    keyed = docs.withColumn("_tkey", text_key(F.col(text)))
+    has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    stays = keyed.where(has_words).join(chosen, (F.col("_tkey") == F.col("_key")) & F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
+    return stays.dropDuplicates(["_tkey"]).unionByName(keyed.where(~has_words)).select(*docs.columns)
