@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import minhash, packing, quality, sharding, suffix_dedup, topk, url_filter, warc, winnowing
+from noteledger.llm import minhash, packing, quality, sentencepiece_lattice, sharding, suffix_dedup, topk, url_filter, warc, winnowing
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -55,6 +55,11 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_lattice.Pieces(vocabulary("piece_bpe_32k.model"))
+    return sentencepiece_lattice.coded_documents(read_table(spark, sf_dir, "documents"), pieces)
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.pmod("vec_id", F.lit(50)) == 0, k=5)
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op3_bayes_minhash": op3_bayes_minhash,
     "op4_minimax_shards": op4_minimax_shards,
     "op6_winnowing": op6_winnowing,
+    "op7_sentencepiece_lattice": op7_sentencepiece_lattice,
     "op8_exact_topk": op8_exact_topk,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_bloom_cascade": op10_bloom_cascade,
