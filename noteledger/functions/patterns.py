@@ -25,6 +25,9 @@ NON_WORD = "[^" + WORD_CLASS + "]"
 
 # Characters kept by both text cleaners: word characters, whitespace, '-', '.'.
 CLEAN_DROP = "[^" + WORD_CLASS + SPACE_CLASS + r"\-\.]"
+# A run of characters that the training cleaner turns into one space: dropped
+# characters and whitespace alike, that is all but word characters, '-', '.'.
+CLEAN_GAP = "[^" + WORD_CLASS + r"\-\.]+"
 
 # Code format used when parsing code sets (strict form, optional dot part).
 CODE_STRICT = r"^[A-Z][0-9]{2}(\.[0-9A-Z]{1,4})?$"

@@ -2,9 +2,8 @@
 
 The dictionary is the label space, so it is small by construction; joins
 against it are left to AQE, which broadcasts it only when its measured size
-is under the threshold, and the dense width is checked in the query. Label matrices are kept sparse (positive pairs
-only); the dense 0/1 array is built per row from the dictionary array only
-when asked for.
+is under the threshold. Label matrices are kept sparse (positive pairs only); the
+dense 0/1 array is built per row from the dictionary array when asked for.
 """
 
 from __future__ import annotations
@@ -12,14 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import parse_code_set, raw_code_pieces
+from ..functions.codes import one_hot, parse_code_set, raw_code_pieces
 from ..functions.generators import explode_rows
 from ..functions.patterns import CODE_STRICT
 from .ranking import exact_rank
 
-MAX_DENSE_LABELS = 100_000
-
-
 def code_dictionary(df: DataFrame, codes: str = "codes", raw: bool = False,
                     pattern: str = CODE_STRICT) -> DataFrame:
     """(code, code_index): distinct codes numbered 0.. in code order.
@@ -48,33 +44,24 @@ def label_pairs(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str =
 
 def dictionary_array(dictionary: DataFrame):
     """Scalar subquery: the codes as one array in index order."""
-    return dictionary.select(F.transform(
-        F.array_sort(F.collect_list(F.struct("code_index", "code"))), lambda s: s["code"])).scalar()
+    codes = F.transform(F.array_sort(F.collect_list(F.struct("code_index", "code"))), lambda s: s["code"])
+    return F.lit(dictionary.select(codes).scalar())
 
 
-def one_hot_labels(df: DataFrame, dictionary: DataFrame, id_col: str, codes: str = "codes",
-                   pattern: str = CODE_STRICT, max_labels: int = MAX_DENSE_LABELS) -> DataFrame:
-    """Dense 0/1 label array per row, in dictionary order.
+def one_hot_labels(df: DataFrame, dictionary: DataFrame, codes: str = "codes", pattern: str = CODE_STRICT,
+                   labels: str = "labels", indexes: str = "label_indexes") -> DataFrame:
+    """``df`` with the dense 0/1 label array of each row, in dictionary order,
+    and the sorted indexes of its ones (the sparse form).
 
-    The index set of each row (its codes joined to the dictionary, bounded
-    by the label count) is expanded against 0..n-1. n, the dictionary size, is a
-    scalar subquery; above ``max_labels`` the query fails instead of
-    building rows that wide (use :func:`label_pairs` then).
+    Row by row from the dictionary array, which is as wide as one dense row:
+    no explode, no group and no join, so repeated or NULL ids do not matter.
     """
-    n = dictionary.select(F.count(F.lit(1))).scalar()
-    width = F.when(n > max_labels, F.raise_error(F.lit(f"label dictionary above {max_labels} codes"))) \
-        .otherwise(n).cast("bigint")
-    # an outer explode keeps records without codes (one NULL code row), so
-    # every record reaches the aggregation and no join back is needed
-    exploded = df.select(id_col, F.explode_outer(F.array_distinct(parse_code_set(codes, pattern))).alias("code"))
-    idx = exploded.join(dictionary, "code", "left").groupBy(id_col).agg(F.collect_set("code_index").alias("_idx"))
-    base = idx
-    seq = F.when(width > 0, F.sequence(F.lit(0).cast("bigint"), width - 1)).otherwise(
-        F.array().cast("array<bigint>"))
-    have = F.coalesce(F.col("_idx"), F.array().cast("array<bigint>"))
-    with_seq = base.select(id_col, have.alias("_have"), seq.alias("_seq"))
-    dense = F.transform("_seq", lambda i: F.array_contains(F.col("_have"), i).cast("int"))
-    return with_seq.select(id_col, dense.alias("labels"))
+    parsed = F.array_distinct(parse_code_set(codes, pattern))
+    both = df.withColumn("_codes", parsed).withColumn("_dictionary", dictionary_array(dictionary))
+    known = F.array_intersect("_codes", "_dictionary")
+    return both.select(
+        *df.columns, one_hot("_codes", "_dictionary").alias(labels),
+        F.array_sort(F.transform(known, lambda c: F.array_position("_dictionary", c).cast("int") - 1)).alias(indexes))
 
 
 def label_union(df: DataFrame, split: str = "split", codes: str = "codes",

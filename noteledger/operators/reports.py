@@ -183,28 +183,16 @@ def top_counts(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("count"), key).limit(n)
 
 
-MAX_CATEGORIES = 10_000
-
-
-def _guard_categories(df: DataFrame, value: Column, limit: int | None = None) -> Column:
-    """``value`` if ``df`` has at most ``limit`` rows, else the query fails:
-    folding a high-cardinality column into one string would put an unbounded
-    group in one task (use :func:`distribution` for such columns)."""
-    limit = MAX_CATEGORIES if limit is None else limit
-    n = df.select(F.count(F.lit(1))).scalar()
-    return F.when(n > limit, F.raise_error(F.lit(f"more than {limit} categories; use a distribution table"))) \
-        .otherwise(value)
-
-
 def _ranked_string(counts: DataFrame, key: str, n: int | None = None) -> Column:
-    """Scalar subquery: 'key:count, ...' ordered by count desc then key
-    (the top ``n``, or every group when at most MAX_CATEGORIES)."""
+    """Scalar subquery: 'key:count, ...' ordered by count desc then key, of the
+    top ``n`` or of every group. The groups are counted before they are folded,
+    so the string is as long as the column's distinct values; for an open
+    column take :func:`distribution`, which has a row per value."""
     src = top_counts(counts, key, n) if n else counts
     pairs = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("o"), F.col(key).alias("k"),
                                                  F.col("count").alias("c"))))
     s = F.array_join(F.transform(pairs, lambda p: F.concat(p["k"], F.lit(":"), p["c"].cast("string"))), ", ")
-    out = src.select(s).scalar()
-    return out if n else _guard_categories(counts, out)
+    return src.select(s).scalar()
 
 
 def _note_length(note: str | None, note_length: str | None):
@@ -284,8 +272,7 @@ def profile(df: DataFrame, age: str = "age", gender: str = "gender", text: str =
     """Ranges of a raw table: age, distinct genders, text length."""
     n_len = F.col(text_length) if text_length else F.length(text)
     genders = df.select(F.col(gender).alias("g")).where(F.col("g").isNotNull()).distinct()
-    gender_list = _guard_categories(
-        genders, genders.select(F.array_join(F.array_sort(F.collect_list("g")), ",")).scalar())
+    gender_list = genders.select(F.array_join(F.array_sort(F.collect_list("g")), ",")).scalar()
     return df.agg(
         F.min(age).alias("min_age"),
         F.max(age).alias("max_age"),
@@ -327,22 +314,30 @@ def codes_per_record(df: DataFrame, codes: str = "codes") -> DataFrame:
             .orderBy("n_codes"))
 
 
-def split_statistics(df: DataFrame, split: str = "split", age: str = "age",
-                     codes: str = "codes") -> DataFrame:
-    """Per split: size, share of all rows, mean age, distinct codes, codes per record."""
+def split_statistics(df: DataFrame, split: str = "split", age: str = "age", codes: str = "codes",
+                     gender: str = "gender", note_length: str = "note_chars") -> DataFrame:
+    """Per split: size, share of all rows, mean age, mean note length, gender
+    counts ('value:count, ...', largest first), distinct codes, codes per record."""
     pieces = code_pieces(codes)
     per = df.groupBy(split).agg(
         F.count(F.lit(1)).alias("records"),
         F.avg(age).alias("_age"),
+        F.avg(note_length).alias("_len"),
         F.sum(F.size(pieces)).alias("_codes"),
     )
     distinct_codes = (explode_rows(df, pieces, "code", [split]).distinct()
                       .groupBy(split).agg(F.count(F.lit(1)).alias("unique_codes")))
+    counts = df.groupBy(split, F.coalesce(F.col(gender), F.lit("NULL")).alias("g")).agg(F.count(F.lit(1)).alias("c"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("o"), "g", "c")))
+    genders = counts.groupBy(split).agg(F.array_join(
+        F.transform(ordered, lambda x: F.concat(x["g"], F.lit(":"), x["c"].cast("string"))), ", ").alias("genders"))
     total = per.select(F.sum("records")).scalar()
-    return (per.join(distinct_codes, split, "left")
+    return (per.join(distinct_codes, split, "left").join(genders, split, "left")
             .select(split, "records",
                     F.round(F.try_divide(F.col("records").cast("double"), total), 6).alias("ratio"),
                     F.round("_age", 6).alias("mean_age"),
+                    F.round("_len", 6).alias("mean_note_length"),
+                    F.col("genders").alias("gender_distribution"),
                     F.coalesce(F.col("unique_codes"), F.lit(0)).alias("unique_codes"),
                     F.round(F.try_divide(F.col("_codes").cast("double"), F.col("records")), 6).alias(
                         "codes_per_record"))

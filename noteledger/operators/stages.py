@@ -35,13 +35,14 @@ def preprocess(raw: DataFrame, id_col: str = "patient_id", text: str = "doctor_n
                stop_words: list[str] = STOP_WORDS, vocab_size: int = VOCAB_SIZE, min_df: int = VOCAB_MIN_DF,
                raw_dictionary: bool = False):
     """Returns (features, code_mapping, fitted ML pipeline, metrics row)."""
-    counts = lexicon_counts(None, lexicon, tokens=word_runs(clean_text(text)))
+    counts = lexicon_counts(None, lexicon, tokens="_runs")
     feature_map = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), c)])
-    base = raw.select("*", clean_text(text).alias("cleaned_notes"), feature_map.alias("medical_features"),
-                      parse_code_set(codes, pattern).alias("processed_codes"))
+    # text, runs and counts in steps: inside one projection every count would clean the text again
+    base = (raw.withColumn("cleaned_notes", clean_text(text)).withColumn("_runs", word_runs("cleaned_notes"))
+            .withColumn("medical_features", feature_map).withColumn("processed_codes", parse_code_set(codes, pattern))
+            .drop("_runs"))
     dictionary = materialize(L.code_dictionary(raw, codes, raw=raw_dictionary, pattern=pattern))
-    onehot = L.one_hot_labels(raw, dictionary, id_col, codes, pattern).withColumnRenamed("labels", "icd10_onehot")
-    with_labels = base.join(onehot, id_col, "left")
+    with_labels = L.one_hot_labels(base, dictionary, codes, pattern, "icd10_onehot", "icd10_indexes")
     model = feature_pipeline("cleaned_notes", stop_words, vocab_size, min_df).fit(with_labels)
     features = model.transform(with_labels)
     mapping = dictionary.select(F.col("code").alias("icd10_code"), "code_index")

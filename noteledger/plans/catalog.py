@@ -49,7 +49,6 @@ DATA_PHRASES = {
     "es_phrases": ["de la", "de los", "que", "el", "los"],
 }
 
-N_LABELS = 10
 THRESHOLD = 0.5
 
 
@@ -244,7 +243,7 @@ def q_code_dictionary_raw(spark, d):
 
 def q_one_hot(spark, d):
     v = _visits(spark, d)
-    oh = L.one_hot_labels(v, materialize(L.code_dictionary(v)), "record_id")
+    oh = L.one_hot_labels(v, materialize(L.code_dictionary(v)))
     return oh.select("record_id", F.aggregate("labels", F.lit(0), lambda a, x: a + x).alias("n_labels"),
                      F.array_join(F.transform("labels", lambda x: x.cast("string")), "").alias("one_hot"))
 
@@ -295,7 +294,7 @@ def q_split_metrics(spark, d):
 
 
 def q_split_stats(spark, d):
-    return R.split_statistics(materialize(SP.assign_split(_visits(spark, d), "record_id")))
+    return R.split_statistics(materialize(SP.assign_split(_visits(spark, d, with_note=True), "record_id")))
 
 
 def q_sample_500(spark, d):
@@ -313,50 +312,51 @@ def q_strat_fold(spark, d):
 
 # -- scoring ----------------------------------------------------------------
 
-def _wide(spark, d):
-    return roles.scored_rows(spark, d, N_LABELS)
+def _codes(spark, d):
+    return roles.label_codes(roles.label_count(spark, d))
 
 
-CODES = roles.label_codes(N_LABELS)
+def _wide(spark, d):
+    return roles.scored_rows(spark, d, roles.label_count(spark, d))
 
 
 def q_top3_per_row(spark, d):
-    return S.top_k(_wide(spark, d), CODES, 3, THRESHOLD, inclusive=True)
+    return S.top_k(_wide(spark, d), _codes(spark, d), 3, THRESHOLD, inclusive=True)
 
 
 def q_batch_scores(spark, d):
-    return S.batch_scores(_wide(spark, d), CODES)
+    return S.batch_scores(_wide(spark, d), _codes(spark, d))
 
 
 def q_packaged_pred(spark, d):
-    return S.packaged_predictions(_wide(spark, d), CODES, THRESHOLD, as_text=True)
+    return S.packaged_predictions(_wide(spark, d), _codes(spark, d), THRESHOLD, as_text=True)
 
 
 def q_confidence_levels(spark, d):
-    top = S.top_k(_wide(spark, d), CODES, 3, THRESHOLD, inclusive=True)
+    top = S.top_k(_wide(spark, d), _codes(spark, d), 3, THRESHOLD, inclusive=True)
     return S.with_confidence(top.select("row_id", "rank", "code", "score"))
 
 
 def q_batch_summary(spark, d):
-    return S.batch_summary(S.batch_scores(_wide(spark, d), CODES))
+    return S.batch_summary(S.batch_scores(_wide(spark, d), _codes(spark, d)))
 
 
 def q_top_predictions(spark, d):
     """Top 10 predicted codes over the successfully scored rows."""
-    b = S.batch_scores(_wide(spark, d), CODES).where(F.col("status") == "Success")
+    b = S.batch_scores(_wide(spark, d), _codes(spark, d)).where(F.col("status") == "Success")
     counts = b.groupBy(F.col("top_prediction").alias("code")).agg(F.count(F.lit(1)).alias("count"))
     return R.top_counts(counts, "code", 10)
 
 
 def q_category_counts(spark, d):
-    top = S.top_k(_wide(spark, d), CODES, 3, THRESHOLD, inclusive=True)
+    top = S.top_k(_wide(spark, d), _codes(spark, d), 3, THRESHOLD, inclusive=True)
     return S.category_counts(top, "code")
 
 
 # -- metrics ----------------------------------------------------------------
 
 def _long(spark, d):
-    return M.with_prediction(M.to_long(_wide(spark, d), codes=CODES), THRESHOLD)
+    return M.with_prediction(M.to_long(_wide(spark, d), codes=_codes(spark, d)), THRESHOLD)
 
 
 def q_hamming(spark, d):
@@ -401,10 +401,10 @@ def q_roc_points(spark, d):
 
 def q_sparse_micro(spark, d):
     emb = read_table(spark, d, "embeddings")
-    truth = emb.select(F.col("vec_id").alias("row_id"), "label").where(F.col("label") < N_LABELS)
+    truth = emb.select(F.col("vec_id").alias("row_id"), "label")
     pred = _long(spark, d).where(F.col("y_pred") == 1).select("row_id", "label")
     n_rows = emb.select(F.count(F.lit(1))).scalar()
-    return M.sparse_micro(truth, pred, n_rows, N_LABELS)
+    return M.sparse_micro(truth, pred, n_rows, roles.label_count(spark, d))
 
 
 def q_evaluation_report(spark, d):

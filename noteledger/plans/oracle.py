@@ -18,7 +18,7 @@ from ..functions.patterns import (
     STOP_WORDS,
     WORD_CLASS,
 )
-from .catalog import DATA_LEXICON, DATA_PHRASES, N_LABELS
+from .catalog import DATA_LEXICON, DATA_PHRASES
 
 
 def _q(s: str) -> str:
@@ -417,15 +417,17 @@ SQL["split_assign"] = f"WITH {_split_case('documents', 'doc_id')}\nSELECT doc_id
 
 SQL["split_stats"] = f"""WITH {VISITS},
 {_split_case('visits', 'record_id')},
-per AS (SELECT split, COUNT(*) AS records, AVG(age) AS a, SUM(len({pieces_sql('codes')})) AS nc FROM s GROUP BY split),
+per AS (SELECT split, COUNT(*) AS records, AVG(age) AS a, AVG(length(note)) AS nl, SUM(len({pieces_sql('codes')})) AS nc FROM s GROUP BY split),
+sexes AS (SELECT split, coalesce(gender, 'NULL') AS g, count(*) AS c FROM s GROUP BY ALL),
+told AS (SELECT split, string_agg(g || ':' || c, ', ' ORDER BY c DESC, g) AS gender_distribution FROM sexes GROUP BY split),
 dc AS (SELECT split, COUNT(DISTINCT code) AS unique_codes
        FROM (SELECT split, unnest({pieces_sql('codes')}) AS code FROM s) GROUP BY split)
 SELECT per.split, records,
   ROUND(CAST(records AS DOUBLE) / (SELECT SUM(records) FROM per), 6) AS ratio,
-  ROUND(a, 6) AS mean_age,
+  ROUND(a, 6) AS mean_age, ROUND(nl, 6) AS mean_note_length, gender_distribution,
   coalesce(dc.unique_codes, 0) AS unique_codes,
   ROUND(CAST(nc AS DOUBLE) / records, 6) AS codes_per_record
-FROM per LEFT JOIN dc ON dc.split = per.split
+FROM per LEFT JOIN dc ON dc.split = per.split LEFT JOIN told ON told.split = per.split
 ORDER BY per.split"""
 
 SQL["sample_500"] = f"SELECT doc_id FROM documents ORDER BY {_hash('doc_id')}, doc_id LIMIT 500"
@@ -447,11 +449,11 @@ FROM v"""
 
 LONG = f"""long AS (
   SELECT e.vec_id AS row_id, CAST(t.k AS INTEGER) AS label,
-         chr(CAST(65 + t.k % 26 AS INTEGER)) || lpad(CAST(t.k AS VARCHAR), 2, '0') AS code,
+         chr(CAST(65 + t.k % 26 AS INTEGER)) || printf('%02d', t.k) AS code,
          ROUND(CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(CAST(-8 AS DOUBLE) * CAST(e.embedding[t.k + 1] AS DOUBLE))), 6)
            AS score,
          CAST(e.label = t.k AS INTEGER) AS y_true
-  FROM embeddings e, range({N_LABELS}) t(k)),
+  FROM embeddings e, (SELECT unnest(range((SELECT max(label) + 1 FROM embeddings))) AS k) t),
 lp AS (SELECT *, CAST(score > 0.5 AS INTEGER) AS y_pred FROM long)"""
 
 _TOP3 = """top3 AS (
@@ -592,12 +594,12 @@ SELECT cum.label, score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGIN
 FROM cum JOIN tot ON tot.label = cum.label"""
 
 SQL["sparse_micro"] = f"""WITH {LONG},
-truth AS (SELECT DISTINCT vec_id AS row_id, label FROM embeddings WHERE label < {N_LABELS}),
+truth AS (SELECT DISTINCT vec_id AS row_id, label FROM embeddings),
 pred AS (SELECT DISTINCT row_id, label FROM lp WHERE y_pred = 1),
 k AS (SELECT (SELECT COUNT(*) FROM truth JOIN pred USING (row_id, label)) AS tp,
              (SELECT COUNT(*) FROM truth) AS nt, (SELECT COUNT(*) FROM pred) AS np,
              (SELECT COUNT(*) FROM embeddings) AS nr),
-c AS (SELECT tp, np - tp AS fp, nt - tp AS fn, nr * {N_LABELS} - tp - (np - tp) - (nt - tp) AS tn FROM k)
+c AS (SELECT tp, np - tp AS fp, nt - tp AS fn, nr * (SELECT max(label) + 1 FROM embeddings) - tp - (np - tp) - (nt - tp) AS tn FROM k)
 {_prf_select('c', '_micro')}"""
 
 # -- run table --------------------------------------------------------------

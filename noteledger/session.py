@@ -7,6 +7,7 @@ are for scripts, tests and the benchmark.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,17 +51,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster the setting names a shared folder that survives executor
-    loss. A fresh temporary folder is used only when nothing is configured,
-    which is the case for local tests.
+    loss, and its absence is an error. In local mode, where driver and tasks
+    are one process, a fresh temporary folder serves. The context's folder is
+    set once: every further call would open a new one.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        base = os.environ.get("TMPDIR", "/tmp")
-        current = tempfile.mkdtemp(prefix="noteledger-ckpt-", dir=base)
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="noteledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(current)
     return current
 
 

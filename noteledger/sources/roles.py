@@ -125,12 +125,24 @@ def visits(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFra
     return v.select(*cols)
 
 
+def label_count(spark: SparkSession, sf_dir: str) -> int:
+    """Number of labels of the embeddings table: the largest label plus 1 (one
+    aggregate over the label column; the scored role is that wide)."""
+    top = read_table(spark, sf_dir, "embeddings").agg(F.max("label")).first()[0]
+    return 0 if top is None else int(top) + 1
+
+
 def label_codes(n_labels: int) -> list[str]:
     """Names of the score labels: letter k and two-digit k (A00, B01, ...)."""
     return [chr(65 + k % 26) + f"{k:02d}" for k in range(n_labels)]
 
 
-def scored_rows(spark: SparkSession, sf_dir: str, n_labels: int = 10) -> DataFrame:
+def truth_array(label: str, n_labels: int) -> Column:
+    """0/1 per label k = 0..n_labels-1."""
+    return F.transform(F.sequence(F.lit(1), F.lit(n_labels)), lambda k: (F.col(label) == k - 1).cast("int"))
+
+
+def scored_rows(spark: SparkSession, sf_dir: str, n_labels: int) -> DataFrame:
     """Wide form (row_id, scores array<double>, y_true array<int>), the shape
     a Spark ML probability vector has after ``vector_to_array``.
 
@@ -141,9 +153,7 @@ def scored_rows(spark: SparkSession, sf_dir: str, n_labels: int = 10) -> DataFra
     sig = F.transform(
         F.slice("embedding", 1, n_labels),
         lambda v: F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-8.0) * v.cast("double"))), 6))
-    truth = F.transform(F.sequence(F.lit(0), F.lit(n_labels - 1)),
-                        lambda k: (F.col("label") == k).cast("int"))
-    return emb.select(F.col("vec_id").alias("row_id"), sig.alias("scores"), truth.alias("y_true"))
+    return emb.select(F.col("vec_id").alias("row_id"), sig.alias("scores"), truth_array("label", n_labels).alias("y_true"))
 
 
 def severity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,16 +22,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` only when it has fewer partitions than
-    the cluster's default parallelism.
-
-    CPU-heavy row work (regexes over long texts) should use every core. A
-    large input already arrives in many splits and is left alone (no extra
-    shuffle); a narrow one (a single file or row group) is spread out first.
-    Only the plan is inspected; no job runs.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal out a scan that is a single split (at most
+    ``spark.sql.files.maxPartitionBytes`` of input) by ``key``.
+
+    CPU-heavy row work (regexes over long texts) should use every core. A table
+    of several splits is left alone, whatever the cluster's size: its texts
+    are not shuffled, and its parallelism is set by the split size and the row
+    groups it was written with. Only the plan is inspected; no job runs.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
+    if df.rdd.getNumPartitions() == 1:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
     return df
