@@ -1,8 +1,8 @@
 """Run-metrics table: params, metrics and tags of runs in one long table.
 
-Schema ``(run_id, kind, key, value, num)``: ``kind`` is param, metric or
+Schema ``(run_id, kind, key, value, num, step)``: ``kind`` is param, metric or
 tag; params and tags carry ``value`` (string), metrics carry ``num``
-(double). Appending is a Parquet append; queries are filters, top-k and
+(double); step orders entries of one key. Appending is a Parquet append; queries are filters, top-k and
 pivots over the long table.
 """
 
@@ -18,17 +18,19 @@ RUN_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("num", T.DoubleType()),
+    T.StructField("step", T.LongType()),
 ])
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def run_rows(spark: SparkSession, run_id: str, params: dict | None = None, metrics: dict | None = None,
-             tags: dict | None = None) -> DataFrame:
-    """One run's entries as rows of the run table (a handful of driver values)."""
-    rows = [(run_id, "param", str(k), str(v), None) for k, v in (params or {}).items()]
-    rows += [(run_id, "metric", str(k), None, float(v)) for k, v in (metrics or {}).items()]
-    rows += [(run_id, "tag", str(k), str(v), None) for k, v in (tags or {}).items()]
+             tags: dict | None = None, step: int = 0) -> DataFrame:
+    """One run's entries as rows of the run table (a handful of driver values);
+    ``step`` orders entries of one key."""
+    rows = [(run_id, "param", str(k), str(v), None, step) for k, v in (params or {}).items()]
+    rows += [(run_id, "metric", str(k), None, float(v), step) for k, v in (metrics or {}).items()]
+    rows += [(run_id, "tag", str(k), str(v), None, step) for k, v in (tags or {}).items()]
     return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
@@ -46,7 +48,7 @@ def metrics_long(df: DataFrame, run_col: str, metric_cols: list[str]) -> DataFra
                        *[F.col(c).cast("double").alias(c) for c in metric_cols])
     long = casted.unpivot(["run_id"], metric_cols, "key", "num")
     return long.select("run_id", F.lit("metric").alias("kind"), "key",
-                       F.lit(None).cast("string").alias("value"), "num")
+                       F.lit(None).cast("string").alias("value"), "num", F.lit(0).cast("long").alias("step"))
 
 
 def flatten_numeric(df: DataFrame, id_col: str, struct_col: str, prefix: str) -> DataFrame:
@@ -75,14 +77,19 @@ def best_runs(runs: DataFrame, metric: str, k: int = 5) -> DataFrame:
             .select("run_id", F.lit(metric).alias("metric"), F.round("num", 6).alias("value")))
 
 
-def compare_runs(runs: DataFrame, run_ids: list[str] | None, keys: list[str]) -> DataFrame:
-    """One row per run (the given ones, or all), one column per metric
-    (explicit pivot values: no extra job to discover them)."""
-    m = runs.where(F.col("kind") == "metric")
+def compare_runs(runs: DataFrame, run_ids: list[str] | None, keys: list[str], params: list[str] = ()) -> DataFrame:
+    """One row per run (the given ones, or all): one column per metric of
+    ``keys`` and one per param of ``params``. Of an entry logged more than once
+    the latest counts (by step, then the larger value)."""
+    wanted = runs.where(F.col("kind").isin("metric", "param"))
     if run_ids is not None:
-        m = m.where(F.col("run_id").isin(list(run_ids)))
-    p = m.groupBy("run_id").pivot("key", list(keys)).agg(F.first("num"))
-    return p.select("run_id", *[F.round(F.col(k), 6).alias(k) for k in keys]).orderBy("run_id")
+        wanted = wanted.where(F.col("run_id").isin(list(run_ids)))
+    latest = lambda kind, key, value: F.max_by(
+        F.when((F.col("kind") == kind) & (F.col("key") == key), F.col(value)),
+        F.when((F.col("kind") == kind) & (F.col("key") == key), F.struct("step", value)))
+    cols = [F.round(latest("metric", k, "num"), 6).alias(k) for k in keys]
+    cols += [latest("param", k, "value").alias(k) for k in params]
+    return wanted.groupBy("run_id").agg(*cols).orderBy("run_id")
 
 
 def metrics_with_prefix(runs: DataFrame, prefix: str) -> DataFrame:
@@ -110,9 +117,10 @@ def source_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("source").agg(F.min_by("lang", F.struct((-F.col("n")).alias("o"), F.col("lang"))).alias("v")))
     params = lang.select(F.col("source").alias("run_id"), F.lit("param").alias("kind"),
                          F.lit("top_lang").alias("key"), F.col("v").alias("value"),
-                         F.lit(None).cast("double").alias("num"))
+                         F.lit(None).cast("double").alias("num"), F.lit(0).cast("long").alias("step"))
     tags = per.select(F.col("source").alias("run_id"), F.lit("tag").alias("kind"), F.lit("table").alias("key"),
-                      F.lit("documents").alias("value"), F.lit(None).cast("double").alias("num"))
+                      F.lit("documents").alias("value"), F.lit(None).cast("double").alias("num"),
+                      F.lit(0).cast("long").alias("step"))
     return metrics.unionByName(params).unionByName(tags)
 
 
@@ -120,12 +128,13 @@ def source_quality_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nested quality report per document source (input of flattening)."""
     from ..sources.tables import read_table
 
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.length(F.trim("text")) >= 10).alias("valid"), "n_chars")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = docs.join(labels, "doc_id", "left")
     per = j.groupBy("source").agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.length(F.trim("text")) >= 10).alias("valid_texts"),
+        F.count_if("valid").alias("valid_texts"),
         F.min("n_chars").alias("min_chars"),
         F.max("n_chars").alias("max_chars"),
         F.count_if(F.col("quality") == 1).alias("quality_1"),
@@ -149,7 +158,8 @@ def evaluation_run(long: DataFrame, run_id: str, code: str = "code") -> DataFram
     per = long.groupBy(code).agg(F.avg(eq).alias("acc"), F.sum("y_true").alias("pos")).where(F.col("pos") > 0)
     label_rows = per.select(F.lit(run_id).alias("run_id"), F.lit("metric").alias("kind"),
                             F.concat(F.lit("accuracy_"), F.col(code)).alias("key"),
-                            F.lit(None).cast("string").alias("value"), F.col("acc").alias("num"))
+                            F.lit(None).cast("string").alias("value"), F.col("acc").alias("num"),
+                            F.lit(0).cast("long").alias("step"))
     overall = long.agg(F.avg(eq).alias("overall_accuracy"), (1.0 - F.avg(eq)).alias("hamming_loss"))
     overall = overall.select(F.lit(run_id).alias("run_id"), "overall_accuracy", "hamming_loss")
     return label_rows.unionByName(metrics_long(overall, "run_id", ["overall_accuracy", "hamming_loss"]))

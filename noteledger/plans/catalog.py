@@ -1,7 +1,7 @@
 """Named queries over the input tables: one per operator family.
 
-Each entry takes (spark, sf_dir) and returns a lazy DataFrame over the
-whole tables. Column names equal those of the SQL twins in
+Each entry takes (spark, sf_dir) and returns a DataFrame over the whole tables;
+a query that reads one role in several branches writes that role first. Column names equal those of the SQL twins in
 :mod:`noteledger.plans.oracle`. Lexicons and patterns are parameters of the
 operators; the word lists below are chosen from words that occur in the
 ``documents`` table.
@@ -28,8 +28,7 @@ from ..session import materialize
 from ..sources import roles
 from ..sources.tables import read_table, spread
 
-RECORD_COLS = RecordColumns(id="record_id", age="age", gender="category", text="note", code="code", stay="stay")
-# the same rules over the length-only role (no text in the shuffle)
+# the rules look at the note's length, so no text is in the shuffle
 RECORD_LEN_COLS = RecordColumns(id="record_id", age="age", gender="category", text="note_len", code="code",
                                 stay="stay", text_length="note_len")
 
@@ -64,36 +63,40 @@ def _docs(spark, d):
 
 # -- reports ----------------------------------------------------------------
 
-def _lengths(spark, d):
-    return roles.records(spark, d, text="length")
+# what the validity rules look at, with the note's length for the note
+RULE_COLUMNS = ["record_id", "age", "category", "note_len", "code", "stay"]
 
 
 def q_quality_summary(spark, d):
-    return R.quality_summary(_lengths(spark, d), RECORD_LEN_COLS)
+    return R.quality_summary(roles.records(spark, d, RULE_COLUMNS), RECORD_LEN_COLS)
 
 
 def q_report_metadata(spark, d):
-    return R.report_metadata(_lengths(spark, d), RECORD_LEN_COLS)
+    return R.report_metadata(roles.records(spark, d, RULE_COLUMNS), RECORD_LEN_COLS)
 
 
 def q_missing_values(spark, d):
     cols = {c: c for c in ["record_id", "age", "category"]}
     cols["note"] = "note_chars"  # NULL exactly when the note is
     cols.update({c: c for c in ["code", "stay", "quality", "toxic"]})
-    return R.missing_values(_lengths(spark, d), cols)
+    return R.missing_values(roles.records(spark, d, list(cols.values())), cols)
 
 
 def q_rule_violations(spark, d):
-    return R.rule_violations(_lengths(spark, d), RECORD_LEN_COLS)
+    return R.rule_violations(roles.records(spark, d, RULE_COLUMNS), RECORD_LEN_COLS)
 
 
 def q_invalid_records(spark, d):
-    return R.invalid_records(roles.records(spark, d), RECORD_COLS,
-                             keep=["record_id", "age", "category", "note", "code", "stay"])
+    """Failing records are found on lengths; their texts are fetched last."""
+    found = R.invalid_records(roles.records(spark, d, RULE_COLUMNS), RECORD_LEN_COLS, keep=RULE_COLUMNS).drop("note_len")
+    notes = read_table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), F.col("text").alias("note"))
+    return (found.join(notes, "record_id", "left")
+            .select("record_id", "age", "category", "note", "code", "stay", "validation_issue")
+            .orderBy("validation_issue", "record_id"))
 
 
 def q_validation_errors(spark, d):
-    rec = _lengths(spark, d)
+    rec = roles.records(spark, d, ["record_id", "age", "note_strip_len"])
     errs = input_errors(None, "age", stripped_length="note_strip_len")
     return rec.select("record_id", F.size(errs).alias("n_errors"), F.array_join(errs, "; ").alias("errors"))
 
@@ -103,7 +106,7 @@ def q_category_distribution(spark, d):
 
 
 def q_prefix_distribution(spark, d):
-    return R.prefix_distribution(_lengths(spark, d), "code")
+    return R.prefix_distribution(roles.records(spark, d, ["code"]), "code")
 
 
 def q_age_buckets(spark, d):
@@ -119,22 +122,26 @@ def q_severity_buckets(spark, d):
     return R.severity_distribution(roles.severity(spark, d), "severity_score")
 
 
-def _visits(spark, d, with_note: bool = False):
-    """The visits role written once to the checkpoint folder, for queries
-    that read it in several branches (counts, groups, subqueries)."""
-    return materialize(roles.visits(spark, d, with_note=with_note))
+CODED = ["record_id", "codes"]
+
+
+def _visits(spark, d, columns):
+    """Columns of the visits role written once to the checkpoint folder, for
+    queries that read them in several branches (counts, groups, subqueries).
+    This is the one eager step of these queries."""
+    return materialize(roles.visits(spark, d, columns))
 
 
 def q_dataset_metadata(spark, d):
-    return R.dataset_metadata(_visits(spark, d, with_note=True), note_length="note_chars")
+    return R.dataset_metadata(_visits(spark, d, ["age", "gender", "codes", "note_chars"]), note_length="note_chars")
 
 
 def q_dataset_metrics(spark, d):
-    return R.dataset_metrics(_visits(spark, d, with_note=True), note_length="note_chars")
+    return R.dataset_metrics(_visits(spark, d, ["age", "gender", "codes", "note_chars"]), note_length="note_chars")
 
 
 def q_profile(spark, d):
-    return R.profile(_lengths(spark, d), "age", "category", text_length="note_chars")
+    return R.profile(roles.records(spark, d, ["age", "category", "note_chars"]), "age", "category", text_length="note_chars")
 
 
 def q_histogram_value(spark, d):
@@ -142,16 +149,16 @@ def q_histogram_value(spark, d):
 
 
 def q_histogram_codes(spark, d):
-    v = _visits(spark, d)
+    v = _visits(spark, d, CODED)
     return R.histogram(v, F.size(code_pieces("codes")), 10, "codes_per_record")
 
 
 def q_top_codes(spark, d):
-    return R.top_counts(R.code_counts(roles.visits(spark, d)), "code", 10)
+    return R.top_counts(R.code_counts(roles.visits(spark, d, CODED)), "code", 10)
 
 
 def q_codes_per_record(spark, d):
-    return R.codes_per_record(roles.visits(spark, d))
+    return R.codes_per_record(roles.visits(spark, d, CODED))
 
 
 # -- text -------------------------------------------------------------------
@@ -212,7 +219,7 @@ def q_preprocess_metrics(spark, d):
     docs = _docs(spark, d)
     toks = V.token_frame(docs, "doc_id", "text")
     vocab = V.term_df_idf(toks)
-    dictionary = L.code_dictionary(_visits(spark, d))
+    dictionary = L.code_dictionary(_visits(spark, d, CODED))
     feature_cols = len(docs.columns) + 4  # cleaned text, features map, tokens, filtered tokens
     return spark.range(1).select(
         docs.select(F.count(F.lit(1))).scalar().alias("input_records"),
@@ -227,34 +234,34 @@ def q_preprocess_metrics(spark, d):
 # -- codes and labels -------------------------------------------------------
 
 def q_code_parse(spark, d):
-    v = roles.visits(spark, d)
+    v = roles.visits(spark, d, CODED)
     valid = parse_code_set("codes")
     return v.select("record_id", F.size(code_pieces("codes")).alias("n_pieces"),
                     F.size(valid).alias("n_valid"), F.array_join(valid, "|").alias("valid_codes"))
 
 
 def q_code_dictionary(spark, d):
-    return L.code_dictionary(roles.visits(spark, d))
+    return L.code_dictionary(roles.visits(spark, d, CODED))
 
 
 def q_code_dictionary_raw(spark, d):
-    return L.code_dictionary(roles.visits(spark, d), raw=True)
+    return L.code_dictionary(roles.visits(spark, d, CODED), raw=True)
 
 
 def q_one_hot(spark, d):
-    v = _visits(spark, d)
+    v = _visits(spark, d, CODED)
     oh = L.one_hot_labels(v, materialize(L.code_dictionary(v)))
     return oh.select("record_id", F.aggregate("labels", F.lit(0), lambda a, x: a + x).alias("n_labels"),
                      F.array_join(F.transform("labels", lambda x: x.cast("string")), "").alias("one_hot"))
 
 
 def q_label_pairs(spark, d):
-    v = _visits(spark, d)
+    v = _visits(spark, d, CODED)
     return L.label_pairs(v, materialize(L.code_dictionary(v)), "record_id")
 
 
 def q_label_union(spark, d):
-    v = materialize(SP.assign_split(_visits(spark, d), "record_id"))
+    v = materialize(SP.assign_split(roles.visits(spark, d, CODED), "record_id"))
     return L.label_union(v)
 
 
@@ -294,7 +301,7 @@ def q_split_metrics(spark, d):
 
 
 def q_split_stats(spark, d):
-    return R.split_statistics(materialize(SP.assign_split(_visits(spark, d, with_note=True), "record_id")))
+    return R.split_statistics(materialize(SP.assign_split(roles.visits(spark, d, ["record_id", "age", "gender", "codes", "note_chars"]), "record_id")))
 
 
 def q_sample_500(spark, d):
@@ -306,7 +313,7 @@ def q_kfold(spark, d):
 
 
 def q_strat_fold(spark, d):
-    v = materialize(roles.visits(spark, d).select("record_id", F.size(parse_code_set("codes")).alias("n_labels")))
+    v = materialize(roles.visits(spark, d, CODED).select("record_id", F.size(parse_code_set("codes")).alias("n_labels")))
     return SP.stratified_fold(v, "record_id", "n_labels", 5).select("record_id", "n_labels", "fold")
 
 
@@ -447,7 +454,7 @@ def q_best_run(spark, d):
 
 def q_compare_runs(spark, d):
     runs = H.source_runs(spark, d)
-    return H.compare_runs(runs, None, ["records", "mean_chars", "quality_rate", "toxic_rate"])
+    return H.compare_runs(runs, None, ["records", "mean_chars", "quality_rate", "toxic_rate"], ["top_lang"])
 
 
 def q_label_metrics(spark, d):

@@ -635,8 +635,11 @@ FROM per WHERE quality_rate IS NOT NULL ORDER BY quality_rate DESC, run_id LIMIT
 
 SQL["compare_runs"] = f"""WITH {_PER}
 SELECT run_id, ROUND(records, 6) AS records, ROUND(mean_chars, 6) AS mean_chars,
-  ROUND(quality_rate, 6) AS quality_rate, ROUND(toxic_rate, 6) AS toxic_rate
-FROM per ORDER BY run_id"""
+  ROUND(quality_rate, 6) AS quality_rate, ROUND(toxic_rate, 6) AS toxic_rate, top_lang
+FROM per JOIN (
+  SELECT source AS run_id, lang AS top_lang FROM documents GROUP BY source, lang
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) = 1) USING (run_id)
+ORDER BY run_id"""
 
 SQL["label_metrics"] = f"""WITH {LONG}
 SELECT 'eval' AS run_id, 'accuracy_' || code AS key, ROUND(AVG(CAST(y_true = y_pred AS DOUBLE)), 6) AS num

@@ -49,43 +49,41 @@ def age_of_balance(c: str = "c_acctbal") -> Column:
     return F.floor(F.col(c) / 100).cast("int")
 
 
-def records(spark: SparkSession, sf_dir: str, text: str = "full") -> DataFrame:
-    """``text="full"`` keeps the note; ``text="length"`` replaces it by the
-    lengths the rules need (note_len = length(trim), note_strip_len =
-    length(strip), note_chars = length), computed before the join so the
-    shuffle carries integers instead of texts.
-
-    All three joins are on the same key: the documents side is partitioned
-    by doc_id once (by ``spread`` when the scan is narrow, else by the first
-    join) and keeps that partitioning; only the other inputs are shuffled,
-    and AQE broadcasts them when they turn out small.
+RECORD_COLUMNS = ["record_id", "age", "category", "note", "note_len", "note_strip_len", "note_chars", "code", "stay",
+                  "quality", "toxic"]
+
+
+def records(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The ``columns`` asked for, of ``RECORD_COLUMNS``; only the tables they
+    come from are read and joined.
+
+    note is the text; note_len = length(trim), note_strip_len = length(strip)
+    and note_chars = length stand for it in rules, computed before the joins so
+    that a shuffle carries integers instead of texts. All joins are on the
+    record key: the documents side is partitioned by it once, and AQE
+    broadcasts the other side when it turns out small.
     """
-    docs = spread(read_table(spark, sf_dir, "documents"), "doc_id")
-    if text == "length":
-        t = F.col("text")
-        docs = docs.select("doc_id", "lang", F.length(F.trim(t)).alias("note_len"),
-                           F.length(strip_ws(t)).alias("note_strip_len"), F.length(t).alias("note_chars"))
-        text_cols = ["note_len", "note_strip_len", "note_chars"]
-    else:
-        docs = docs.select("doc_id", "text", "lang")
-        text_cols = [F.col("text").alias("note")]
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    part = read_table(spark, sf_dir, "part").select(
-        F.col("p_partkey"), record_code().alias("code"), F.col("p_size").alias("stay"))
-    cust = read_table(spark, sf_dir, "customer").select(F.col("c_custkey"), age_of_balance().alias("age"))
-    j = (docs.join(labels, "doc_id", "left")
-         .join(part, F.col("doc_id") == F.col("p_partkey"), "left")
-         .join(cust, F.col("doc_id") == F.col("c_custkey"), "left"))
-    return j.select(
-        F.col("doc_id").alias("record_id"),
-        "age",
-        F.col("lang").alias("category"),
-        *text_cols,
-        "code",
-        "stay",
-        "quality",
-        "toxic",
-    )
+    unknown = set(columns) - set(RECORD_COLUMNS)
+    if unknown:
+        raise ValueError(f"no record columns: {sorted(unknown)}")
+    t = F.col("text")
+    of_docs = {"record_id": F.col("doc_id"), "category": F.col("lang"), "note": t, "note_len": F.length(F.trim(t)),
+               "note_strip_len": F.length(strip_ws(t)), "note_chars": F.length(t)}
+    docs = read_table(spark, sf_dir, "documents")
+    if any(c.startswith("note") for c in columns):
+        docs = spread(docs, "doc_id")
+    out = docs.select(F.col("doc_id").alias("_key"), *(v.alias(k) for k, v in of_docs.items() if k in columns))
+    joined = [
+        (["quality", "toxic"], lambda: read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id"),
+        (["code", "stay"], lambda: read_table(spark, sf_dir, "part").select(
+            "p_partkey", record_code().alias("code"), F.col("p_size").alias("stay")), "p_partkey"),
+        (["age"], lambda: read_table(spark, sf_dir, "customer").select("c_custkey", age_of_balance().alias("age")), "c_custkey"),
+    ]
+    for names, table, key in joined:
+        if set(names) & set(columns):
+            side = table()
+            out = out.join(side, F.col("_key") == F.col(key), "left")
+    return out.select(*columns)
 
 
 def code_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,26 +101,28 @@ def code_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.array_join(F.array_sort(F.collect_set("code")), "|").alias("codes")))
 
 
-def visits(spark: SparkSession, sf_dir: str, with_note: bool = False) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    cust = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", age_of_balance().alias("age"), F.col("c_mktsegment").alias("gender"))
-    sets = code_sets(spark, sf_dir)
-    v = (orders.join(sets, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-         .join(cust, F.col("o_custkey") == F.col("c_custkey"), "left"))
-    cols = [
-        F.col("o_orderkey").alias("record_id"),
-        "age",
-        "gender",
-        F.to_date("o_orderdate").alias("visit_date"),
-        "codes",
-    ]
-    if with_note:
-        # only the note length crosses the shuffle (NULL when there is no note)
+VISIT_COLUMNS = ["record_id", "age", "gender", "visit_date", "codes", "note_chars"]
+
+
+def visits(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """The ``columns`` asked for, of ``VISIT_COLUMNS``; only the tables they
+    come from are read and joined. note_chars is NULL when there is no note."""
+    unknown = set(columns) - set(VISIT_COLUMNS)
+    if unknown:
+        raise ValueError(f"no visit columns: {sorted(unknown)}")
+    out = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderkey").alias("record_id"), F.to_date("o_orderdate").alias("visit_date"))
+    if "codes" in columns:
+        out = out.join(code_sets(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    if "note_chars" in columns:
+        # only the note's length crosses the shuffle
         docs = read_table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("note_chars"))
-        v = v.join(docs, F.col("o_orderkey") == F.col("doc_id"), "left")
-        cols.append("note_chars")
-    return v.select(*cols)
+        out = out.join(docs, F.col("o_orderkey") == F.col("doc_id"), "left")
+    if {"age", "gender"} & set(columns):
+        cust = read_table(spark, sf_dir, "customer").select(
+            "c_custkey", age_of_balance().alias("age"), F.col("c_mktsegment").alias("gender"))
+        out = out.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return out.select(*columns)
 
 
 def label_count(spark: SparkSession, sf_dir: str) -> int:
