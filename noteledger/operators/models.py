@@ -13,7 +13,7 @@ import itertools
 import random
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,18 +28,16 @@ RF_PARAMS = dict(numTrees=100, maxDepth=10, seed=42)
 LR_PARAMS = dict(maxIter=1000)
 
 
-def make_estimator(kind: str, features: str = "features", label: str = "label",
-                   validation: str | None = None, n_rows: int | None = None, **overrides):
+PATIENCE = 10  # rounds without a better validation loss after which boosting ends
+FIRST_ROUNDS = 16
+PARTITION_BYTES = 64 << 20  # of feature vectors in one partition of a fit
+
+
+def make_estimator(kind: str, features: str = "features", label: str = "label", n_rows: int | None = None, **overrides):
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 
     if kind == "gbt":
-        params = {**GBT_PARAMS, **overrides}
-        if validation:
-            # early stopping on the validation rows; a near-zero tolerance so
-            # training stops only when the validation loss stops improving
-            params.setdefault("validationTol", 1e-4)
-            params["validationIndicatorCol"] = validation
-        return GBTClassifier(featuresCol=features, labelCol=label, **params)
+        return GBTClassifier(featuresCol=features, labelCol=label, **{**GBT_PARAMS, **overrides})
     if kind == "rf":
         return RandomForestClassifier(featuresCol=features, labelCol=label, **{**RF_PARAMS, **overrides})
     if kind == "lr":
@@ -52,22 +50,85 @@ def make_estimator(kind: str, features: str = "features", label: str = "label",
     raise ValueError(f"unknown model kind {kind!r}")
 
 
+def best_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(rounds to keep, whether the rule has ended): the round with the lowest
+    loss before the first ``patience`` rounds in a row that do not improve on it."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def cut_trees(model, n: int):
+    """The boosted model of the first ``n`` trees."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    if n >= model.getNumTrees:
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    java = model._java_obj
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    return GBTClassificationModel(gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights))
+
+
+def fit_boosted(train: DataFrame, validation: DataFrame, features: str = "features", label: str = "label",
+                patience: int = PATIENCE, **overrides):
+    """Boosted trees up to the best round on the validation rows.
+
+    The loss after every round is read from the fitted model, and trees after
+    the best round are cut. As trees do not depend on later ones, the rounds
+    are fitted in growing numbers until the patience rule has ended.
+    """
+    most = {**GBT_PARAMS, **overrides}["maxIter"]
+    rounds = min(most, max(FIRST_ROUNDS, patience + 1))
+    while True:
+        model = make_estimator("gbt", features, label, **{**overrides, "maxIter": rounds}).fit(train)
+        keep, ended = best_round(model.evaluateEachIteration(validation), patience)
+        if ended or rounds == most:
+            return cut_trees(model, keep)
+        rounds = min(most, 2 * rounds)
+
+
 def label_frame(df: DataFrame, truth: str, k: int, out: str = "label") -> DataFrame:
     return df.withColumn(out, F.element_at(F.col(truth), k + 1).cast("double"))
 
 
+def fit_frame(df: DataFrame, columns: list[str], features: str, id_col: str | None) -> tuple[DataFrame, int]:
+    """``columns`` of ``df`` kept for the fits of all labels, and its rows.
+
+    As many partitions as the vectors' size asks for: every tree level and
+    every gradient is a job over all of them. With an id the rows' place is
+    fixed, so a fit does not depend on how the frame was made.
+    """
+    n = df.count()
+    first = df.select(features).first()
+    width = first[0].size if first else 0
+    parts = max(1, -(-n * (8 * width + 64) // PARTITION_BYTES))
+    if id_col:
+        df = df.repartition(parts, id_col).sortWithinPartitions(id_col)
+    elif parts < df.rdd.getNumPartitions():
+        df = df.coalesce(parts)
+    return df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK), n
+
+
 def fit_binary_relevance(train: DataFrame, n_labels: int, kind: str = "gbt", features: str = "features",
                          truth: str = "y_true", validation: str | None = None, parallelism: int = 4,
-                         **overrides) -> list:
-    """Fit one model per label; returns the fitted models in label order."""
-    cached = train.select(features, truth, *([validation] if validation else [])).persist(
-        StorageLevel.MEMORY_AND_DISK)
+                         id_col: str | None = None, patience: int = PATIENCE, **overrides) -> list:
+    """Fit one model per label; returns the fitted models in label order.
+    Boosted trees with a ``validation`` column keep their best round."""
+    cached, n_rows = fit_frame(train, [features, truth, *([validation] if validation else [])], features, id_col)
     try:
-        n_rows = cached.count() if kind == "lr" else None  # also fills the cache once
-
         def fit(k):
-            est = make_estimator(kind, features, "label", validation, n_rows, **overrides)
-            return est.fit(label_frame(cached, truth, k))
+            frame = label_frame(cached, truth, k)
+            if kind == "gbt" and validation:
+                return fit_boosted(frame.where(~F.col(validation)), frame.where(validation), features, "label", patience, **overrides)
+            return make_estimator(kind, features, "label", n_rows, **overrides).fit(frame)
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             return list(pool.map(fit, range(n_labels)))
@@ -112,73 +173,61 @@ def evaluate(scored: DataFrame, threshold: float = 0.5, row: str = "row_id", tru
     })
 
 
-def cross_validate(df: DataFrame, id_col: str, n_labels: int, k: int = 2, kind: str = "lr",
-                   features: str = "features", truth: str = "y_true", threshold: float = 0.5,
-                   parallelism: int = 4, **overrides) -> DataFrame:
-    """Shuffled k-fold CV: mean and population std over folds of exact-match
-    accuracy and micro precision, recall and F1."""
+CV_METRICS = {"accuracy": "subset_accuracy", "f1": "f1_micro", "precision": "precision_micro", "recall": "recall_micro"}
+
+
+def _fold_results(folded: DataFrame, id_col: str, n_labels: int, k: int, kind: str, parallelism: int, **params) -> dict:
+    """Mean and population std over the folds of each of ``CV_METRICS``: a handful of driver numbers."""
+    found = []
+    for fold in range(k):
+        models = fit_binary_relevance(folded.where(F.col("fold") != fold), n_labels, kind, parallelism=parallelism,
+                                      id_col=id_col, **params)
+        scored = score(models, folded.where(F.col("fold") == fold)).persist(StorageLevel.MEMORY_AND_DISK)
+        found.append(evaluate(scored, 0.5, id_col).first().asDict())
+        scored.unpersist()
+    out = {}
+    for name, metric in CV_METRICS.items():
+        values = [f[metric] or 0.0 for f in found]
+        mean = sum(values) / len(values)
+        out[f"cv_{name}_mean"] = round(mean, 6)
+        out[f"cv_{name}_std"] = round((sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5, 6)
+    return out
+
+
+def search(df: DataFrame, candidates: list[dict], id_col: str, n_labels: int, k: int = 2, kind: str = "lr",
+           parallelism: int = 4) -> DataFrame:
+    """k-fold cross-validation of every candidate's params over all labels: a
+    row per candidate with its params and the means and deviations, best micro
+    F1 first. The folds are made and kept once."""
     folded = kfold(df, id_col, k).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        per_fold = []
-        for f in range(k):
-            tr = folded.where(F.col("fold") != f)
-            te = folded.where(F.col("fold") == f)
-            models = fit_binary_relevance(tr, n_labels, kind, features, truth, None, parallelism, **overrides)
-            scored = score(models, te, features).persist(StorageLevel.MEMORY_AND_DISK)
-            m = evaluate(scored, threshold, id_col)
-            # fold results are a handful of numbers: keep them as a small table
-            per_fold.append(m.select(F.lit(f).alias("fold"), F.col("subset_accuracy").alias("accuracy"),
-                                     "f1_micro", "precision_micro", "recall_micro").collect()[0])
-            scored.unpersist()
-        spark = df.sparkSession
-        allf = spark.createDataFrame(per_fold)
-        aggs = []
-        for name, c in [("accuracy", "accuracy"), ("f1", "f1_micro"), ("precision", "precision_micro"),
-                        ("recall", "recall_micro")]:
-            aggs += [F.round(F.avg(c), 6).alias(f"cv_{name}_mean"),
-                     F.round(F.stddev_pop(c), 6).alias(f"cv_{name}_std")]
-        return allf.agg(*aggs)
+        rows = [{"trial": i, **{n: str(v) for n, v in c.items()}, **_fold_results(folded, id_col, n_labels, k, kind, parallelism, **c)}
+                for i, c in enumerate(candidates)]
     finally:
         folded.unpersist()
+    names = list(rows[0])
+    schema = ", ".join(f"{n} " + ("int" if n == "trial" else "double" if n.startswith("cv_") else "string") for n in names)
+    return df.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in rows], schema).orderBy(F.desc("cv_f1_mean"), "trial")
 
 
-def grid_search(df: DataFrame, grid: dict, label_k: int = 0, kind: str = "lr", features: str = "features",
-                truth: str = "y_true", folds: int = 2, id_col: str = "row_id", parallelism: int = 4):
-    """Spark ML ``CrossValidator`` over a parameter grid for one label, with
-    the folds given by the hashed fold column (reproducible)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    est = make_estimator(kind, features, "label")
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(est.getParam(name), list(values))
-    maps = builder.build()
-    data = label_frame(kfold(df, id_col, folds), truth, label_k)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(),
-                        foldCol="fold", numFolds=folds, parallelism=parallelism)
-    model = cv.fit(data)
-    spark = df.sparkSession
-    rows = []
-    for pm, metric in zip(maps, model.avgMetrics):
-        rows.append(tuple([str(pm[est.getParam(n)]) for n in grid] + [float(metric)]))
-    schema = ", ".join([f"{n} string" for n in grid] + ["avg_auc double"])
-    return spark.createDataFrame(rows, schema)
-
-
-def random_search(df: DataFrame, space: dict, trials: int, n_labels: int, kind: str = "lr",
-                  id_col: str = "row_id", seed: int = 42, **kw) -> DataFrame:
-    """Random search over a parameter space, each trial scored by k-fold CV."""
-    rng = random.Random(seed)
-    combos = list(itertools.product(*space.values()))
-    picks = rng.sample(combos, min(trials, len(combos)))
-    out = None
-    for i, combo in enumerate(picks):
-        params = dict(zip(space.keys(), combo))
-        cv = cross_validate(df, id_col, n_labels, kind=kind, **kw, **params)
-        row = cv.select(F.lit(i).alias("trial"), *[F.lit(str(v)).alias(k) for k, v in params.items()], "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+def cross_validate(df: DataFrame, id_col: str, n_labels: int, k: int = 2, kind: str = "lr", parallelism: int = 4,
+                   **params) -> DataFrame:
+    """Shuffled k-fold CV: mean and population std over folds of exact-match
+    accuracy and micro precision, recall and F1."""
+    return search(df, [params], id_col, n_labels, k, kind, parallelism).select(
+        *(f"cv_{n}_{s}" for n in CV_METRICS for s in ("mean", "std")))
+
+
+def grid_search(df: DataFrame, grid: dict, id_col: str, n_labels: int, kind: str = "lr", **kw) -> DataFrame:
+    """Every combination of the grid's values (see :func:`search`)."""
+    combos = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    return search(df, combos, id_col, n_labels, kind=kind, **kw)
+
+
+def random_search(df: DataFrame, space: dict, trials: int, id_col: str, n_labels: int, kind: str = "lr", seed: int = 42, **kw) -> DataFrame:
+    """``trials`` combinations drawn without repeats (see :func:`search`)."""
+    combos = [dict(zip(space, values)) for values in itertools.product(*space.values())]
+    return search(df, random.Random(seed).sample(combos, min(trials, len(combos))), id_col, n_labels, kind=kind, **kw)
 
 
 def feature_importance(models: list, names: list[str], spark, top: int | None = 20,

@@ -100,15 +100,15 @@ def write_validation_reports(df: DataFrame, out_dir: str, cols: RecordColumns =
 
 
 def model_features(df: DataFrame, text: str = "doctor_notes", age: str | None = "age",
-                   gender: str | None = "gender", vector: str = "tfidf_features", app: bool = False,
+                   gender: str | None = "gender", vector: str = "tfidf_features",
                    out: str = "features") -> DataFrame:
-    """Text vector followed by the engineered block (training or app form)."""
+    """Text vector followed by the engineered block. Training and scoring use
+    this one definition, on the raw text."""
     from pyspark.ml.feature import VectorAssembler
 
-    from .features import ENGINEERED_NAMES, app_engineered_columns, engineered_columns
+    from .features import ENGINEERED_NAMES, engineered_block
 
-    block = (app_engineered_columns if app else engineered_columns)(text, age, gender)
-    with_block = df.select("*", *block)
+    with_block = engineered_block(df, text, age, gender)
     va = VectorAssembler(inputCols=[vector] + ENGINEERED_NAMES, outputCol=out)
     return va.transform(with_block).drop(*ENGINEERED_NAMES)
 
@@ -138,17 +138,17 @@ def train_and_evaluate(split_df: DataFrame, n_labels: int, id_col: str = "patien
 
 def score_uploads_table(uploads: DataFrame, pipeline_model, models: list, codes: list[str],
                         text: str = "doctor_notes") -> DataFrame:
-    """The scoring-app batch flow: app cleaning, text vector from the fitted
-    feature pipeline, app engineered block, per-label probabilities, then the
-    batch table. A row without a note is kept with status 'Error'."""
-    from ..functions.text import clean_text_app
+    """The scoring-app batch flow: text vector from the fitted feature
+    pipeline, engineered block, per-label probabilities, then the batch table.
+    Text and block are cleaned as in training, so a model meets the features
+    it was fitted on. A row without a note is kept with status 'Error'."""
     from . import models as MO
     from .scoring import batch_scores
 
     ok = uploads.where(F.col(text).isNotNull())
-    cleaned = ok.withColumn("cleaned_notes", clean_text_app(text))
+    cleaned = ok.withColumn("cleaned_notes", clean_text(text))
     vec = pipeline_model.transform(cleaned)
-    feats = model_features(vec, "cleaned_notes", "age", "gender", app=True)
+    feats = model_features(vec, text, "age", "gender")
     scored = MO.score(models, feats)
     good = batch_scores(scored, codes, row="patient_id", note=text)
     bad = uploads.where(F.col(text).isNull()).select(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.codes import code_pieces, parse_code_set
 from ..functions.rules import RecordColumns, input_errors
+from ..operators import features as FE
 from ..operators import labels as L
 from ..operators import metrics as M
 from ..operators import reports as R
@@ -231,6 +232,32 @@ def q_preprocess_metrics(spark, d):
     )
 
 
+def engineered_records(spark, d, app: bool = False):
+    """doc_id and the engineered block: counts are made on the text before the age is joined."""
+    block = FE.app_engineered_block if app else FE.engineered_block
+    docs = block(_docs(spark, d).select("doc_id", "text", "lang"), "text", None, "lang", DATA_LEXICON, "en")
+    age = read_table(spark, d, "customer").select(F.col("c_custkey").alias("doc_id"), roles.age_of_balance().cast("double").alias("_age"))
+    value = (F.col("_age") - 50.0) / 20.0 if app else F.col("_age")
+    return (docs.drop("text", "lang").join(age, "doc_id", "left")
+            .withColumn(FE.ENGINEERED_NAMES[0], F.coalesce(value, F.lit(0.0))).select("doc_id", *FE.ENGINEERED_NAMES))
+
+
+def q_engineered_train(spark, d):
+    return engineered_records(spark, d)
+
+
+def q_engineered_app(spark, d):
+    return engineered_records(spark, d, app=True)
+
+
+def q_ensemble_join(spark, d):
+    """Dense and engineered block of every embedding; without a record the latter is 0."""
+    emb = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "label", "embedding")
+    joined = emb.join(engineered_records(spark, d), "doc_id", "left").fillna(0.0, FE.ENGINEERED_NAMES)
+    return joined.select("doc_id", "label", F.size("embedding").alias("dense_width"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("dense_first"),
+                         *FE.ENGINEERED_NAMES)
+
+
 # -- codes and labels -------------------------------------------------------
 
 def q_code_parse(spark, d):

@@ -665,6 +665,34 @@ SQL["feature_map"] = (
     + ",\n  ".join(f"{_fm_expr(k + '_count')} AS {k}_count" for k in DATA_LEXICON)
     + "\nFROM r")
 
+
+def _block(app: bool) -> str:
+    """CTE ``block``: the engineered columns per document."""
+    if app:
+        clean = clean_app_sql("text")
+        counts = [" + ".join(f"CAST(contains(lower(c), {_q(w)}) AS INTEGER)" for w in dict.fromkeys(words)) for words in DATA_LEXICON.values()]
+        age, length = "(floor(c_acctbal / 100) - 50) / 20", "(length(c) - 200) / 100"
+    else:
+        clean = clean_sql("text")
+        runs = f"string_split_regex(c, {_q('[^' + WORD_CLASS + ']+')})"
+        counts = [f"len(list_filter({runs}, lambda x: x IN {_in_list(words)}))" for words in DATA_LEXICON.values()]
+        age, length = "floor(c_acctbal / 100)", "length(c)"
+    names = ["symptoms_count", "body_parts_count", "severity_count", "medical_terms_count"]
+    return f"""cleaned AS (SELECT doc_id, lang, coalesce({clean}, '') AS c FROM documents),
+block AS (
+  SELECT doc_id, coalesce(CAST({age} AS DOUBLE), 0.0::DOUBLE) AS age_value, CAST({length} AS DOUBLE) AS note_length,
+    {", ".join(f"CAST({c} AS DOUBLE) AS {n}" for c, n in zip(counts, names))},
+    coalesce(CAST(lang = 'en' AS DOUBLE), 0.0::DOUBLE) AS gender_m
+  FROM cleaned LEFT JOIN customer ON c_custkey = doc_id)"""
+
+
+SQL["engineered_train"] = f"WITH {_block(False)}\nSELECT * FROM block"
+SQL["engineered_app"] = f"WITH {_block(True)}\nSELECT * FROM block"
+SQL["ensemble_join"] = f"""WITH {_block(False)}
+SELECT vec_id AS doc_id, label, CAST(len(embedding) AS INTEGER) AS dense_width, round(CAST(embedding[1] AS DOUBLE), 6) AS dense_first,
+  {", ".join(f"coalesce(block.{n}, 0.0::DOUBLE) AS {n}" for n in ["age_value", "note_length", "symptoms_count", "body_parts_count", "severity_count", "medical_terms_count", "gender_m"])}
+FROM embeddings LEFT JOIN block ON block.doc_id = vec_id"""
+
 SQL["preprocess_metrics"] = f"""WITH {_VOCAB},
 {VISITS},
 {_DICT}
