@@ -65,3 +65,11 @@ def number_within(df: DataFrame, group: str, name: str, order: list[str]) -> Dat
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A frame of driver-side rows whose number the caller has bounded."""
     return spark.createDataFrame(rows, T._parse_datatype_string(schema))
+
+
+def fresh(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as ``frame`` has such a column."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

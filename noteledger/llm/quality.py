@@ -107,6 +107,8 @@ def logistic(z: np.ndarray) -> np.ndarray:
 
 def quantile_edges(values: np.ndarray, bins: int) -> np.ndarray:
     """Cuts between bins, at middles of neighbouring values."""
+    if len(np.unique(values)) < 2:
+        return np.empty(0)
     q = np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1], method="lower"))
     after = np.unique(values)
     at = np.searchsorted(after, q, side="right")

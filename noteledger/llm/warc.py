@@ -1,8 +1,8 @@
 """WARC archives with a Zstandard dictionary: writer and reader.
 
 A task writes the records of its partition as one ``.warc.zst`` file in the
-shared folder. The dictionary is trained on a bounded, evenly spread sample of
-the partition's own payloads and stands in a skippable frame (magic
+shared folder. The dictionary is trained on a bounded sample, the first of
+the partition's own records and stands in a skippable frame (magic
 0x184D2A5D) at the head of the file; every record is a Zstandard frame of its
 own, so a reader can seek to any record and needs nothing but the file. A
 partition too small to train on has no dictionary frame.
@@ -43,7 +43,7 @@ from noteledger.llm.common import n_tasks
 from noteledger.session import ensure_checkpoint_dir
 
 MAGIC = 0x184D2A5D  # fixed value: skippable frame that holds the dictionary
-SAMPLE_BYTES, DICT_BYTES, LEAST_SAMPLES = 4 << 20, 64 << 10, 16
+SAMPLE_BYTES, SAMPLE_PART, DICT_BYTES, LEAST_SAMPLES = 4 << 20, 64 << 10, 64 << 10, 16
 END = b"\r\n"
 ARCHIVES = "path string, n_records long"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
@@ -104,32 +104,34 @@ def train(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
         return None
 
 
-def write_archive(folder: str, rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Write one partition; its first batches, up to ``SAMPLE_BYTES``, train the dictionary."""
-    rows, first, samples, held = iter(rows), [], [], 0
-    for batch in rows:
-        first.append(batch)
-        for body in batch["payload"]:
-            if body and held < SAMPLE_BYTES:
-                samples.append(body[: 64 << 10])
-                held += len(samples[-1])
+def write_archive(folder: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Write one partition; its first records, up to ``SAMPLE_BYTES``, train the dictionary."""
+    clean = lambda x: None if pd.isna(x) else int(x)
+
+    def records() -> Iterator[bytes]:
+        for batch in batches:
+            for page_id, url, kind, refers_to, digest, size, payload in zip(*(batch[c] for c in RECORD_COLUMNS), strict=True):
+                yield record(clean(page_id), url, kind, clean(refers_to), digest, size, b"" if kind == "revisit" else payload)
+
+    made, first, held = records(), [], 0
+    for one in made:
+        first.append(one)
+        held += len(one)
         if held >= SAMPLE_BYTES:
             break
     if not first:
         return
     system, base = pafs.FileSystem.from_uri(folder)
     name = f"{base}/{uuid.uuid4().hex}.warc.zst"
-    trained, n = train(samples), 0
+    trained, n = train([x[:SAMPLE_PART] for x in first]), 0
     packer = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True)
     with system.open_output_stream(name + ".open", compression=None) as out:
         if trained is not None:
             content = trained.as_bytes()
             out.write(struct.pack("<II", MAGIC, len(content)) + content)
-        for batch in chain(first, rows):
-            for page_id, url, kind, refers_to, digest, size, payload in zip(*(batch[c] for c in RECORD_COLUMNS), strict=True):
-                clean = lambda x: None if pd.isna(x) else int(x)
-                out.write(packer.compress(record(clean(page_id), url, kind, clean(refers_to), digest, size, b"" if kind == "revisit" else payload)))
-                n += 1
+        for one in chain(first, made):
+            out.write(packer.compress(one))
+            n += 1
     system.move(name + ".open", name)
     yield pd.DataFrame({"path": [f"{folder.rstrip('/')}/{name.rpartition('/')[2]}"], "n_records": [n]})
 
