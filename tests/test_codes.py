@@ -42,7 +42,14 @@ def test_raw_dictionary_keeps_untrimmed_pieces(spark):
 def test_one_hot_and_pairs(spark):
     v = _visits(spark)
     d = L.code_dictionary(v)
-    oh = {r.record_id: r.labels for r in L.one_hot_labels(v, d, "record_id").collect()}
+    oh = {r.record_id: r.labels for r in L.one_hot_labels(v, d).collect()}
     assert oh == {1: [1, 1, 0], 2: [0, 1, 0], 3: [0, 0, 0], 4: [0, 1, 1], 5: [0, 1, 0]}
     pairs = sorted((r.record_id, r.code_index) for r in L.label_pairs(v, d, "record_id").collect())
     assert pairs == [(1, 0), (1, 1), (2, 1), (4, 1), (4, 2), (5, 1)]
+
+
+def test_one_hot_is_per_row(spark):
+    v = spark.createDataFrame([("P1", "I10"), ("P1", "E11.9"), (None, "I10")], "record_id string, codes string")
+    rows = L.one_hot_labels(v, L.code_dictionary(v)).collect()
+    assert sorted((str(r.record_id), r.labels, r.label_indexes) for r in rows) == [
+        ("None", [0, 1], [1]), ("P1", [0, 1], [1]), ("P1", [1, 0], [0])]

@@ -1,26 +1,33 @@
-"""The length-only record role gives the same reports as the full-text one."""
+"""Roles give every record once and read only the tables they are asked for."""
 
-from noteledger.operators import reports as R
-from noteledger.plans.catalog import RECORD_COLS, RECORD_LEN_COLS
-from noteledger.sources import roles
+import re
 
-from .conftest import SF_SMALL
+import pytest
 
+from noteledger.plans.catalog import QUERIES
+from noteledger.sources import roles
 
-def test_length_role_matches_full_text_role(spark):
-    full = roles.records(spark, SF_SMALL)
-    lens = roles.records(spark, SF_SMALL, text="length")
-    assert R.quality_summary(full, RECORD_COLS).collect() == R.quality_summary(lens, RECORD_LEN_COLS).collect()
-    a = sorted(map(tuple, R.rule_violations(full, RECORD_COLS).collect()))
-    b = sorted(map(tuple, R.rule_violations(lens, RECORD_LEN_COLS).collect()))
-    assert a == b
-    m_full = {r.field_name: r.invalid_count for r in R.missing_values(full, ["note"]).collect()}
-    m_len = {r.field_name: r.invalid_count for r in R.missing_values(lens, {"note": "note_chars"}).collect()}
-    assert m_full == m_len
+from .conftest import SF_SMALL
 
 
 def test_role_row_counts(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
-    assert roles.records(spark, SF_SMALL).count() == docs
-    assert roles.visits(spark, SF_SMALL, with_note=True).count() == orders
+    assert roles.records(spark, SF_SMALL, roles.RECORD_COLUMNS).count() == docs
+    assert roles.visits(spark, SF_SMALL, roles.VISIT_COLUMNS).count() == orders
+
+
+def test_unknown_columns_are_refused(spark):
+    with pytest.raises(ValueError):
+        roles.records(spark, SF_SMALL, ["nothing"])
+
+
+@pytest.mark.parametrize(("query", "tables"), [
+    ("prefix_distribution", {"documents", "part"}), ("validation_errors", {"documents", "customer"}),
+    ("quality_summary", {"documents", "part", "customer"}), ("top_codes", {"orders", "lineitem", "part"}),
+    ("code_parse", {"orders", "lineitem", "part"})])
+def test_only_the_tables_asked_for_are_read(spark, query, tables):
+    df = QUERIES[query](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"/(\w+)\.parquet", plan)) == tables

@@ -14,6 +14,11 @@ def test_append_best_compare(spark):
     runs = H.read_runs(spark, path)
     best = [r.run_id for r in H.best_runs(runs, "f1_micro", 5).collect()]
     assert best == ["r2", "r1"]
+    H.append_runs(H.run_rows(spark, "r1", {"model": "gbt2"}, {"f1_micro": 0.1}, step=1), path)
+    runs = H.read_runs(spark, path)
+    latest = {r.run_id: (r.f1_micro, r.model) for r in H.compare_runs(runs, None, ["f1_micro"], ["model"]).collect()}
+    assert latest == {"r1": (0.1, "gbt2"), "r2": (0.3, "rf")}
+    runs = runs.where("step = 0")
     cmp_ = {r.run_id: r.f1_micro for r in H.compare_runs(runs, ["r1", "r2"], ["f1_micro"]).collect()}
     assert cmp_ == {"r1": 0.2, "r2": 0.3}
     keys = {(r.run_id, r.key) for r in H.metrics_with_prefix(runs, "accuracy_").collect()}

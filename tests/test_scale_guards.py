@@ -1,34 +1,57 @@
-"""Scale guards: spreading narrow inputs only, bounds that fail loudly."""
+"""Scale guards: no size limits, labels from the data, required folders."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from noteledger.operators import labels as L
 from noteledger.operators import reports as R
-from noteledger.session import cluster_conf, materialize
+from noteledger.plans.catalog import QUERIES
+from noteledger.session import cluster_conf, ensure_checkpoint_dir, materialize
+from noteledger.sources import roles
 from noteledger.sources.tables import spread
 
 
-def test_spread_only_narrow_inputs(spark):
-    narrow = spark.range(0, 100, 1, 1)
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(wide, "id") is wide
+def test_spread_only_single_splits(spark):
+    one, two = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 2)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(two, "id") is two
 
 
-def test_one_hot_width_bound(spark):
-    v = spark.createDataFrame([(1, "I10|E11.9|J45.909")], "record_id long, codes string")
-    d = L.code_dictionary(v)
-    with pytest.raises(Exception, match="label dictionary above 2"):
-        L.one_hot_labels(v, d, "record_id", max_labels=2).collect()
+def test_one_hot_has_no_width_limit(spark):
+    v = spark.createDataFrame([(1, "|".join(f"A{i:02d}" for i in range(90)))], "record_id long, codes string")
+    row = L.one_hot_labels(v, L.code_dictionary(v)).first()
+    assert row.labels == [1] * 90 and row.label_indexes == list(range(90))
 
 
-def test_category_fold_bound(spark, monkeypatch):
-    monkeypatch.setattr(R, "MAX_CATEGORIES", 2)
-    df = spark.createDataFrame([(i, 30, f"g{i}", "I10", 5) for i in range(3)],
+def test_metadata_lists_every_category(spark):
+    df = spark.createDataFrame([(i, 30, f"g{i:03d}", "I10", 5) for i in range(200)],
                                "record_id long, age int, gender string, codes string, note_chars int")
-    with pytest.raises(Exception, match="categories"):
-        R.dataset_metadata(df, note_length="note_chars").collect()
+    row = R.dataset_metadata(df, note_length="note_chars").first()
+    assert row.gender_distribution.count(":1") >= 200
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    class Context:
+        master = "yarn"
+        getConf = staticmethod(lambda: type("C", (), {"get": staticmethod(lambda *a: None)})())
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_twelve_classes_are_all_scored(spark, tmp_path):
+    rows = [(i, [0.1 * (i % 3)] * 16, i % 12) for i in range(48)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    d = str(tmp_path)
+    assert roles.label_count(spark, d) == 12
+    assert QUERIES["confusion"](spark, d).count() == 12
+    counts = QUERIES["sparse_micro"](spark, d).first()
+    assert counts.tp + counts.fn == 48 and counts.tp + counts.fp + counts.fn + counts.tn == 48 * 12
+    assert {r.code for r in QUERIES["label_accuracy"](spark, d).collect()} == set(roles.label_codes(12))
 
 
 def test_materialize_cuts_lineage(spark):
