@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.generators import explode_rows
-from .ranking import running_totals, unit_bucket
+from .ranking import running_totals
 
 
 def _r(c: Column, digits: int = 6) -> Column:
@@ -129,10 +129,10 @@ def _score_counts(long: DataFrame, keys: list[str], score: str = "score") -> Dat
                                           F.sum(1 - F.col("y_true")).cast("long").alias("neg"))
 
 
-def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 4096) -> DataFrame:
+def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 256) -> DataFrame:
     """Exact micro ROC AUC over all (row, label) pairs; NULL when a class is missing."""
     sc = _score_counts(long, [], score)
-    cum = running_totals(sc, score, ["neg"], unit_bucket(score, buckets))
+    cum = running_totals(sc, score, ["neg"], buckets)
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                   F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -140,10 +140,10 @@ def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 4096) ->
                       F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 
-def roc_points(long: DataFrame, label: str = "label", score: str = "score", buckets: int = 4096) -> DataFrame:
+def roc_points(long: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
     """Per label and distinct threshold s: tp/fp of 'score >= s', tpr, fpr."""
     sc = _score_counts(long, [label], score)
-    cum = running_totals(sc, score, ["pos", "neg"], unit_bucket(score, buckets), [label])
+    cum = running_totals(sc, score, ["pos", "neg"], buckets, [label])
     tot = sc.groupBy(label).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     j = cum.join(tot, label)
     tp = F.col("P") - (F.col("cum_pos") - F.col("pos"))
@@ -154,9 +154,9 @@ def roc_points(long: DataFrame, label: str = "label", score: str = "score", buck
 
 
 def roc_auc_by_label(long: DataFrame, label: str = "label", score: str = "score",
-                     buckets: int = 4096) -> DataFrame:
+                     buckets: int = 256) -> DataFrame:
     sc = _score_counts(long, [label], score)
-    cum = running_totals(sc, score, ["neg"], unit_bucket(score, buckets), [label])
+    cum = running_totals(sc, score, ["neg"], buckets, [label])
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(label).agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                                  F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))

@@ -49,12 +49,12 @@ def exact_rank(df: DataFrame, hash_col: str, tie_col: str, partition_cols: list[
             .drop("_bucket", "_off", "_local"))
 
 
-def running_totals(df: DataFrame, order_col: str, values: list[str], bucket: Column,
+def running_totals(df: DataFrame, order_col: str, values: list[str], buckets: int = 256,
                    partition_cols: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``values`` ordered by ``order_col`` (unique
-    within each partition group). ``bucket`` must be monotone in ``order_col``."""
+    """Inclusive running sums of ``values`` ordered by the number ``order_col``
+    (unique within each partition group), in quantile buckets of it."""
     parts = list(partition_cols or [])
-    b = df.withColumn("_bucket", bucket)
+    b = with_quantile_bucket(df, order_col, buckets)
     totals = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, "_bucket",
@@ -68,15 +68,23 @@ def running_totals(df: DataFrame, order_col: str, values: list[str], bucket: Col
     return out.drop("_bucket", *[f"_o_{v}" for v in values])
 
 
-def unit_bucket(score: str, buckets: int = 4096) -> Column:
-    """Bucket of a value in [0, 1] (values outside are clamped)."""
-    s = F.col(score)
-    return F.greatest(F.lit(0), F.least(F.floor(s * buckets), F.lit(buckets - 1))).cast("int")
+def with_quantile_bucket(df: DataFrame, score: str, buckets: int = 256, out: str = "_bucket") -> DataFrame:
+    """``df`` with the number of approximate quantiles of its values that lie below each value.
+
+    Monotone in the value and about evenly filled however the values lie, as
+    with probabilities that pile up near 0. The bounds are a scalar subquery of
+    ``buckets`` - 1 numbers.
+    """
+    shares = [i / buckets for i in range(1, buckets)]
+    bounds = F.lit(df.select(F.percentile_approx(F.col(score), shares, 50 * buckets)).scalar())
+    below = F.size(F.filter(F.array_distinct("_bounds"), lambda b: b < F.col(score)))
+    return df.withColumn("_bounds", bounds).withColumn(out, F.coalesce(below, F.lit(0))).drop("_bounds")
 
 
 def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
-    """0-based position of each row in the frame's current order (file order
-    for a plain scan), without moving all rows into one task.
+    """0-based position of each row in the frame's current order, without
+    moving all rows into one task. For a plain scan of one file that is file
+    order; Spark orders several files by size, so their rows follow no file order.
 
     Per-partition counts (one row per partition) give offsets; the position
     inside a partition comes from ``monotonically_increasing_id``. The frame

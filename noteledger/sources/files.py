@@ -71,10 +71,12 @@ UPLOAD_ALIASES = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_RECORDS,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, multi_line: bool = True) -> DataFrame:
     """CSV with a header. A declared schema by default; ``infer=True`` does
-    what an inferred read does (one extra pass over the data)."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    what an inferred read does (one extra pass over the data). With
+    ``multi_line`` quoted fields may hold line breaks and a file is one task;
+    without it large files are split."""
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if infer or schema is None:
         return r.option("inferSchema", True).csv(path)
     return r.schema(schema).csv(path)
@@ -104,11 +106,11 @@ def _first_present(df: DataFrame, names: list[str]) -> Column:
     return F.lit(None)
 
 
-def read_upload(spark: SparkSession, path: str) -> DataFrame:
+def read_upload(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A scoring upload: every column read as text, aliases resolved, a
     default id ``Patient_{n}`` (1-based file position) when there is no
     ``patient_id`` column."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     return normalize_upload(raw)
 
 

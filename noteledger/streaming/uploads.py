@@ -26,9 +26,9 @@ UPLOAD_SCHEMA = T.StructType([
 
 
 def upload_stream(spark: SparkSession, folder: str, schema: T.StructType = UPLOAD_SCHEMA,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, multi_line: bool = True) -> DataFrame:
     """CSV uploads arriving in ``folder`` as a stream (declared schema)."""
-    r = spark.readStream.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+    r = spark.readStream.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     s = r.csv(folder)
