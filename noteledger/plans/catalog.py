@@ -24,6 +24,7 @@ from ..operators import reports as R
 from ..operators import runs as H
 from ..operators import scoring as S
 from ..operators import split as SP
+from ..operators import stages as ST
 from ..operators import vectorize as V
 from ..session import materialize
 from ..sources import roles
@@ -215,21 +216,11 @@ def q_feature_map(spark, d):
 
 
 def q_preprocess_metrics(spark, d):
-    """Input and output record counts, distinct codes, vocabulary size (the
-    real one) and the number of feature columns."""
-    docs = _docs(spark, d)
-    toks = V.token_frame(docs, "doc_id", "text")
-    vocab = V.term_df_idf(toks)
-    dictionary = L.code_dictionary(_visits(spark, d, CODED))
-    feature_cols = len(docs.columns) + 4  # cleaned text, features map, tokens, filtered tokens
-    return spark.range(1).select(
-        docs.select(F.count(F.lit(1))).scalar().alias("input_records"),
-        toks.select(F.count(F.lit(1))).scalar().alias("output_records"),
-        dictionary.select(F.count(F.lit(1))).scalar().alias("unique_icd10_codes"),
-        vocab.select(F.count(F.lit(1))).scalar().alias("vocabulary_size"),
-        F.lit(2).alias("min_document_frequency"),
-        F.lit(feature_cols).alias("feature_count"),
-    )
+    """The preprocess stage run over all documents, and what it counts of
+    itself: rows in and out, distinct codes, the fitted vocabulary, columns."""
+    code = F.concat(F.upper(F.substring("lang", 1, 1)), F.lpad((F.col("n_chars") % 100).cast("string"), 2, "0"))
+    raw = _docs(spark, d).select("doc_id", "text", code.alias("codes"))
+    return ST.preprocess(raw, "doc_id", "text", "codes", DATA_LEXICON)[3]
 
 
 def engineered_records(spark, d, app: bool = False):
@@ -375,6 +366,16 @@ def q_batch_summary(spark, d):
     return S.batch_summary(S.batch_scores(_wide(spark, d), _codes(spark, d)))
 
 
+def q_batch_errors(spark, d):
+    """Orders as an upload: a record without a note cannot be scored, stays in
+    the batch as an error and counts as one."""
+    notes = roles.visits(spark, d, ["record_id", "note_chars"])
+    share = (F.col("note_chars") % 100) / 100
+    wide = notes.select(F.col("record_id").alias("row_id"),
+                        F.when(F.col("note_chars") > 0, F.array(share, F.lit(1.0) - share)).alias("scores"))
+    return S.batch_summary(S.batch_scores(wide, ["A00", "B01"]))
+
+
 def q_top_predictions(spark, d):
     """Top 10 predicted codes over the successfully scored rows."""
     b = S.batch_scores(_wide(spark, d), _codes(spark, d)).where(F.col("status") == "Success")
