@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table below the shared checkpoint folder and read back.
+
+    For larger intermediate tables: unlike a checkpoint it is compressed, and
+    readers take the columns they need. It stays until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def text_key(text: Column) -> Column:
     """128-bit content key of a text (hex string); equal texts have equal keys."""
     return F.coalesce(F.md5(text), F.lit(NULL_KEY))

@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint
+from noteledger.llm.common import checkpoint, stored
 
 SPACE = "▁"  # fixed value: how pieces write a space
 FREQUENT = 300_000
@@ -218,7 +218,7 @@ def occurrences(docs: DataFrame, row: str, text: str) -> DataFrame:
 
 def encode_units(docs: DataFrame, pieces: Pieces, row: str = "row", text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """row, nth, unit, ids: every unit of every text with its ids. ``row`` tells rows apart."""
-    counted = checkpoint(occurrences(docs, row, text).groupBy("unit").agg(F.count(F.lit(1)).alias("n")))
+    counted = stored(occurrences(docs, row, text).groupBy("unit").agg(F.count(F.lit(1)).alias("n")))
     # the least count at which at most ``frequent`` units are left; the driver sees one row per count
     tally = sorted(((r["n"], r["units"]) for r in counted.groupBy("n").agg(F.count(F.lit(1)).alias("units")).collect()), reverse=True)
     limit, held = (tally[0][0] + 1 if tally else 1), 0
@@ -259,11 +259,12 @@ def coded_documents(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", tex
 
     The sums are made where the units are, so neither texts nor id lists are shuffled.
     """
-    rows = docs.select(F.struct(F.monotonically_increasing_id().alias("at"), F.col(doc_id).alias("doc_id")).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     units = encode_units(rows, pieces).withColumn("back", decode_ids(F.col("ids"), pieces, leading=False))
     found = units.groupBy("row").agg(
         F.count(F.lit(1)).alias("n_units"), F.sum(F.size("ids")).alias("n_pieces"), F.bit_xor(F.xxhash64("nth", "ids")).alias("ids_digest"),
         (F.sum(F.char_length("back")) - 1).alias("n_chars"), F.bool_and(F.col("back") == F.col("unit")).alias("round_trip"))
-    nothing = rows.where(F.coalesce("text", F.lit("")) == "").select(
-        "row", *(F.lit(0).cast("long").alias(c) for c in ("n_units", "n_pieces", "ids_digest", "n_chars")), F.lit(True).alias("round_trip"))
-    return found.unionByName(nothing).select("row.doc_id", "n_units", "n_pieces", "ids_digest", "n_chars", "round_trip")
+    # an empty text has no units
+    return rows.select("row", "doc_id").join(found, "row", "left").select(
+        "doc_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_units", "n_pieces", "ids_digest", "n_chars")),
+        F.coalesce("round_trip", F.lit(True)).alias("round_trip"))
