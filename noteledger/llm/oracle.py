@@ -49,3 +49,58 @@ WITH u AS (
 SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.rule_verdict, 'allow') AS verdict
 FROM u LEFT JOIN fits f ON f.nth = 1 AND f.page_id = u.page_id AND f.host = u.host AND f.path = u.path
 """
+
+SQL["op2_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS body, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_slice(body, s + 1, s + 400)) AS content
+  FROM (SELECT doc_id, body, unnest(range(n_bytes - 399)) AS s FROM d WHERE n_bytes >= 400)
+), repeated AS (
+  SELECT doc_id, s FROM windows QUALIFY count(*) OVER (PARTITION BY content) > 1
+), marked AS (
+  SELECT *, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400, -1) AS fresh FROM repeated
+), numbered AS (
+  SELECT *, sum(fresh::INTEGER) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked
+), spans AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + 400 AS b FROM numbered GROUP BY ALL
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL
+  SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id
+  UNION ALL
+  SELECT doc_id, 0, NULL FROM d WHERE doc_id NOT IN (SELECT doc_id FROM spans)
+), kept AS (
+  SELECT doc_id, string_agg(substr(hex(body), 2 * a + 1, 2 * (coalesce(b, n_bytes) - a)), '' ORDER BY a) AS body
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, n_bytes, n_bytes - length(kept.body) // 2 AS n_removed,
+  (SELECT count(*) FROM spans WHERE spans.doc_id = d.doc_id) AS n_spans, sha256(unhex(kept.body)) AS kept_sha256
+FROM d JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+SQL["op3_bayes_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS shingles
+  FROM words
+), items AS (
+  SELECT doc_id, len(shingles) AS n, hash(unnest(shingles)) AS item FROM sets
+), shared AS (
+  SELECT *, count(*) OVER (PARTITION BY item) AS holders FROM items
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shared a JOIN shared b ON a.item = b.item AND a.doc_id <> b.doc_id
+  WHERE a.holders > 1 AND b.holders > 1
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(root, node) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT root, y FROM reach JOIN links ON node = x
+)
+SELECT doc_id, n_shingles, component_id, component_id = doc_id AS kept
+FROM (SELECT doc_id, len(shingles) AS n_shingles FROM sets) JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
