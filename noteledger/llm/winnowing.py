@@ -84,8 +84,11 @@ def likeness(a: Column, b: Column) -> Column:
     return let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
-def with_next(docs: DataFrame, columns: list[str], ranges: int) -> DataFrame:
-    """``docs`` (doc_id, text, _key and ``columns``) with next_<column> of the next row in descending order."""
+def with_next(docs: DataFrame, columns: list[str], ranges: int, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``docs`` (doc_id, text, _key) after ``enrich``, with next_<column> of the next row in descending order.
+
+    ``enrich`` works row by row. It comes after the copies are found, so that it runs once for every row.
+    """
     spark = docs.sparkSession
     quantiles = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] if ranges > 1 else None
     bounds = sorted(set(quantiles or []))
@@ -100,7 +103,7 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int) -> DataFrame:
         docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_head")))
         .dropDuplicates(["_to"]).drop("_id", "_head").withColumnRenamed("_to", "_range")
     )
-    rows = dealt.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
+    rows = enrich(dealt.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True))))
     order = WIN.Window.partitionBy("_range").orderBy("_copy", F.desc_nulls_last("doc_id"), "_key")
     return rows.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).where(~F.col("_copy")).drop("_copy", "_range")
 
@@ -114,8 +117,8 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document and its edited text, and likeness to both the edit and the next document."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("_key", text_key(F.col("text")))
-    found = rows.withColumn("_marks", marks(F.col("text"))).select("doc_id", "text", "_key", F.col("_marks.at").alias("at"), F.col("_marks.hash").alias("hash"))
-    paired = with_next(found, ["text", "hash"], RANGES_PER_TASK * n_tasks(docs.sparkSession))
+    marked = lambda df: df.withColumn("_marks", marks(F.col("text"))).select("*", "_marks.at", "_marks.hash").drop("_marks")
+    paired = with_next(rows, ["text", "hash"], RANGES_PER_TASK * n_tasks(docs.sparkSession), marked)
     both = paired.withColumn("_edited", edited(F.col("text"), F.col("next_text"))).select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
         F.struct("at", "hash").alias("own"), "next_hash", marks(F.col("_edited")).alias("other"))
