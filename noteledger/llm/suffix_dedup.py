@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint
+from noteledger.llm.common import checkpoint, fresh
 
 LENGTH = 400
 GRAM = 32  # bytes hashed for an anchor
@@ -54,6 +54,7 @@ SLICE = 1 << 20  # window starts handled at once, so that an anchor's place fits
 PLACE = np.uint64((1 << 21) - 1)
 CHUNK = 20_000
 HOT = 20_000
+SMALL = 200_000  # ids of texts that may be broadcast; more are joined by a shuffle
 
 _random = np.random.Generator(np.random.PCG64(7202410))
 BYTES = _random.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -212,7 +213,10 @@ def candidate_segments(docs: DataFrame, text: str, length: int) -> DataFrame:
 
     texts = docs.select(*text_id(F.col(text)), F.col(text).cast("binary").alias("text")).where(F.octet_length("text") >= length)
     made = texts.mapInPandas(rows, "core long, whole long, u1 long, u2 long, place long")
-    return made.withColumn("_n", F.expr("count(1) over (partition by core)")).where("_n > 1").drop("_n")
+    # counted with partial aggregation and joined, as one core may be that of half of all segments; the
+    # counts are written first, so that the join's two sides are plain exchanges that Spark can split
+    repeated = checkpoint(made.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core"))
+    return made.join(repeated, "core")
 
 
 def contexts(docs: DataFrame, text: str, wanted: DataFrame, length: int) -> DataFrame:
@@ -230,8 +234,13 @@ def contexts(docs: DataFrame, text: str, wanted: DataFrame, length: int) -> Data
             yield pd.DataFrame(out, columns=["core", "whole", "n", "windows", "lefts", "rights"])
 
     by_text = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct("core", "whole", "n", "place")).alias("asked"))
-    texts = docs.select(*text_id(F.col(text)), F.col(text).cast("binary").alias("text")).groupBy("u1", "u2").agg(F.first("text").alias("text"))
-    return texts.join(by_text, ["u1", "u2"]).mapInPandas(rows, "core long, whole long, n long, windows long, lefts binary, rights binary")
+    ids = checkpoint(wanted.select("u1", "u2").distinct())
+    if ids.count() <= SMALL:
+        ids = F.broadcast(ids)
+    # only texts that are asked for are shuffled, if their ids are few enough to broadcast
+    texts = docs.select(*text_id(F.col(text)), F.col(text).cast("binary").alias("text")).join(ids, ["u1", "u2"], "left_semi")
+    one_each = texts.groupBy("u1", "u2").agg(F.first("text").alias("text"))
+    return one_each.join(by_text, ["u1", "u2"]).mapInPandas(rows, "core long, whole long, n long, windows long, lefts binary, rights binary")
 
 
 SPANS = "core long, whole long, spans array<int>"
@@ -328,34 +337,45 @@ def kept_bytes(data: bytes, spans: list | None) -> tuple[bytes, int]:
     return b"".join(parts), n
 
 
-def solved_texts(docs: DataFrame, text: str, length: int, with_text: bool) -> DataFrame:
-    """Per distinct text: u1, u2, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
+def with_spans(docs: DataFrame, text: str, length: int, columns: list[Column], u1: str, u2: str, spans: str) -> DataFrame:
+    """``columns`` of every row and its spans; the rows are shuffled once, against narrow rows per text."""
+    found = checkpoint(repeated_spans(docs, text, length)).select(F.col("u1").alias(u1), F.col("u2").alias(u2), F.col("spans").alias(spans))
+    one, two = text_id(F.col(text))
+    return docs.select(*columns, one.alias(u1), two.alias(u2)).join(found, [u1, u2], "left")
+
+
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for data, spans in zip(batch["text"], batch["spans"], strict=True):
+            for data, spans in zip(batch["body"], batch["spans"], strict=True):
                 kept, n = kept_bytes(data, spans)
-                row = (len(data), len(data) - len(kept), n, hashlib.sha256(kept).hexdigest())
-                out.append((*row, kept.decode("utf-8", "ignore")) if with_text else row)
-            made = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
-            yield pd.concat([batch[["u1", "u2"]].reset_index(drop=True), made], axis=1)
+                out.append((len(data), len(data) - len(kept), n, hashlib.sha256(kept).hexdigest()))
+            made = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pd.concat([batch[["doc_id"]].reset_index(drop=True).astype("Int64"), made], axis=1)
 
-    spans = checkpoint(repeated_spans(docs, text, length))
-    body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
-    texts = docs.select(*text_id(F.col(text)), body).groupBy("u1", "u2").agg(F.first("text").alias("text")).join(spans, ["u1", "u2"], "left")
-    return texts.mapInPandas(rows, "u1 long, u2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text)
-
-
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    ids = docs.select(F.col(doc_id).alias("doc_id"), *text_id(F.col(text)))
-    return ids.join(solved_texts(docs, text, length, with_text=False), ["u1", "u2"]).drop("u1", "u2")
+    body = F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")
+    found = with_spans(docs, text, length, [F.col(doc_id).cast("long").alias("doc_id"), body], "u1", "u2", "spans")
+    return found.select("doc_id", "body", "spans").mapInPandas(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """``docs`` with the kept bytes as text; a character that a cut leaves incomplete goes as well. A null text stays null."""
-    one, two = text_id(F.col(text))
-    solved = solved_texts(docs, text, length, with_text=True).select(F.col("u1").alias("_u1"), F.col("u2").alias("_u2"), F.col("kept").alias("_kept"))
-    joined = docs.withColumn("_u1", one).withColumn("_u2", two).join(solved, ["_u1", "_u2"])
-    return joined.withColumn(text, F.when(F.col(text).isNotNull(), F.col("_kept"))).select(*docs.columns)
+
+    @F.pandas_udf("string")
+    def keep(texts: pd.Series, ends: pd.Series) -> pd.Series:
+        out = []
+        for t, flat in zip(texts, ends, strict=True):
+            spans = [{"a": a, "b": b} for a, b in zip(flat[::2], flat[1::2], strict=True)]
+            out.append(kept_bytes(t.encode("utf-8"), spans)[0].decode("utf-8", "ignore"))
+        return pd.Series(out)
+
+    u1, u2, spans = (fresh(docs, x) for x in ("_u1", "_u2", "_spans"))
+    found = with_spans(docs, text, length, [F.col(c) for c in docs.columns], u1, u2, spans)
+    ends = F.flatten(F.transform(spans, lambda s: F.array(s["a"], s["b"])))
+    # rows without spans, null texts among them, are left as they are
+    touched = F.col(spans).isNotNull() & F.col(text).isNotNull()
+    safe = F.when(touched, F.col(text)).otherwise(F.lit("")), F.when(touched, ends).otherwise(F.array().cast("array<bigint>"))
+    return found.withColumn(text, F.when(touched, keep(*safe)).otherwise(F.col(text))).select(*docs.columns)
