@@ -14,13 +14,14 @@ pruned as soon as the chance that it reaches the threshold falls below
 Candidates are made so that no group's square is emitted and no link between
 components is lost:
 
-1. each member of a bucket is paired with the bucket's smallest node; the best
-   survivor of each member is confirmed, then those that still join different
-   components;
-2. buckets whose members are in different components are compared member by
-   member across components, in blocks of ``BLOCK`` x ``BLOCK`` within a task; only
-   survivors of the Bayesian test leave it. A group of near copies has one
-   component by then and takes no part.
+1. each member of a bucket is paired with the bucket's smallest node, and the
+   best survivor of each member is confirmed;
+2. nodes that surviving pairs connect are a cluster. A cluster that still holds
+   several components, such as many documents just below the threshold, is
+   compared in full: its blocks meet in pairs, a task each, where intersections
+   are products of incidence matrices; only links that join components leave it;
+3. members of one bucket in different clusters are compared by their signatures,
+   again block by block, and only survivors of the Bayesian test leave the task.
 
 Words are runs without space, tab or line breaks of the text with A-Z in lower
 case. A text with fewer words than a shingle is one shingle; null texts, and
@@ -42,13 +43,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint, text_key
-from noteledger.llm.components import components
+from noteledger.llm.common import checkpoint, fresh, text_key
+from noteledger.llm.components import components, roots
 
 HASHES = 198
 MISS = 1e-6
 BATCH = 33  # hashes compared between two looks at the posterior
-BLOCK = 512
+BLOCK = 1024  # nodes of a group that are compared at once, on average
+BLOCK_BYTES = 8 << 20
 SMALL = 200_000  # ids that may be broadcast; more are joined by a shuffle
 MEMO = 400_000  # words whose hash a Python worker remembers
 
@@ -187,17 +189,94 @@ def with_components(frame: DataFrame, comps: DataFrame, *ids: str) -> DataFrame:
     return frame
 
 
-def across_components(members: DataFrame, nodes: DataFrame, least: dict[int, int]) -> DataFrame:
-    """Pairs (a, b) of members (bucket, id, c_id) of one bucket in different components that survive the Bayesian test."""
-    mixed = members.groupBy("bucket").agg(F.min("c_id").alias("lo"), F.max("c_id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
-    dealt = (
-        members.join(mixed.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "bucket")
+def dealt_in_blocks(members: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
+    """``members`` (group, id, c_id) copied to every pair of blocks (i <= j) that holds them; ``blocks``: group and their number."""
+    return (
+        members.join(blocks, group)
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "id", "c_id", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .join(nodes.select("id", "sig"), "id")
+        .select(group, "id", "c_id", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
 
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as products of incidence matrices."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    items, column = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    n = sum(map(len, left))
+    on_left, on_right = (np.bincount(c, minlength=len(items)) > 0 for c in (column[:n], column[n:]))
+    number = np.cumsum(on_left & on_right) - 1  # items of one side alone add nothing
+    number[~(on_left & on_right)] = -1
+    sides = []
+    for sets, place in ((left, column[:n]), (right, column[n:])):
+        row, col = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), number[place]
+        order = np.argsort(col, kind="stable")
+        sides.append((row[order], col[order]))
+    for start in range(0, int(number.max(initial=-1)) + 1, width):
+        part = []
+        for (row, col), size in zip(sides, (len(left), len(right)), strict=True):
+            a, b = np.searchsorted(col, [start, start + width])
+            matrix = np.zeros((size, width), np.float32)
+            matrix[row[a:b], col[a:b] - start] = 1
+            part.append(matrix)
+        out += part[0] @ part[1].T
+    return out
+
+
+def joining_links(group: pd.DataFrame, i: int, j: int, numerator: int, denominator: int) -> pd.DataFrame:
+    """Of the links between two blocks one for each two components they join, without circles."""
+    group = group.sort_values("id", ignore_index=True)
+    block, comp, ids = (group[c].to_numpy() for c in ("block", "c_id", "id"))
+    sets = [np.frombuffer(x, np.uint64) for x in group["items"]]
+    sizes = np.array([len(x) for x in sets], np.float64)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    out = []
+    if len(left) and len(right):
+        both = intersections([sets[x] for x in left], [sets[x] for x in right]).astype(np.float64)
+        linked = denominator * both >= numerator * (sizes[left][:, None] + sizes[right][None, :] - both)
+        linked &= comp[left][:, None] != comp[right][None, :]
+        p, q = np.nonzero(linked)
+        _, first = np.unique(np.stack([comp[left][p], comp[right][q]]), axis=1, return_index=True)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                root[x] = x = root.get(y, y)
+            return x
+
+        for k in first:
+            x, y = find(comp[left][p[k]]), find(comp[right][q[k]])
+            if x != y:
+                root[x] = y
+                out.append((ids[left[p[k]]], ids[right[q[k]]]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def within_clusters(clusters: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Links that join components within the clusters (cluster, id, c_id) that hold several.
+
+    Blocks of a cluster meet in pairs, in a task each, on their full sets. A
+    block has about ``BLOCK_BYTES`` of sets, and no more than ``BLOCK`` on average.
+    """
+    held = clusters.join(sets, "id")
+    mixed = (
+        held.groupBy("cluster").agg(F.min("c_id").alias("lo"), F.max("c_id").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
+        .where("lo < hi").select("cluster", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    )
+    dealt = dealt_in_blocks(clusters, "cluster", mixed).join(sets, "id")
+
+    def join_blocks(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        return joining_links(group, key[1], key[2], numerator, denominator)
+
+    return dealt.groupBy("cluster", "i", "j").applyInPandas(join_blocks, "a long, b long")
+
+
+def across_clusters(members: DataFrame, nodes: DataFrame, least: dict[int, int]) -> DataFrame:
+    """Pairs (a, b) of members (bucket, id, c_id: the cluster) of one bucket in different clusters that survive the Bayesian test."""
+    mixed = members.groupBy("bucket").agg(F.min("c_id").alias("lo"), F.max("c_id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    blocks = mixed.select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    dealt = dealt_in_blocks(members, "bucket", blocks).join(nodes.select("id", "sig"), "id")
+
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", ignore_index=True)
         _, i, j = key
@@ -248,12 +327,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominato
 
     best = alive.groupBy("b").agg(F.max_by("a", F.struct("matches", (-F.col("a")).alias("least"))).alias("a")).select("a", "b")
     links = checkpoint(confirm(best, sets, numerator, denominator))
-    comps = components(links)
-    rest = with_components(alive, comps, "a", "b").where("c_a <> c_b").select("a", "b").join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(checkpoint(confirm(rest, sets, numerator, denominator)))
-    comps = components(links)
-    across = across_components(with_components(members.select("bucket", "id"), comps, "id"), nodes, least).join(alive.select("a", "b"), ["a", "b"], "left_anti")
-    more = checkpoint(confirm(across, sets, numerator, denominator))
+    comps = checkpoint(roots(links))
+    # candidates that hang together are a cluster; those with several components are compared in full
+    clusters = checkpoint(components(alive)).select("id", F.col("comp").alias("cluster"))
+    inner = within_clusters(with_components(clusters, comps, "id"), sets, numerator, denominator)
+    # members of one bucket in different clusters: no chain of leaders has joined them
+    placed = with_components(members.select("bucket", "id"), clusters.withColumnRenamed("cluster", "comp"), "id")
+    outer = confirm(across_clusters(placed, nodes, least), sets, numerator, denominator)
+    more = checkpoint(inner.unionByName(outer))
     if not more.isEmpty():
         comps = components(links.unionByName(more))
 
@@ -275,11 +356,12 @@ def keep_one(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int
     """
     found = near_duplicates(docs, k, numerator, denominator, doc_id, text)
     # one (id, text key) per component; documents without shingles are not looked up
+    id_, key, mine = (fresh(docs, x) for x in ("_id", "_chosen", "_tkey"))
     chosen = (
         found.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("one"))
-        .select(F.col("one.doc_id").alias("_id"), F.col("one.tkey").alias("_key"))
+        .select(F.col("one.doc_id").alias(id_), F.col("one.tkey").alias(key))
     )
-    keyed = docs.withColumn("_tkey", text_key(F.col(text)))
+    keyed = docs.withColumn(mine, text_key(F.col(text)))
     has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    stays = keyed.where(has_words).join(chosen, (F.col("_tkey") == F.col("_key")) & F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    return stays.dropDuplicates(["_tkey"]).unionByName(keyed.where(~has_words)).select(*docs.columns)
+    stays = keyed.where(has_words).join(chosen, (F.col(mine) == F.col(key)) & F.col(doc_id).eqNullSafe(F.col(id_)), "left_semi")
+    return stays.dropDuplicates([mine]).unionByName(keyed.where(~has_words)).select(*docs.columns)
