@@ -82,3 +82,13 @@ def test_query_and_odd_rows(spark, sf_small, sf_dir, model):
     rows = QUERIES["op7_sentencepiece_lattice"](spark, sf_dir(documents=odd)).collect()
     assert sorted(r.n_pieces for r in rows) == sorted(len(model.encode(t)) for t in ("", "", "a b", "a b", "x" * 5000))
     assert QUERIES["op7_sentencepiece_lattice"](spark, sf_dir(documents=odd.where(F.lit(False)))).count() == 0
+
+
+def test_query_gives_ids_and_text(spark, sf_dir, model):
+    rows = list(enumerate([*texts()[:300], "a▁b", "▁", "", "two words\n and a line", "ab" * 600]))
+    docs = spark.createDataFrame([*rows, (-1, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in QUERIES["op7_sentencepiece_lattice"](spark, sf_dir(documents=docs)).collect()}
+    assert len(got) == len(rows) + 1 and (got[-1].ids, got[-1].text, got[-1].round_trip) == ([], "", True)
+    for i, t in rows:
+        assert got[i].ids == model.encode(t) and got[i].text == t.replace("▁", " ")
+        assert got[i].round_trip == ("▁" not in t) and (got[i].n_pieces, got[i].n_chars) == (len(got[i].ids), len(got[i].text))
