@@ -1,15 +1,24 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text's words (runs without white space) give one hash per k-gram of
-consecutive words; a text of fewer words has one gram of them all. Of each
-window of ``WINDOW`` consecutive hashes the smallest is chosen, the rightmost
-of equal ones, and its position is kept. Two texts that share ``WINDOW + K - 1``
-words in a row share a chosen hash, and its positions tell where.
-
-Work on a text is one pass of array functions inside the scan; only the text
-and its marks (about one in eight words) are shuffled, and once. Intermediate
-arrays are bound with ``let``, as an expression used inside a lambda would be
-evaluated anew for every element.
+A text's UTF-8 bytes give one hash per gram of ``GRAM`` consecutive bytes; a
+text of fewer bytes has one gram of them all. Of each window of ``WINDOW``
+consecutive hashes the smallest is chosen, the rightmost of equal ones, and its
+position is kept. Two texts that share ``WINDOW + GRAM - 1`` bytes in a row
+share a chosen hash, whatever they are written in, and its positions tell
+where. Texts of at most ``SHORT`` characters keep every gram, so that two of
+them need to share ``GRAM`` bytes only; a longer text's marks of a shared run
+are among them. A text so shares a mark with its edit if the half that stays
+has ``GRAM`` bytes.
+
+``marks`` is the same over words (runs without white space) in grams of ``K``;
+a text without white space is one gram there.
+
+A gram's hash and position are one long, so that the smallest long of a window
+is its mark. Minima of 2, 4, 8 ... hashes are made from those of half as many,
+for ``BLOCK`` windows at a time, so a long text needs no long arrays but its
+marks. Intermediate arrays are bound with ``let``, as an expression used inside
+a lambda would be evaluated anew for every element. Only texts are shuffled,
+and once; marks are made after it.
 
 To pair each document with the next one in descending order of doc_id, rows
 are dealt into ranges of doc_id between approximate quantiles (as many as
@@ -33,8 +42,11 @@ from pyspark.sql import window as WIN
 
 from noteledger.llm.common import n_tasks, small_frame, text_key
 
-K = 5  # words in a gram
+GRAM = 8  # bytes in a gram
+K = 5  # words in a gram of words
 WINDOW = 16  # grams in a window
+SHORT = 64  # characters of a text that keeps every gram
+BLOCK = 4096  # windows at a time
 RANGES_PER_TASK = 4
 
 
@@ -70,6 +82,47 @@ def marks(text: Column) -> Column:
     return let(grams(text), lambda g: let(mark_positions(g), lambda p: F.struct(p.alias("at"), F.transform(p, lambda i: F.get(g, i)).alias("hash"))))
 
 
+LAST = (1 << 31) - 1  # a packed gram is 32 bits of its hash and, in the low 31 bits, this less its position from 1
+HASH = 0xFFFFFFFF << 31
+
+
+def packed_grams(data: Column, first: Column, last: Column) -> Column:
+    """Hash and position of the grams of ``data`` (binary) that start at ``first`` to ``last``, counted from 1."""
+    return F.transform(F.sequence(first, last), lambda i: F.xxhash64(F.substring(data, i, F.lit(GRAM))).bitwiseAND(F.lit(HASH)).bitwiseOR(F.lit(LAST) - i))
+
+
+def window_minima(packed: Column, window: int = WINDOW) -> Column:
+    """The smallest of each window of packed grams; of fewer grams, the smallest of all."""
+
+    def wider(mins: Column, step: int) -> Column:
+        # least() passes over the nulls after the end
+        return let(mins, lambda m: F.zip_with(m, F.slice(m, F.lit(step + 1), F.size(m)), lambda a, b: F.least(a, b)))
+
+    def whole(p: Column) -> Column:
+        mins, width = p, 1
+        while width < window:
+            step = min(width, window - width)
+            mins, width = wider(mins, step), width + step
+        return F.slice(mins, F.lit(1), F.greatest(F.size(p) - (window - 1), F.lit(1)))
+
+    return let(packed, whole)
+
+
+def byte_marks(text: Column) -> Column:
+    """Struct of ``at`` (byte positions from 0, array<int>) and ``hash`` (array<bigint>) of the chosen grams of bytes."""
+
+    def chosen(data: Column, n: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1)), F.lit(BLOCK))
+        block = lambda s: F.array_distinct(window_minima(packed_grams(data, s, F.least(n, s + (BLOCK + WINDOW - 2)))))
+        return F.array_distinct(F.flatten(F.transform(starts, block)))
+
+    found = let(text.cast("binary"), lambda data: let(F.greatest(F.octet_length(data) - (GRAM - 1), F.lit(1)), lambda n: (
+        F.when(F.octet_length(data) == 0, F.array().cast("array<bigint>"))
+        .when(F.char_length(text) <= SHORT, packed_grams(data, F.lit(1), n)).otherwise(chosen(data, n)))))
+    return let(found, lambda p: F.struct(
+        F.transform(p, lambda x: (F.lit(LAST - 1) - x.bitwiseAND(F.lit(LAST))).cast("int")).alias("at"), F.transform(p, lambda x: F.shiftright(x, 31)).alias("hash")))
+
+
 def fingerprint(found: Column) -> Column:
     """Marks as text: hash (low 32 bits, hex) and position of each."""
     return F.array_join(F.zip_with(found["hash"], found["at"], lambda h, p: F.concat(F.lpad(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"), F.lit("@"), p.cast("string"))), " ")
@@ -87,7 +140,7 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, columns: list[str], ranges: int, enrich: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``docs`` (doc_id, text, _key) after ``enrich``, with next_<column> of the next row in descending order.
 
-    ``enrich`` works row by row. It comes after the copies are found, so that it runs once for every row.
+    ``enrich`` works row by row. It comes after the shuffle, so that what it adds is not shuffled.
     """
     spark = docs.sparkSession
     quantiles = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] if ranges > 1 else None
@@ -103,8 +156,10 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int, enrich: Callable
         docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_head")))
         .dropDuplicates(["_to"]).drop("_id", "_head").withColumnRenamed("_to", "_range")
     )
-    rows = enrich(dealt.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True))))
-    order = WIN.Window.partitionBy("_range").orderBy("_copy", F.desc_nulls_last("doc_id"), "_key")
+    by = ["_copy", F.desc_nulls_last("doc_id"), "_key"]
+    rows = dealt.withColumn("_copy", F.lit(False)).unionByName(copies.withColumn("_copy", F.lit(True)))
+    rows = enrich(rows.repartition("_range").sortWithinPartitions("_range", *by))
+    order = WIN.Window.partitionBy("_range").orderBy(*by)
     return rows.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).where(~F.col("_copy")).drop("_copy", "_range")
 
 
@@ -114,14 +169,14 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of every document and its edited text, and likeness to both the edit and the next document."""
+def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", find: Callable[[Column], Column] = byte_marks) -> DataFrame:
+    """Fingerprints of every document and its edited text, and likeness to both the edit and the next document. ``find``: marks of a text, ``byte_marks`` or ``marks``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("_key", text_key(F.col("text")))
-    marked = lambda df: df.withColumn("_marks", marks(F.col("text"))).select("*", "_marks.at", "_marks.hash").drop("_marks")
+    marked = lambda df: df.withColumn("_marks", find(F.col("text"))).select("*", "_marks.at", "_marks.hash").drop("_marks")
     paired = with_next(rows, ["text", "hash"], RANGES_PER_TASK * n_tasks(docs.sparkSession), marked)
     both = paired.withColumn("_edited", edited(F.col("text"), F.col("next_text"))).select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
-        F.struct("at", "hash").alias("own"), "next_hash", marks(F.col("_edited")).alias("other"))
+        F.struct("at", "hash").alias("own"), "next_hash", find(F.col("_edited")).alias("other"))
     return both.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own.hash"), F.col("other.hash")).alias("near_edited"), likeness(F.col("own.hash"), F.col("next_hash")).alias("near_next"))

@@ -88,3 +88,41 @@ def test_odd_rows(spark):
     twice = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (2, "d")], "doc_id long, text string")
     assert W.fingerprint_edits(twice).count() == 3
     assert W.fingerprint_edits(null.limit(0)).count() == 0
+
+
+def test_byte_marks_are_rightmost_minima(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab 日") for _ in range(rng.randint(W.SHORT + 1, 300))) for _ in range(40)]
+    texts += ["x" * 100, "日" * 100, "ab" * 5000, "".join(map(str, range(3000))), "", "a", "a" * W.GRAM, "short text", "b" * W.SHORT]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", "text", F.encode("text", "UTF-8").alias("b"))
+    n = F.greatest(F.octet_length("b") - (W.GRAM - 1), F.lit(1))
+    for r in df.select("text", W.packed_grams(F.col("b"), F.lit(1), n).alias("g"), W.byte_marks(F.col("text")).alias("m")).collect():
+        size = len(r.text.encode())
+        g = [x >> 31 for x in r.g] if size else []
+        assert len(g) == (max(1, size - W.GRAM + 1) if size else 0)
+        assert r.m.at == (naive(g, W.WINDOW) if len(r.text) > W.SHORT else list(range(len(g))))
+        assert r.m.hash == [g[i] for i in r.m.at]
+
+
+def test_texts_without_white_space(spark):
+    rng = random.Random(4)
+    letters = {"a": "abcdefghijklmnopqrstuvwxyz0123456789+/", "c": "".join(map(chr, range(0x4E00, 0x4F00))), "t": "".join(map(chr, range(0xE01, 0xE2F)))}
+    rows = []
+    for kind, chars in letters.items():
+        for n in (16, 20, 40, 64, 65, 90, 2000, 30_000):
+            text = "".join(rng.choice(chars) for _ in range(n))
+            other = "".join(rng.choice(chars) for _ in range(n))
+            at = n // 2 + 3
+            # descending ids: a text, its copy with one character changed, an unlike one
+            rows += [text, text[:at] + "!" + text[at + 1:], other]
+    docs = spark.createDataFrame([(-i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = {-r.doc_id: r for r in W.fingerprint_edits(docs).collect()}
+    assert all(r.near_edited > 0 for r in got.values())
+    assert all(got[i].near_next > 0 for i in range(0, len(rows), 3))
+    assert all(got[i].near_next < 0.1 for i in range(1, len(rows) // 3, 3))  # unlike ones of many letters in a gram
+
+
+def test_short_texts_share_what_stays(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "zyx wvu tsr"), (3, "eight letters and more")], "doc_id long, text string")
+    assert all(r.near_edited > 0 for r in W.fingerprint_edits(docs).collect() if r.n_chars > 14)
+    assert W.fingerprint_edits(docs, find=W.marks).where("near_edited > 0").count() == 0
