@@ -68,6 +68,12 @@ class PartIds(dict):
         with open(path, encoding="utf-8") as src:
             model = json.load(src)
         special = {t["content"] for t in model["added_tokens"]}
+        odd = [t["content"] for t in model["added_tokens"] if t["single_word"] or t["lstrip"] or t["rstrip"]]
+        if odd:
+            raise ValueError(f"added tokens that take in or look at what is beside them: {odd[:3]}")
+        self.added = {t["content"]: array("I", [t["id"]]).tobytes() for t in model["added_tokens"] if t["content"]}
+        # of tokens that start at one place the longest, as the library does
+        self.added_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         ranks = {bytes(map(BYTE_OF.__getitem__, t)): i for t, i in model["model"]["vocab"].items() if t not in special}
         self.encode_word = tiktoken.Encoding("words", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
 
@@ -80,8 +86,15 @@ class PartIds(dict):
             self[key] = found
         return found
 
+    def encode_added(self, text: str) -> bytes:
+        """Ids of a whole text as the file's library gives them: added tokens that the text holds have their own ids."""
+        if not any(t in text for t in self.added):
+            return self.encode(text)
+        # every second part is an added token
+        return b"".join(self.added[x] if i % 2 else self.encode(x) for i, x in enumerate(self.added_pattern.split(text)))
+
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text, without special tokens."""
+        """Ids of a whole text, all of it taken as plain text."""
         if not text:
             return b""
         if text[0].isspace() or text[-1].isspace() or any(x in text for x in IRREGULAR):
@@ -130,7 +143,7 @@ def piece_rows(batches: Iterator[pd.DataFrame], path: str, capacity: int, keep_i
         for a in range(0, len(batch), group):
             some, out = batch.iloc[a:a + group], []
             for doc_id, text in zip(some["doc_id"], some["text"], strict=True):
-                ids = encoder.encode(text or "") + end
+                ids = encoder.encode_added(text or "") + end
                 n = len(ids) // 4
                 pieces = cut(n, capacity, nth % EVERY == 0)
                 nth += 1

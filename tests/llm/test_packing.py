@@ -89,3 +89,20 @@ def test_odd_rows(spark, library):
     check(got, {}, library)
     assert len(got) == 3
     assert P.pack(docs.limit(0), vocabulary(VOCAB)).count() == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    """The library as it is by default, without ``encode_special_tokens``."""
+    from tokenizers import Tokenizer
+
+    default = Tokenizer.from_file(vocabulary(VOCAB))
+    ids_of = lambda text: default.encode(text, add_special_tokens=False).ids
+    rng = random.Random(6)
+    parts = [" ", "\n", "  ", "a", "the", "'s", "é", "日本", "<|", "|>", "<|endoftext|>", "<|endoftext|>", "endoftext"]
+    texts = ["see <|endoftext|> here", "<|endoftext|>", "<|endoftext|" * 2 + ">"] + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    encoder = P.PartIds(vocabulary(VOCAB))
+    assert all(np.frombuffer(encoder.encode_added(t), "<u4").tolist() == ids_of(t) for t in texts)
+    docs = spark.createDataFrame(list(enumerate(texts[:60])), "doc_id long, text string")
+    got = P.pack(docs, vocabulary(VOCAB), keep_ids=True).collect()
+    check(got, dict(enumerate(texts[:60])), ids_of)
+    assert next(r for r in got if r.doc_id == 0).ids == [3826, 220, 50256, 994, 0]
