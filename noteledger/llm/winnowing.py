@@ -25,7 +25,8 @@ are dealt into ranges of doc_id between approximate quantiles (as many as
 there are tasks, times ``RANGES_PER_TASK``); the first row of each range is
 copied to the end of the one before, and a window function looks ahead inside
 a range. Null ids come last; rows of one id are ordered by the md5 of their
-text.
+text, and nulls, or an id that several quantiles fall on, have ranges of this
+key, in proportion to their rows. Only rows alike in id and text stay together.
 
 Null texts count as empty. An empty text has no marks; two texts without marks
 are alike (1.0), and one without is unlike any with (0.0). Repeated rows get a
@@ -34,6 +35,7 @@ row each. With a single row the next document is the row itself.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -143,15 +145,23 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int, enrich: Callable
     ``enrich`` works row by row. It comes after the shuffle, so that what it adds is not shuffled.
     """
     spark = docs.sparkSession
-    quantiles = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] if ranges > 1 else None
-    bounds = sorted(set(quantiles or []))
+    cuts = F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges) if ranges > 1 else F.lit(None)
+    quantiles, known, total = docs.select(cuts, F.count("doc_id"), F.count(F.lit(1))).first()
+    shares = Counter(quantiles or [])
+    bounds = sorted(shares)
+    heavy = {i: n + 1 for i, n in shares.items() if n > 1}  # ids with ranges of their own, by key
+    nulls = max(1, -(-ranges * (total - known) // max(1, total)))
     # range 0 holds the largest ids; nulls come after the last
     above = F.lit(len(bounds)) - F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
-    dealt = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(above))
+    many = F.lit(list(heavy)).cast("array<bigint>")
+    parts = F.when(F.col("doc_id").isNull(), F.lit(nulls)).when(F.array_contains(many, F.col("doc_id")), F.get(F.lit(list(heavy.values())), F.array_position(many, F.col("doc_id")).cast("int") - 1)) if heavy else F.when(F.col("doc_id").isNull(), F.lit(nulls))
+    # the key's place among as many parts; a heavy id is the largest of its range of ids, so the others come after it
+    place = F.coalesce(F.shiftright(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * parts, 32), F.lit(ranges + 1).cast("long"))
+    dealt = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(above).cast("long") * (ranges + 2) + place)
     first = {r["_range"]: r["f"] for r in dealt.groupBy("_range").agg(F.min(F.struct(F.bitwise_not("doc_id").alias("down"), "_key")).alias("f")).collect()}
     used = sorted(first)
     links = [(used[i - 1], None if first[r]["down"] is None else ~first[r]["down"], first[r]["_key"]) for i, r in enumerate(used)]
-    heads = F.broadcast(small_frame(spark, links, "_to int, _id long, _head string"))
+    heads = F.broadcast(small_frame(spark, links, "_to long, _id long, _head string"))
     copies = (
         docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_head")))
         .dropDuplicates(["_to"]).drop("_id", "_head").withColumnRenamed("_to", "_range")

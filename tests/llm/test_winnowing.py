@@ -126,3 +126,16 @@ def test_short_texts_share_what_stays(spark):
     docs = spark.createDataFrame([(1, "one two three four five six"), (2, "zyx wvu tsr"), (3, "eight letters and more")], "doc_id long, text string")
     assert all(r.near_edited > 0 for r in W.fingerprint_edits(docs).collect() if r.n_chars > 14)
     assert W.fingerprint_edits(docs, find=W.marks).where("near_edited > 0").count() == 0
+
+
+def test_repeated_and_null_ids_are_split(spark):
+    rows = [(7, f"seven {i}") for i in range(120)] + [(None, f"null {i}") for i in range(150)] + [(i, f"text {i}") for i in range(60)] + [(8, "same")] * 3
+    random.Random(7).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_key", F.md5("text"))
+    seen = []
+    found = W.with_next(docs, ["text"], 16, lambda df: (seen.append(df), df)[1]).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.md5(r[1].encode()).hexdigest()))
+    # the first row comes after the last
+    want = [(str(a[0]), a[1], b[1]) for a, b in zip(order, [*order[1:], order[0]], strict=True)]
+    assert sorted(map(str, ((str(r.doc_id), r.text, r.next_text) for r in found))) == sorted(map(str, want))
+    assert max(r["count"] for r in seen[0].where(~F.col("_copy")).groupBy("_range").count().collect()) < 60
