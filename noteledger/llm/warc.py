@@ -43,7 +43,7 @@ from noteledger.llm.common import n_tasks
 from noteledger.session import ensure_checkpoint_dir
 
 MAGIC = 0x184D2A5D  # fixed value: skippable frame that holds the dictionary
-SAMPLE_BYTES, SAMPLE_PART, DICT_BYTES, LEAST_SAMPLES = 4 << 20, 64 << 10, 64 << 10, 16
+SAMPLE_BYTES, DICT_BYTES, LEAST_SAMPLES = 4 << 20, 64 << 10, 16
 END = b"\r\n"
 ARCHIVES = "path string, n_records long"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
@@ -105,7 +105,7 @@ def train(samples: list[bytes]) -> zstandard.ZstdCompressionDict | None:
 
 
 def write_archive(folder: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Write one partition; its first records, up to ``SAMPLE_BYTES``, train the dictionary."""
+    """Write one partition; its first records, whole ones of up to ``SAMPLE_BYTES`` together, train the dictionary."""
     clean = lambda x: None if pd.isna(x) else int(x)
 
     def records() -> Iterator[bytes]:
@@ -123,7 +123,7 @@ def write_archive(folder: str, batches: Iterator[pd.DataFrame]) -> Iterator[pd.D
         return
     system, base = pafs.FileSystem.from_uri(folder)
     name = f"{base}/{uuid.uuid4().hex}.warc.zst"
-    trained, n = train([x[:SAMPLE_PART] for x in first]), 0
+    trained, n = train(first if held <= SAMPLE_BYTES else first[:-1]), 0
     packer = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True)
     with system.open_output_stream(name + ".open", compression=None) as out:
         if trained is not None:

@@ -46,3 +46,14 @@ def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     archives = spark.createDataFrame(WA.write_warc(pages, WA.warc_folder(spark)).collect(), WA.ARCHIVES)
     assert WA.read_warc(archives).count() == 0
+
+
+def test_dictionary_of_whole_records(spark, monkeypatch):
+    import pandas as pd
+
+    seen = []
+    monkeypatch.setattr(WA, "train", lambda samples: seen.extend(samples))
+    body = [b"a" * 300_000 + str(i).encode() for i in range(20)] + [b"b" * (5 << 20)]
+    rows = pd.DataFrame([(i, "u", "response", None, hashlib.sha256(b).hexdigest(), len(b), b) for i, b in enumerate(body)], columns=WA.RECORD_COLUMNS)
+    assert [x.n_records[0] for x in WA.write_archive(WA.warc_folder(spark), iter([rows]))] == [21]
+    assert len(seen) == 13 and sum(map(len, seen)) <= WA.SAMPLE_BYTES and all(WA.parse(x)["payload"] == body[i] for i, x in enumerate(seen))
