@@ -104,3 +104,42 @@ WITH RECURSIVE words AS (
 SELECT doc_id, n_shingles, component_id, component_id = doc_id AS kept
 FROM (SELECT doc_id, len(shingles) AS n_shingles FROM sets) JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) USING (doc_id)
 """
+
+SQL["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lines AS (
+  SELECT lang, [x for x in regexp_split_to_array(piece, '[\x20\x09]+') if x <> ''] AS w FROM pieces
+), lengths AS (
+  SELECT lang, w, unnest(range(1, 6)) AS k FROM lines
+), places AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lengths WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n FROM places GROUP BY ALL
+), total AS (
+  SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 100
+), inner_phrases AS (
+  SELECT lang, a AS longer, unnest(flatten([[array_to_string(w[s:s + m - 1], ' ') for s in range(1, k - m + 2)] for m in range(2, k)])) AS phrase
+  FROM candidates WHERE k >= 3
+), absorbed AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inner_phrases i ON c.lang = i.lang AND c.phrase = i.phrase AND 100 * i.longer >= 100 * c.a
+), cuts AS (
+  SELECT c.*, unnest(range(1, k)) AS cut FROM candidates c ANTI JOIN absorbed b ON c.lang = b.lang AND c.phrase = b.phrase
+), parts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.n AS l, r.n AS r, t.n AS n,
+         ((1000::HUGEINT * c.a * t.n) // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(w[cut + 1:c.k], ' ')
+  JOIN total t ON t.lang = c.lang
+), best AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, rank::INTEGER AS rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+WHERE rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import minhash, packing, quality, sentencepiece_lattice, sharding, suffix_dedup, topk, url_filter, warc, winnowing
+from noteledger.llm import collocations, minhash, packing, quality, sentencepiece_lattice, sharding, suffix_dedup, topk, url_filter, warc, winnowing
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -75,6 +75,10 @@ def op10_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), min_count=100, top=2000)
+
+
 QUERIES: dict[str, Query] = {
     "op1_additive_quality": op1_additive_quality,
     "op5_differencing_packing": op5_differencing_packing,
@@ -86,4 +90,5 @@ QUERIES: dict[str, Query] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_warc_zstd": op9_warc_zstd,
     "op10_bloom_cascade": op10_bloom_cascade,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
