@@ -104,12 +104,12 @@ def parse(docs: DataFrame, lang: str = "lang", text: str = "text", max_words: in
     return chunks.groupBy("lang", "chunk", "last").agg(F.count(F.lit(1)).alias("weight"))
 
 
-def _keyed(hashes: np.ndarray, lang: np.ndarray) -> np.ndarray:
+def _keyed(hashes: np.ndarray, lang: np.ndarray, bits: int) -> np.ndarray:
     """Bit of a phrase of a language."""
-    return W.mixed(hashes * W.FOLD + lang) % np.uint64(BITS)
+    return W.mixed(hashes * W.FOLD + lang) % np.uint64(bits)
 
 
-def count_batch(batch: pa.RecordBatch, k: int, overlap: int, frequent: np.ndarray | None) -> pa.RecordBatch:
+def count_batch(batch: pa.RecordBatch, k: int, overlap: int, frequent: np.ndarray | None, bits: int) -> pa.RecordBatch:
     """Phrases of ``k`` words in some chunks: lang, phrase, n; only those whose parts may be frequent."""
     distinct, ids, n = W.split_words(batch.column("chunk").cast(pa.large_string()))
     langs, lang = W.encoded(batch.column("lang"))
@@ -123,7 +123,7 @@ def count_batch(batch: pa.RecordBatch, k: int, overlap: int, frequent: np.ndarra
     ok = (place < own) & (place + k <= end)
     if k > 1 and frequent is not None:
         grams = W.gram_hashes(W.word_hashes(distinct)[ids], k - 1)
-        bit = _keyed(grams, W.word_hashes(langs)[lang[:len(grams)]])
+        bit = _keyed(grams, W.word_hashes(langs)[lang[:len(grams)]], bits)
         hit = np.zeros(len(ids) + 1, bool)
         hit[:len(grams)] = (frequent[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
         ok &= hit[:-1] & hit[1:]
@@ -146,13 +146,13 @@ def count_batch(batch: pa.RecordBatch, k: int, overlap: int, frequent: np.ndarra
     })
 
 
-def bitmap(phrases: DataFrame) -> np.ndarray:
-    """Bits of the phrases (lang, phrase), ``BITS`` in all; built in parts of 4 kB that the driver puts in a row.
+def bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
+    """Bits of the phrases (lang, phrase), ``bits`` in all; built in parts of 4 kB that the driver puts in a row.
 
     Spark's bitmap functions number bits and parts from 1.
     """
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
@@ -160,16 +160,16 @@ def bitmap(phrases: DataFrame) -> np.ndarray:
             langs, lang = W.encoded(batch.column("lang"))
             h, first = W.word_hashes(distinct)[ids], W.starts_of(n)
             grams = W.gram_hashes(h, int(n[0]))[first]  # all have as many words
-            yield pa.record_batch({"bit": pa.array(_keyed(grams, W.word_hashes(langs)[lang]).astype(np.int64) + 1)})
+            yield pa.record_batch({"bit": pa.array(_keyed(grams, W.word_hashes(langs)[lang], bits).astype(np.int64) + 1)})
 
-    made = phrases.mapInArrow(bits, "bit long").groupBy(F.expr("bitmap_bucket_number(bit)").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("held"))
-    out = np.zeros(BITS // 8 + 4096, np.uint8)
+    made = phrases.mapInArrow(numbered, "bit long").groupBy(F.expr("bitmap_bucket_number(bit)").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("held"))
+    out = np.zeros((bits // (8 * 4096) + 1) * 4096, np.uint8)
     for part, held in made.toLocalIterator():
         out[(part - 1) * 4096:part * 4096] = np.frombuffer(held, np.uint8)
     return out
 
 
-def count_phrases(parsed: DataFrame, min_count: int, max_words: int = 5) -> tuple[list[DataFrame], DataFrame]:
+def count_phrases(parsed: DataFrame, min_count: int, max_words: int = 5, bits: int = BITS) -> tuple[list[DataFrame], DataFrame]:
     """Phrases with at least ``min_count`` occurrences per number of words, as (lang, phrase, n), and all words per lang (lang, n)."""
     spark = parsed.sparkSession
     overlap, levels, held = max_words - 1, [], None
@@ -182,10 +182,10 @@ def count_phrases(parsed: DataFrame, min_count: int, max_words: int = 5) -> tupl
                 waiting.append(batch)
                 size += batch.column("chunk").nbytes // 6
                 if size >= WORDS:
-                    yield count_batch(pa.concat_batches(waiting), k, overlap, frequent)
+                    yield count_batch(pa.concat_batches(waiting), k, overlap, frequent, bits)
                     waiting, size = [], 0
             if waiting:
-                yield count_batch(pa.concat_batches(waiting), k, overlap, frequent)
+                yield count_batch(pa.concat_batches(waiting), k, overlap, frequent, bits)
 
         counted = parsed.mapInArrow(rows, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
         if k == 1:
@@ -194,7 +194,7 @@ def count_phrases(parsed: DataFrame, min_count: int, max_words: int = 5) -> tupl
         found = stored(counted.where(F.col("n") >= min_count))
         levels.append(found)
         if k < max_words:
-            held = spark.sparkContext.broadcast(bitmap(found.select("lang", "phrase")))
+            held = spark.sparkContext.broadcast(bitmap(found.select("lang", "phrase"), bits))
     return levels, totals
 
 
@@ -230,10 +230,10 @@ def scored(levels: list[DataFrame], totals: DataFrame, absorbed: int) -> DataFra
     )
 
 
-def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, max_words: int = 5, absorbed: int = 100, lang: str = "lang", text: str = "text", period: int = PERIOD) -> DataFrame:
+def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, max_words: int = 5, absorbed: int = 100, lang: str = "lang", text: str = "text", period: int = PERIOD, bits: int = BITS) -> DataFrame:
     """Each language's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
     parsed = stored(parse(docs, lang, text, max_words, period))
-    found = scored(*count_phrases(parsed, min_count, max_words), absorbed)
+    found = scored(*count_phrases(parsed, min_count, max_words, bits), absorbed)
     order = WIN.Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     # of a language, every task passes on its first ``top`` only
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noteledger.llm import collocations, minhash, packing, quality, sentencepiece_lattice, sharding, suffix_dedup, topk, url_filter, warc, winnowing
+from noteledger.llm import class_lm, collocations, minhash, packing, quality, sentencepiece_lattice, sharding, spelling, suffix_dedup, topk, url_filter, warc, winnowing
 from noteledger.llm.common import checkpoint
 from noteledger.sources.tables import read_table
 
@@ -79,6 +79,14 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"), min_count=100, top=2000)
 
 
+def op12_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.language_model_scores(read_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_additive_quality": op1_additive_quality,
     "op5_differencing_packing": op5_differencing_packing,
@@ -91,4 +99,6 @@ QUERIES: dict[str, Query] = {
     "op9_warc_zstd": op9_warc_zstd,
     "op10_bloom_cascade": op10_bloom_cascade,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_class_lm": op12_class_lm,
+    "op13_spelling_variants": op13_spelling_variants,
 }
