@@ -36,8 +36,3 @@ def raw_code_pieces(codes, sep: str = CODE_SEPARATOR) -> Column:
 def all_codes_valid(codes, pattern: str = CODE_STRICT, sep: str = CODE_SEPARATOR) -> Column:
     """True when every piece of the set is well formed (an empty set is valid)."""
     return F.forall(code_pieces(codes, sep), lambda x: x.rlike(pattern))
-
-
-def one_hot(codes_array, dictionary_array) -> Column:
-    """0/1 per dictionary entry, in dictionary order."""
-    return F.transform(col(dictionary_array), lambda c: F.array_contains(col(codes_array), c).cast("int"))

@@ -8,10 +8,10 @@ dense 0/1 array is built per row from the dictionary array when asked for.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import one_hot, parse_code_set, raw_code_pieces
+from ..functions.codes import parse_code_set, raw_code_pieces
 from ..functions.generators import explode_rows
 from ..functions.patterns import CODE_STRICT
 from .ranking import exact_rank
@@ -48,20 +48,27 @@ def dictionary_array(dictionary: DataFrame):
     return F.lit(dictionary.select(codes).scalar())
 
 
+def dense_labels(indexes: Column, width: Column) -> Column:
+    """0/1 array of ``width`` from the sorted positions of its ones, as runs of zeros between them."""
+    bounds = F.concat(F.array(F.lit(-1)), indexes, F.array(width))
+    zeros = F.transform(F.sequence(F.lit(0), F.size(indexes)), lambda k: F.array_repeat(F.lit(0), F.get(bounds, k + 1) - F.get(bounds, k) - 1))
+    return F.flatten(F.transform(zeros, lambda z, k: F.when(k == 0, z).otherwise(F.concat(F.array(F.lit(1)), z))))
+
+
 def one_hot_labels(df: DataFrame, dictionary: DataFrame, codes: str = "codes", pattern: str = CODE_STRICT,
                    labels: str = "labels", indexes: str = "label_indexes") -> DataFrame:
-    """``df`` with the dense 0/1 label array of each row, in dictionary order,
-    and the sorted indexes of its ones (the sparse form).
+    """``df`` with the sorted dictionary indexes of each row's codes (the sparse
+    form) and the dense 0/1 label array, in dictionary order, made from them.
 
-    Row by row from the dictionary array, which is as wide as one dense row:
-    no explode, no group and no join, so repeated or NULL ids do not matter.
+    Row by row: each of the row's codes is looked up once in the dictionary
+    array, which is as wide as one dense row; no explode, no group and no join,
+    so repeated or NULL ids do not matter.
     """
     parsed = F.array_distinct(parse_code_set(codes, pattern))
-    both = df.withColumn("_codes", parsed).withColumn("_dictionary", dictionary_array(dictionary))
-    known = F.array_intersect("_codes", "_dictionary")
-    return both.select(
-        *df.columns, one_hot("_codes", "_dictionary").alias(labels),
-        F.array_sort(F.transform(known, lambda c: F.array_position("_dictionary", c).cast("int") - 1)).alias(indexes))
+    found = df.withColumn("_dictionary", dictionary_array(dictionary)).withColumn("_codes", parsed)
+    place = F.transform("_codes", lambda c: F.array_position("_dictionary", c).cast("int") - 1)
+    found = found.withColumn(indexes, F.array_sort(F.filter(place, lambda i: i >= 0)))
+    return found.select(*df.columns, dense_labels(F.col(indexes), F.size("_dictionary")).alias(labels), indexes)
 
 
 def label_union(df: DataFrame, split: str = "split", codes: str = "codes",

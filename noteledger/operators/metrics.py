@@ -5,7 +5,7 @@ score arrays by ``posexplode`` (no shuffle). Global metrics are one
 aggregate; per-label metrics group by label with map-side partial
 aggregation, so the shuffle carries (tasks x labels) rows. The AUC is the
 exact Mann-Whitney statistic with ties counted half, computed from counts
-per distinct score and bucketed running sums (no single-task window).
+per distinct score and running sums over ranges of scores (no single-task window).
 """
 
 from __future__ import annotations
@@ -129,10 +129,10 @@ def _score_counts(long: DataFrame, keys: list[str], score: str = "score") -> Dat
                                           F.sum(1 - F.col("y_true")).cast("long").alias("neg"))
 
 
-def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 256) -> DataFrame:
+def roc_auc_micro(long: DataFrame, score: str = "score") -> DataFrame:
     """Exact micro ROC AUC over all (row, label) pairs; NULL when a class is missing."""
     sc = _score_counts(long, [], score)
-    cum = running_totals(sc, score, ["neg"], buckets)
+    cum = running_totals(sc, score, ["neg"])
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                   F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
@@ -140,10 +140,10 @@ def roc_auc_micro(long: DataFrame, score: str = "score", buckets: int = 256) ->
                       F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 
-def roc_points(long: DataFrame, label: str = "label", score: str = "score", buckets: int = 256) -> DataFrame:
+def roc_points(long: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Per label and distinct threshold s: tp/fp of 'score >= s', tpr, fpr."""
     sc = _score_counts(long, [label], score)
-    cum = running_totals(sc, score, ["pos", "neg"], buckets, [label])
+    cum = running_totals(sc, score, ["pos", "neg"], [label])
     tot = sc.groupBy(label).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     j = cum.join(tot, label)
     tp = F.col("P") - (F.col("cum_pos") - F.col("pos"))
@@ -153,10 +153,9 @@ def roc_points(long: DataFrame, label: str = "label", score: str = "score", buck
                     _r(F.try_divide(fp.cast("double"), F.col("N"))).alias("fpr"))
 
 
-def roc_auc_by_label(long: DataFrame, label: str = "label", score: str = "score",
-                     buckets: int = 256) -> DataFrame:
+def roc_auc_by_label(long: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     sc = _score_counts(long, [label], score)
-    cum = running_totals(sc, score, ["neg"], buckets, [label])
+    cum = running_totals(sc, score, ["neg"], [label])
     below = F.col("cum_neg") - F.col("neg")
     agg = cum.groupBy(label).agg(F.sum(F.col("pos") * (below + 0.5 * F.col("neg"))).alias("_u"),
                                  F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))

@@ -13,7 +13,7 @@ import itertools
 import random
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import SparkContext, StorageLevel
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +28,6 @@ RF_PARAMS = dict(numTrees=100, maxDepth=10, seed=42)
 LR_PARAMS = dict(maxIter=1000)
 
 
-PATIENCE = 10  # rounds without a better validation loss after which boosting ends
-FIRST_ROUNDS = 16
 PARTITION_BYTES = 64 << 20  # of feature vectors in one partition of a fit
 
 
@@ -50,51 +48,6 @@ def make_estimator(kind: str, features: str = "features", label: str = "label",
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-def best_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """(rounds to keep, whether the rule has ended): the round with the lowest
-    loss before the first ``patience`` rounds in a row that do not improve on it."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def cut_trees(model, n: int):
-    """The boosted model of the first ``n`` trees."""
-    from pyspark.ml.classification import GBTClassificationModel
-
-    if n >= model.getNumTrees:
-        return model
-    gateway = SparkContext._active_spark_context._gateway
-    java = model._java_obj
-    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
-    return GBTClassificationModel(gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights))
-
-
-def fit_boosted(train: DataFrame, validation: DataFrame, features: str = "features", label: str = "label",
-                patience: int = PATIENCE, **overrides):
-    """Boosted trees up to the best round on the validation rows.
-
-    The loss after every round is read from the fitted model, and trees after
-    the best round are cut. As trees do not depend on later ones, the rounds
-    are fitted in growing numbers until the patience rule has ended.
-    """
-    most = {**GBT_PARAMS, **overrides}["maxIter"]
-    rounds = min(most, max(FIRST_ROUNDS, patience + 1))
-    while True:
-        model = make_estimator("gbt", features, label, **{**overrides, "maxIter": rounds}).fit(train)
-        keep, ended = best_round(model.evaluateEachIteration(validation), patience)
-        if ended or rounds == most:
-            return cut_trees(model, keep)
-        rounds = min(most, 2 * rounds)
-
-
 def label_frame(df: DataFrame, truth: str, k: int, out: str = "label") -> DataFrame:
     return df.withColumn(out, F.element_at(F.col(truth), k + 1).cast("double"))
 
@@ -118,17 +71,13 @@ def fit_frame(df: DataFrame, columns: list[str], features: str, id_col: str | No
 
 
 def fit_binary_relevance(train: DataFrame, n_labels: int, kind: str = "gbt", features: str = "features",
-                         truth: str = "y_true", validation: str | None = None, parallelism: int = 4,
-                         id_col: str | None = None, patience: int = PATIENCE, **overrides) -> list:
+                         truth: str = "y_true", parallelism: int = 4, id_col: str | None = None, **overrides) -> list:
     """Fit one model per label; returns the fitted models in label order.
-    Boosted trees with a ``validation`` column keep their best round."""
-    cached, n_rows = fit_frame(train, [features, truth, *([validation] if validation else [])], features, id_col)
+    Boosted trees that stop on validation rows are in :mod:`.boosting`."""
+    cached, n_rows = fit_frame(train, [features, truth], features, id_col)
     try:
         def fit(k):
-            frame = label_frame(cached, truth, k)
-            if kind == "gbt" and validation:
-                return fit_boosted(frame.where(~F.col(validation)), frame.where(validation), features, "label", patience, **overrides)
-            return make_estimator(kind, features, "label", n_rows, **overrides).fit(frame)
+            return make_estimator(kind, features, "label", n_rows, **overrides).fit(label_frame(cached, truth, k))
 
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             return list(pool.map(fit, range(n_labels)))
@@ -237,7 +186,7 @@ def feature_importance(models: list, names: list[str], spark, top: int | None =
     ``subset``: only these features (e.g. the engineered block), all of them."""
     import numpy as np
 
-    imps = np.mean([m.featureImportances.toArray() for m in models], axis=0)
+    imps = np.mean([m.importances() if hasattr(m, "importances") else m.featureImportances.toArray() for m in models], axis=0)
     rows = [(n, float(v)) for n, v in zip(names, imps) if subset is None or n in subset]
     df = spark.createDataFrame(rows, "feature string, importance double")
     ranked = df.select("feature", F.round("importance", 6).alias("importance")).orderBy(

@@ -2,7 +2,7 @@
 
 ``row_number() OVER (ORDER BY k)`` and ``sum() OVER (ORDER BY k)`` without a
 PARTITION BY run in one task. Here the ordering key is cut into buckets that
-are monotone in the key (a prefix of a hash, or a coarse score band):
+are monotone in the key (a prefix of a hash, or ranges found by Spark):
 
 1. count / sum per bucket: a tiny aggregate (partial aggregation map-side);
 2. offsets per bucket by a window over that tiny table;
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def seeded_hash(key, seed: int) -> Column:
     """Hex md5 of 'seed:key'; the same in Spark and in any SQL engine."""
@@ -49,36 +51,28 @@ def exact_rank(df: DataFrame, hash_col: str, tie_col: str, partition_cols: list[
             .drop("_bucket", "_off", "_local"))
 
 
-def running_totals(df: DataFrame, order_col: str, values: list[str], buckets: int = 256,
+def running_totals(df: DataFrame, order_col: str, values: list[str],
                    partition_cols: list[str] | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``values`` ordered by the number ``order_col``
-    (unique within each partition group), in quantile buckets of it."""
+    (unique within each partition group).
+
+    The rows are dealt out by ranges of (group, number), as many as the session
+    has shuffle partitions, and written, so a row stays in its range. A range's
+    sums are one row per group in it; their running sums are the offsets of the
+    sums inside the range.
+    """
     parts = list(partition_cols or [])
-    b = with_quantile_bucket(df, order_col, buckets)
-    totals = b.groupBy(*parts, "_bucket").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    before = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "_bucket",
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(df.repartitionByRange(n, *parts, order_col).withColumn("_range", F.spark_partition_id()))
+    totals = placed.groupBy(*parts, "_range").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.partitionBy(*parts).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, "_range",
                             *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}")
                               for v in values])
-    inner = (Window.partitionBy(*parts, "_bucket").orderBy(order_col)
+    inner = (Window.partitionBy(*parts, "_range").orderBy(order_col)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = b.join(offsets, parts + ["_bucket"])
-    for v in values:
-        out = out.withColumn(prefix + v, F.col(f"_o_{v}") + F.sum(v).over(inner))
-    return out.drop("_bucket", *[f"_o_{v}" for v in values])
-
-
-def with_quantile_bucket(df: DataFrame, score: str, buckets: int = 256, out: str = "_bucket") -> DataFrame:
-    """``df`` with the number of approximate quantiles of its values that lie below each value.
-
-    Monotone in the value and about evenly filled however the values lie, as
-    with probabilities that pile up near 0. The bounds are a scalar subquery of
-    ``buckets`` - 1 numbers.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = F.lit(df.select(F.percentile_approx(F.col(score), shares, 50 * buckets)).scalar())
-    below = F.size(F.filter(F.array_distinct("_bounds"), lambda b: b < F.col(score)))
-    return df.withColumn("_bounds", bounds).withColumn(out, F.coalesce(below, F.lit(0))).drop("_bounds")
+    out = placed.join(offsets, parts + ["_range"])
+    return out.select(*df.columns, *[(F.col(f"_o_{v}") + F.sum(v).over(inner)).alias(prefix + v) for v in values])
 
 
 def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
@@ -91,10 +85,7 @@ def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
     is checkpointed first so both uses see the same partitioning, also after
     an executor loss.
     """
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    m = df.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    m = materialize(df.withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_mid"), 33)
     counts = m.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,3 +95,18 @@ def row_index(df: DataFrame, out: str = "row_index") -> DataFrame:
     return (m.withColumn("_p", part).join(offsets, "_p")
             .withColumn(out, F.col("_off") + local)
             .drop("_p", "_off", "_mid"))
+
+
+def file_row_index(scan: DataFrame, columns: list[Column], out: str = "row_index") -> DataFrame:
+    """0-based position of each row of a file scan: files in the order of their paths, rows in the files' order.
+
+    Spark deals out files by size, and cuts large ones; a piece of a file is read in
+    order by one task. Pieces are counted (a row per piece), and the rows of
+    the pieces before give a piece's offset.
+    """
+    m = materialize(scan.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                                F.monotonically_increasing_id().alias("_mid")))
+    pieces = m.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select("_file", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    return m.join(offsets, ["_file", "_start"]).withColumn(out, F.col("_mid") + F.col("_off")).drop("_file", "_start", "_mid", "_off")

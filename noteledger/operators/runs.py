@@ -2,7 +2,7 @@
 
 Schema ``(run_id, kind, key, value, num, step)``: ``kind`` is param, metric or
 tag; params and tags carry ``value`` (string), metrics carry ``num``
-(double); step orders entries of one key. Appending is a Parquet append; queries are filters, top-k and
+(double); step orders entries of one key. Appending replaces the entries it repeats; queries are filters, top-k and
 pivots over the long table.
 """
 
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("kind", T.StringType()),
@@ -34,12 +36,36 @@ def run_rows(spark: SparkSession, run_id: str, params: dict | None = None, metri
     return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
+def runs_exist(spark: SparkSession, path: str) -> bool:
+    """Whether there is a run table at ``path``, on whatever file system that is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
-    runs.select(*[f.name for f in RUN_SCHEMA.fields]).write.mode("append").parquet(path)
+    """Put entries into the run table at ``path``; an entry (run, step, kind, key) that is there already is replaced.
+
+    The table is partitioned by run and step, and only the partitions of the new
+    entries are written, in one dynamic overwrite: a repeated append leaves one
+    copy, and one that fails half-way can be repeated.
+    """
+    spark = runs.sparkSession
+    entry, place = ["run_id", "step", "kind", "key"], ["run_id", "step"]
+    rows = materialize(runs.select(*[f.name for f in RUN_SCHEMA.fields]))
+    # of an entry given twice the larger value counts, as when it is read
+    rows = rows.groupBy(*entry).agg(F.max(F.struct("num", "value")).alias("_v")).select("run_id", "kind", "key", "_v.value", "_v.num", "step")
+    if runs_exist(spark, path):
+        touched, new = rows.select(*place).distinct(), rows.select(*entry)
+        held = read_runs(spark, path)
+        same = lambda a, b, on: [a[c].eqNullSafe(b[c]) for c in on]
+        held = held.join(touched, same(held, touched, place), "left_semi")
+        held = held.join(new, same(held, new, entry), "left_anti")
+        rows = materialize(held.unionByName(rows))
+    rows.repartition(*place).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*place).parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    return spark.read.schema(RUN_SCHEMA).parquet(path).select(*[f.name for f in RUN_SCHEMA.fields])
 
 
 def metrics_long(df: DataFrame, run_col: str, metric_cols: list[str]) -> DataFrame:

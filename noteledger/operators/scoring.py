@@ -51,11 +51,12 @@ def _ok(scores: str) -> Column:
 
 
 def batch_scores(wide: DataFrame, codes: list[str], row: str = "row_id", scores: str = "scores",
-                 note: str | None = None, k: int = 3) -> DataFrame:
+                 note: str | None = None, k: int = 3, malformed: str | None = None) -> DataFrame:
     """Batch-scoring table: top code, its score, 'code(0.123); ...' of the
-    top k, and a status; rows that cannot be scored are kept as errors."""
+    top k, and a status; rows that cannot be scored are kept as errors, and
+    so are those with something in the column ``malformed``."""
     top = F.slice(ranked_labels(scores, codes), 1, k)
-    ok = _ok(scores)
+    ok = _ok(scores) & F.col(malformed).isNull() if malformed else _ok(scores)
     text = F.array_join(F.transform(top, lambda t: F.format_string(
         "%s(%.3f)", t["code"], F.round(t["score"], 3))), "; ")
     cols = [F.col(row).alias("patient_id")]

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ranking import row_index
+from ..operators.ranking import file_row_index, row_index
 
 # ---------------------------------------------------------------------------
 # schemas
@@ -70,15 +70,31 @@ UPLOAD_ALIASES = {
 # sources
 
 
+MALFORMED = "_malformed"
+
+
+def _csv(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_RECORDS,
-             infer: bool = False, multi_line: bool = True) -> DataFrame:
+             infer: bool = False, multi_line: bool = True, malformed: str | None = None) -> DataFrame:
     """CSV with a header. A declared schema by default; ``infer=True`` does
     what an inferred read does (one extra pass over the data). With
     ``multi_line`` quoted fields may hold line breaks and a file is one task;
-    without it large files are split."""
-    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    without it large files are split.
+
+    Records that do not fit the schema are kept: what can be read of them is,
+    the rest is NULL. With ``malformed`` such a record's text is in a column of
+    that name, which is NULL for all others."""
+    r = _csv(spark, multi_line)
     if infer or schema is None:
         return r.option("inferSchema", True).csv(path)
+    if malformed:
+        schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+        # without pruning: a reader of some columns only would not see that there are too many
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed).option("columnPruning", False)
     return r.schema(schema).csv(path)
 
 
@@ -106,24 +122,31 @@ def _first_present(df: DataFrame, names: list[str]) -> Column:
     return F.lit(None)
 
 
-def read_upload(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_upload(spark: SparkSession, path: str, multi_line: bool = True, malformed: bool = False) -> DataFrame:
     """A scoring upload: every column read as text, aliases resolved, a
-    default id ``Patient_{n}`` (1-based file position) when there is no
-    ``patient_id`` column."""
-    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
+    default id ``Patient_{n}`` (1-based position, files in the order of their
+    paths) when there is no ``patient_id`` column. With ``malformed`` records
+    that do not fit the header are kept with their text in ``MALFORMED``, from
+    which batch scoring makes error rows."""
+    raw = _csv(spark, multi_line).csv(path)
+    if malformed:
+        raw = read_csv(spark, path, raw.schema, multi_line=multi_line, malformed=MALFORMED)
     return normalize_upload(raw)
 
 
 def normalize_upload(raw: DataFrame) -> DataFrame:
+    """Columns by their aliases, and default ids: in file order if ``raw`` is a scan, in the frame's order otherwise."""
     cols = {k: _first_present(raw, v) for k, v in UPLOAD_ALIASES.items()}
+    kept = [MALFORMED] if MALFORMED in raw.columns else []
     if "patient_id" in raw.columns:
-        base = raw.select(F.col("patient_id").cast("string").alias("patient_id"), *[c.alias(k) for k, c in cols.items()])
+        base = raw.select(F.col("patient_id").cast("string").alias("patient_id"), *[c.alias(k) for k, c in cols.items()], *kept)
     else:
-        indexed = row_index(raw.select(*[c.alias(k) for k, c in cols.items()]), "_pos")
+        wanted = [*[c.alias(k) for k, c in cols.items()], *kept]
+        indexed = file_row_index(raw, wanted, "_pos") if raw.inputFiles() else row_index(raw.select(*wanted), "_pos")
         base = indexed.select(F.concat(F.lit("Patient_"), (F.col("_pos") + 1).cast("string")).alias("patient_id"),
-                              *cols.keys())
+                              *cols.keys(), *kept)
     return base.select("patient_id", F.col("doctor_notes").cast("string").alias("doctor_notes"),
-                       F.col("age").try_cast("int").alias("age"), F.col("gender").cast("string").alias("gender"))
+                       F.col("age").try_cast("int").alias("age"), F.col("gender").cast("string").alias("gender"), *kept)
 
 
 def literal_rows(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
@@ -156,7 +179,9 @@ def write_report_csv(df: DataFrame, path: str, single_file: bool = True) -> None
 
 
 def write_records_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Records as CSV; white space at the ends of values is kept."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_json_document(doc: DataFrame, path: str) -> None:

@@ -22,15 +22,39 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def row_groups(df: DataFrame, enough: int) -> int:
+    """Row groups of the Parquet files that ``df`` scans, counted up to ``enough``.
+
+    Every file with rows has at least one, so only the footers of fewer than
+    ``enough`` files are read, on the driver, through Spark's file systems.
+    """
+    files = df.inputFiles()
+    if len(files) >= enough:
+        return len(files)
+    spark = df.sparkSession
+    hadoop, parquet = spark._jvm.org.apache.hadoop, spark._jvm.org.apache.parquet.hadoop
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    n = 0
+    for name in files:
+        path = hadoop.fs.Path(hadoop.fs.Path(name).toUri()) if "%" not in name else hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(path, conf))
+        try:
+            n += reader.getRowGroups().size()
+        finally:
+            reader.close()
+    return n
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal out a scan that is a single split (at most
-    ``spark.sql.files.maxPartitionBytes`` of input) by ``key``.
+    """Deal out a scan with fewer row groups than the session has cores by ``key``.
 
-    CPU-heavy row work (regexes over long texts) should use every core. A table
-    of several splits is left alone, whatever the cluster's size: its texts
-    are not shuffled, and its parallelism is set by the split size and the row
-    groups it was written with. Only the plan is inspected; no job runs.
+    CPU-heavy row work (regexes over long texts) should use every core, and a
+    task reads whole row groups: a scan may be cut into more byte ranges than
+    it has row groups, but the others are empty. A table of enough row groups
+    is left alone: its texts are not shuffled. Of a frame that is not a scan the
+    partitions count. No job runs.
     """
-    if df.rdd.getNumPartitions() == 1:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if (row_groups(df, cores) or df.rdd.getNumPartitions()) < cores:
+        return df.repartition(cores, key)
     return df

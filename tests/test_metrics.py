@@ -41,12 +41,12 @@ def test_auc_and_roc_points_match_brute_force(spark):
     rng = random.Random(7)
     rows = [(i, k, round(rng.random(), 2), int(rng.random() < 0.3)) for i in range(300) for k in range(3)]
     long = spark.createDataFrame(rows, "row_id long, label int, score double, y_true int")
-    got = M.roc_auc_micro(long, buckets=16).collect()[0].roc_auc_micro
+    got = M.roc_auc_micro(long).collect()[0].roc_auc_micro
     assert got == round(_auc([(s, y) for _, _, s, y in rows]), 6)
-    per = {r.label: r.roc_auc for r in M.roc_auc_by_label(long, buckets=16).collect()}
+    per = {r.label: r.roc_auc for r in M.roc_auc_by_label(long).collect()}
     for k in range(3):
         assert per[k] == round(_auc([(s, y) for _, kk, s, y in rows if kk == k]), 6)
-    pts = M.roc_points(long, buckets=16).where("label = 1").collect()
+    pts = M.roc_points(long).where("label = 1").collect()
     sub = [(s, y) for _, kk, s, y in rows if kk == 1]
     for p in pts:
         assert p.tp == sum(1 for s, y in sub if s >= p.threshold and y == 1)

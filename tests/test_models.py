@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from noteledger.operators import features as FE
 from noteledger.operators import models as MO
 from noteledger.operators import scoring as S
@@ -30,19 +28,6 @@ def test_lr_binary_relevance_learns(spark):
     assert len(top) == 2 * 120
 
 
-def test_gbt_with_validation_rows(spark):
-    df = _data(spark).withColumn("is_val", (F.col("row_id") % 5) == 0)
-    models = MO.fit_binary_relevance(df, 1, "gbt", validation="is_val", maxIter=12, patience=3, id_col="row_id", maxDepth=2)
-    kept = models[0].getNumTrees
-    # the same rounds in full: the rule applied to the whole loss curve keeps as many trees
-    frame = MO.label_frame(df.repartition(1, "row_id").sortWithinPartitions("row_id"), "y_true", 0)
-    full = MO.make_estimator("gbt", maxIter=12, maxDepth=2).fit(frame.where("not is_val"))
-    losses = full.evaluateEachIteration(frame.where("is_val"))
-    assert kept == MO.best_round(losses, 3)[0] <= 12
-    imp = MO.feature_importance(models, ["a", "b", "c", "d"], spark, 2).collect()
-    assert imp[0].feature == "a"
-
-
 def test_ensemble_join(spark):
     dense = spark.createDataFrame([(1, [0.5, 0.25]), (2, [1.0, 0.0])], "id long, v array<float>")
     eng = spark.createDataFrame([(1, 3.0), (2, 4.0)], "rid long, n double")
@@ -57,13 +42,6 @@ def test_rows_without_a_record_stay(spark):
     assert [list(r.features) for r in out] == [[0.5, 3.0], [1.0, 0.0]]
 
 
-def test_best_round_rule():
-    assert MO.best_round([3, 2, 1, 2, 2, 2], 3) == (3, True)
-    assert MO.best_round([3, 2, 1, 2, 2], 3) == (3, False)
-    assert MO.best_round([3, 4, 4, 1], 2) == (1, True)
-    assert MO.best_round([5], 2) == (1, False)
-
-
 def test_search_ranks_by_micro_f1(spark):
     out = MO.grid_search(_data(spark, 60), {"regParam": [0.01, 5.0]}, "row_id", 2).collect()
     assert len(out) == 2 and out[0].cv_f1_mean >= out[1].cv_f1_mean and out[0].regParam == "0.01"

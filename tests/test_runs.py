@@ -25,6 +25,20 @@ def test_append_best_compare(spark):
     assert keys == {("r1", "accuracy_I10"), ("r2", "accuracy_I10")}
 
 
+def test_repeated_appends_leave_one_copy(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    first = H.run_rows(spark, "r/1 é", {"model": "gbt"}, {"f1": 0.2, "loss": 1.5}, step=3)
+    for _ in range(3):
+        H.append_runs(first, path)
+    assert H.read_runs(spark, path).count() == 3
+    # entries of other keys and steps stay; one that is given again is replaced
+    H.append_runs(H.run_rows(spark, "r/1 é", None, {"f1": 0.25}, step=3), path)
+    H.append_runs(H.run_rows(spark, "r/1 é", None, {"f1": 0.3}, step=4), path)
+    H.append_runs(H.run_rows(spark, "other", None, {"f1": 0.9}, step=3), path)
+    got = {(r.run_id, r.step, r.key): r.num if r.kind == "metric" else r.value for r in H.read_runs(spark, path).collect()}
+    assert got == {("r/1 é", 3, "model"): "gbt", ("r/1 é", 3, "f1"): 0.25, ("r/1 é", 3, "loss"): 1.5, ("r/1 é", 4, "f1"): 0.3, ("other", 3, "f1"): 0.9}
+
+
 def test_flatten_numeric_two_levels(spark):
     df = spark.createDataFrame([("r", (3, "x", (1, 2.5, "y")))],
                                "run_id string, report struct<total:int, name:string, "

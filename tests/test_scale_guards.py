@@ -8,13 +8,29 @@ from noteledger.operators import reports as R
 from noteledger.plans.catalog import QUERIES
 from noteledger.session import cluster_conf, ensure_checkpoint_dir, materialize
 from noteledger.sources import roles
-from noteledger.sources.tables import spread
-
-
-def test_spread_only_single_splits(spark):
-    one, two = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 2)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(two, "id") is two
+from noteledger.sources.tables import row_groups, spread
+
+
+def test_spread_counts_row_groups(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    one, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, cores)
+    assert spread(one, "id").rdd.getNumPartitions() == cores
+    assert spread(many, "id") is many
+    # one file of one row group, read as several byte ranges: all rows are in one of them
+    spark.range(0, 50_000, 1, 1).write.parquet(str(tmp_path / "one"))
+    few = spark.read.parquet(str(tmp_path / "one"))
+    assert row_groups(few, cores) == 1
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    try:
+        assert few.rdd.getNumPartitions() > 2
+        dealt = spread(few, "id")
+        assert dealt.select(F.spark_partition_id()).distinct().count() == cores
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    many.write.parquet(str(tmp_path / "many"))
+    enough = spark.read.parquet(str(tmp_path / "many"))
+    assert row_groups(enough, cores) == cores and spread(enough, "id") is enough
 
 
 def test_one_hot_has_no_width_limit(spark):
