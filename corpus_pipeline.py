@@ -1,8 +1,8 @@
 """Training-data pipeline over ``documents``; each stage calls one operator of ``noteledger.llm``.
 
-A stage takes (spark, docs, sf_dir) and returns a DataFrame; it is meant to be
-written as Parquet and read again before the next. All but the last keep the
-columns of documents (and any others that docs has).
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again before the next. All but the last keep the columns of
+documents (and any others that docs has).
 
 1. quality: documents that the classifier rejects go. It is fitted on labels
    of the documents it is given.
@@ -10,8 +10,11 @@ columns of documents (and any others that docs has).
    of 0.8 or more, the document with the smallest doc_id stays. Of several
    rows with that id and equal texts one stays; documents without words are
    linked with nothing and stay.
-3. repeated passages: bytes covered by a string of 400 bytes that also starts
-   elsewhere go; the text is what is left of it, n_chars its new length.
+3. repeated passages: bytes covered by strings of ``PASSAGE_BYTES`` bytes that
+   also start in another text go, if they form a run of at least ``PASSAGE_WORDS``
+   words; the text is what is left of it, n_chars its new length. Fifty words are
+   longer than such a string, so every window of a shared passage is found; what
+   a document repeats only within itself, and shorter shared runs, stay.
 4. packing: pieces of all documents in sequences of 1,024 tokens.
 """
 
@@ -21,8 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noteledger.llm import minhash, packing, quality, suffix_dedup
+from noteledger.llm.common import stored
 from noteledger.llm.queries import vocabulary
 
+PASSAGE_WORDS = 50
+PASSAGE_BYTES = 240
+
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -35,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(docs, length=400).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, across=True, least_words=PASSAGE_WORDS).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,6 +63,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -52,7 +52,7 @@ BATCH = 33  # hashes compared between two looks at the posterior
 BLOCK = 1024  # nodes of a group that are compared at once, on average
 BLOCK_BYTES = 8 << 20
 SMALL = 200_000  # ids that may be broadcast; more are joined by a shuffle
-MEMO = 400_000  # words whose hash a Python worker remembers
+MEMO = 200_000  # words whose hash a Python worker remembers while it runs a task
 
 _random = np.random.Generator(np.random.PCG64(20240607))
 MULTIPLY = _random.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -71,6 +71,14 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+def forgetting(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``batches`` of a task; workers serve later stages too, so its memo goes with it."""
+    try:
+        yield from batches
+    finally:
+        _hashes.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
@@ -148,7 +156,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
             yield pd.concat([batch[["doc_id", "tkey"]].reset_index(drop=True).astype({"doc_id": "Int64"}), made], axis=1)
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(F.col(text)).alias("tkey"), F.col(text).alias("text"))
-    return narrow.mapInPandas(rows, "doc_id long, tkey string, skey binary, n long, sig binary")
+    return narrow.mapInPandas(lambda it: forgetting(rows(it)), "doc_id long, tkey string, skey binary, n long, sig binary")
 
 
 def full_sets(docs: DataFrame, text: str, needed: DataFrame, k: int) -> DataFrame:
@@ -161,7 +169,7 @@ def full_sets(docs: DataFrame, text: str, needed: DataFrame, k: int) -> DataFram
     if needed.count() <= SMALL:
         needed = F.broadcast(needed)
     texts = docs.select(text_key(F.col(text)).alias("tkey"), F.col(text).alias("text")).join(needed, "tkey")
-    return texts.groupBy("id").agg(F.first("text").alias("text")).mapInPandas(rows, "id long, items binary")
+    return texts.groupBy("id").agg(F.first("text").alias("text")).mapInPandas(lambda it: forgetting(rows(it)), "id long, items binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -209,7 +217,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int =
     number[~(on_left & on_right)] = -1
     sides = []
     for sets, place in ((left, column[:n]), (right, column[n:])):
-        row, col = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), number[place]
+        row, col = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets]), number[place].astype(np.int32)
         order = np.argsort(col, kind="stable")
         sides.append((row[order], col[order]))
     for start in range(0, int(number.max(initial=-1)) + 1, width):

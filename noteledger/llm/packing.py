@@ -40,7 +40,7 @@ from noteledger.llm.common import checkpoint
 COARSE, FINE = 2, 64  # the rest of a document is cut to pieces of capacity / COARSE, or FINE for one document in EVERY
 EVERY = 16
 BATCH = 2048
-MEMO = 400_000  # parts whose ids a Python worker remembers
+MEMO = 200_000  # parts whose ids a Python worker remembers while it runs a task
 END_ID = 0
 
 #: Parts whose ids in a row are the ids of the text: the vocabulary's pattern starts a new token at each.
@@ -152,6 +152,7 @@ def piece_rows(batches: Iterator[pd.DataFrame], path: str, capacity: int, keep_i
                     row = (doc_id, start, length, zlib.crc32(piece), n)
                     out.append((*row, np.frombuffer(piece, "<u4").astype("int32")) if keep_ids else row)
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+    encoder.clear()  # the worker serves other stages too
 
 
 def merge(a: list, b: list, k: int) -> list:

@@ -23,6 +23,10 @@ one column. Alignment keeps a round linear in the strings: plain insertion of
 documents from their ends would take as many passes over the whole transform
 as the longest document has bytes.
 
+With ``across`` a string counts as repeated only if it starts in two different texts:
+a class of equal windows then needs two different text ids (the smallest and the
+largest are carried), and what a text repeats only within itself stays.
+
 Equal segments are collapsed to one string with a count before the text of a
 segment is looked up, so copies cost nothing there. A group with more than
 ``HOT`` different strings (the edge of a passage that very many documents share) is
@@ -116,10 +120,11 @@ def segments(text: bytes, length: int = LENGTH) -> np.ndarray:
     return np.concatenate(found, axis=1) if found else np.empty((5, 0), np.int64)
 
 
-def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], counts: np.ndarray, n_windows: np.ndarray, length: int) -> np.ndarray:
+def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], counts: np.ndarray, n_windows: np.ndarray, length: int, ids: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Which windows of each string are repeated: a matrix [string, distance of the window's start from the core].
 
     ``group`` ascends; a string is its left context, the core and its right context.
+    ``ids``: smallest and largest id of the texts of each string; only windows of two texts count.
     """
     n, starts = len(group), max(1, min(STARTS, length - min(GRAM, length) + 1))
     n_left, n_right = (np.fromiter(map(len, x), np.int64, n) for x in (left, right))
@@ -169,11 +174,17 @@ def repeated_windows(group: np.ndarray, left: list[bytes], right: list[bytes], c
             if d:
                 order, prefix = round_(order, prefix, np.frombuffer(columns.read(n), np.uint8), n_left >= d, 1)
             near = prefix >= length
-            near[:-1] |= near[1:]
+            if ids is not None and len(order):
+                # equal windows follow each other
+                first = np.flatnonzero(~near)
+                low, high = np.minimum.reduceat(ids[0][order], first), np.maximum.reduceat(ids[1][order], first)
+                near = np.repeat(low < high, np.diff(np.append(first, len(order))))
+            else:
+                near[:-1] |= near[1:]
             out[order[near], d] = True
     at = np.arange(starts)
     valid = (at <= n_left[:, None]) & (at > (n_left - n_windows)[:, None])
-    return (out | (counts > 1)[:, None]) & valid
+    return (out if ids is not None else out | (counts > 1)[:, None]) & valid
 
 
 def runs(marked: np.ndarray) -> list[int]:
@@ -214,13 +225,14 @@ def candidate_segments(docs: DataFrame, text: str, length: int) -> DataFrame:
     texts = docs.select(*text_id(F.col(text)), F.col(text).cast("binary").alias("text")).where(F.octet_length("text") >= length)
     made = texts.mapInPandas(rows, "core long, whole long, u1 long, u2 long, place long")
     # counted with partial aggregation and joined, as one core may be that of half of all segments; the
-    # counts are written first, so that the join's two sides are plain exchanges that Spark can split
+    # counts are written first, so that the join's two sides are plain exchanges that Spark can split.
+    # The segments are made again for the join: their rows, written, take more disk than the texts
     repeated = checkpoint(made.groupBy("core").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("core"))
     return made.join(repeated, "core")
 
 
 def contexts(docs: DataFrame, text: str, wanted: DataFrame, length: int) -> DataFrame:
-    """``wanted`` (core, whole, n, u1, u2, place) with the bytes of each segment left and right of its core."""
+    """``wanted`` (core, whole, n, lo, hi, u1, u2, place) with the bytes of each segment left and right of its core."""
     starts = max(1, min(STARTS, length - min(GRAM, length) + 1))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,27 +242,28 @@ def contexts(docs: DataFrame, text: str, wanted: DataFrame, length: int) -> Data
                 for one in asked:
                     start, to_core, n = _unplace(one["place"])
                     core = start + to_core
-                    out.append((one["core"], one["whole"], one["n"], n, data[start:core], data[core + length - starts + 1:start + n - 1 + length]))
-            yield pd.DataFrame(out, columns=["core", "whole", "n", "windows", "lefts", "rights"])
+                    out.append((one["core"], one["whole"], one["n"], one["lo"], one["hi"], n, data[start:core], data[core + length - starts + 1:start + n - 1 + length]))
+            yield pd.DataFrame(out, columns=["core", "whole", "n", "lo", "hi", "windows", "lefts", "rights"])
 
-    by_text = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct("core", "whole", "n", "place")).alias("asked"))
+    by_text = wanted.groupBy("u1", "u2").agg(F.collect_list(F.struct("core", "whole", "n", "lo", "hi", "place")).alias("asked"))
     ids = checkpoint(wanted.select("u1", "u2").distinct())
     if ids.count() <= SMALL:
         ids = F.broadcast(ids)
     # only texts that are asked for are shuffled, if their ids are few enough to broadcast
     texts = docs.select(*text_id(F.col(text)), F.col(text).cast("binary").alias("text")).join(ids, ["u1", "u2"], "left_semi")
     one_each = texts.groupBy("u1", "u2").agg(F.first("text").alias("text"))
-    return one_each.join(by_text, ["u1", "u2"]).mapInPandas(rows, "core long, whole long, n long, windows long, lefts binary, rights binary")
+    return one_each.join(by_text, ["u1", "u2"]).mapInPandas(rows, "core long, whole long, n long, lo long, hi long, windows long, lefts binary, rights binary")
 
 
 SPANS = "core long, whole long, spans array<int>"
 
 
-def construct(strings: DataFrame, length: int) -> DataFrame:
+def construct(strings: DataFrame, length: int, across: bool = False) -> DataFrame:
     """Repeated windows of each string: ``SPANS``, pairs of first and last window counted from the segment's first."""
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        marked = repeated_windows(rows["core"].to_numpy(), list(rows["lefts"]), list(rows["rights"]), rows["n"].to_numpy(), rows["windows"].to_numpy(), length)
+        marked = repeated_windows(rows["core"].to_numpy(), list(rows["lefts"]), list(rows["rights"]), rows["n"].to_numpy(), rows["windows"].to_numpy(), length,
+                                  (rows["lo"].to_numpy(), rows["hi"].to_numpy()) if across else None)
         # windows are counted from the segment's first, which is farthest from the core
         spans = [runs(m[len(x) - w + 1:len(x) + 1][::-1]) for m, x, w in zip(marked, rows["lefts"], rows["windows"], strict=True)]
         out = pd.DataFrame({"core": rows["core"], "whole": rows["whole"], "spans": spans})
@@ -273,19 +286,19 @@ def construct(strings: DataFrame, length: int) -> DataFrame:
     return strings.repartition("core").sortWithinPartitions("core", "whole").mapInPandas(chunks, SPANS)
 
 
-def count_windows(strings: DataFrame, length: int) -> DataFrame:
+def count_windows(strings: DataFrame, length: int, across: bool = False) -> DataFrame:
     """The same as ``construct`` for groups with very many strings: windows are counted by content."""
     starts = max(1, min(STARTS, length - min(GRAM, length) + 1))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for core, whole, n, windows, left, right in zip(*(batch[c] for c in ("core", "whole", "n", "windows", "lefts", "rights")), strict=True):
+            for core, whole, n, lo, hi, windows, left, right in zip(*(batch[c] for c in ("core", "whole", "n", "lo", "hi", "windows", "lefts", "rights")), strict=True):
                 for i in range(windows):
                     d = len(left) - i
                     content = b"%d:%d:" % (core, d) + left[i:] + right[:starts - 1 - d]
-                    out.append((core, whole, n, i, hashlib.blake2b(content, digest_size=16).digest()))
-            yield pd.DataFrame(out, columns=["core", "whole", "n", "i", "content"])
+                    out.append((core, whole, n, lo, hi, i, hashlib.blake2b(content, digest_size=16).digest()))
+            yield pd.DataFrame(out, columns=["core", "whole", "n", "lo", "hi", "i", "content"])
 
     def join_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -296,25 +309,28 @@ def count_windows(strings: DataFrame, length: int) -> DataFrame:
                 spans.append(runs(marked))
             yield batch[["core", "whole"]].assign(spans=spans)
 
-    single = strings.mapInPandas(rows, "core long, whole long, n long, i int, content binary")
-    repeated = single.groupBy("content").agg(F.sum("n").alias("_n")).where("_n > 1").select("content")
+    single = strings.mapInPandas(rows, "core long, whole long, n long, lo long, hi long, i int, content binary")
+    repeated = single.groupBy("content").agg(F.sum("n").alias("_n"), F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).where("_lo < _hi" if across else "_n > 1").select("content")
     return single.join(repeated, "content").groupBy("core", "whole").agg(F.collect_list("i").alias("found")).mapInPandas(join_runs, SPANS)
 
 
-def repeated_spans(docs: DataFrame, text: str, length: int) -> DataFrame:
-    """(u1, u2, spans): per distinct text its repeated strings, as a list of (first byte, byte after the last)."""
+def repeated_spans(docs: DataFrame, text: str, length: int, across: bool = False) -> DataFrame:
+    """(u1, u2, spans): per distinct text its repeated strings, as a list of (first byte, byte after the last).
+
+    ``across``: only strings that start in two different texts (by their first id) count.
+    """
     places = checkpoint(candidate_segments(docs, text, length))
-    strings = checkpoint(places.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("u1", "u2", "place")).alias("one")).select("core", "whole", "n", "one.*"))
+    strings = checkpoint(places.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("u1").alias("lo"), F.max("u1").alias("hi"), F.min(F.struct("u1", "u2", "place")).alias("one")).select("core", "whole", "n", "lo", "hi", "one.*"))
     sizes = strings.groupBy("core").agg(F.count(F.lit(1)).alias("different"))
     sized = strings.join(sizes, "core")
     # all occurrences of the core are in equal segments: every window is repeated
-    alone = sized.where("different = 1").select("core", "whole", F.array(F.lit(0), (F.col("place") % PACK - 1).cast("int")).alias("spans"))
-    texts = contexts(docs, text, sized.where("different > 1").select("core", "whole", "n", "u1", "u2", "place"), length)
+    alone = sized.where("different = 1 and lo < hi" if across else "different = 1").select("core", "whole", F.array(F.lit(0), (F.col("place") % PACK - 1).cast("int")).alias("spans"))
+    texts = contexts(docs, text, sized.where("different > 1").select("core", "whole", "n", "lo", "hi", "u1", "u2", "place"), length)
     mixed = checkpoint(texts)
     hot = checkpoint(sizes.where(F.col("different") > HOT).select("core"))
     found = checkpoint(
-        construct(mixed.join(hot, "core", "left_anti"), length)
-        .unionByName(count_windows(mixed.join(hot, "core", "left_semi"), length) if not hot.isEmpty() else mixed.sparkSession.createDataFrame([], SPANS))
+        construct(mixed.join(hot, "core", "left_anti"), length, across)
+        .unionByName(count_windows(mixed.join(hot, "core", "left_semi"), length, across) if not hot.isEmpty() else mixed.sparkSession.createDataFrame([], SPANS))
     ).unionByName(alone)
     start = F.expr(f"place div {PACK * PACK}")
     ends = F.transform(F.expr("sequence(0, int(size(spans) div 2) - 1)"), lambda i: F.struct(
@@ -337,9 +353,9 @@ def kept_bytes(data: bytes, spans: list | None) -> tuple[bytes, int]:
     return b"".join(parts), n
 
 
-def with_spans(docs: DataFrame, text: str, length: int, columns: list[Column], u1: str, u2: str, spans: str) -> DataFrame:
+def with_spans(docs: DataFrame, text: str, length: int, columns: list[Column], u1: str, u2: str, spans: str, across: bool = False) -> DataFrame:
     """``columns`` of every row and its spans; the rows are shuffled once, against narrow rows per text."""
-    found = checkpoint(repeated_spans(docs, text, length)).select(F.col("u1").alias(u1), F.col("u2").alias(u2), F.col("spans").alias(spans))
+    found = checkpoint(repeated_spans(docs, text, length, across)).select(F.col("u1").alias(u1), F.col("u2").alias(u2), F.col("spans").alias(spans))
     one, two = text_id(F.col(text))
     return docs.select(*columns, one.alias(u1), two.alias(u2)).join(found, [u1, u2], "left")
 
@@ -361,19 +377,34 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     return found.select("doc_id", "body", "spans").mapInPandas(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """``docs`` with the kept bytes as text; a character that a cut leaves incomplete goes as well. A null text stays null."""
+def long_runs(data: bytes, spans: list, least_words: int) -> list:
+    """The maximal runs of ``spans`` that hold at least ``least_words`` words, whole or in part."""
+    out: list[dict] = []
+    for a, b in sorted((s["a"], s["b"]) for s in spans):
+        if out and a <= out[-1]["b"]:
+            out[-1]["b"] = max(out[-1]["b"], b)
+        else:
+            out.append({"a": a, "b": b})
+    return [s for s in out if len(data[s["a"]:s["b"]].split()) >= least_words]
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", across: bool = False, least_words: int = 0) -> DataFrame:
+    """``docs`` with the kept bytes as text; a character that a cut leaves incomplete goes as well. A null text stays null.
+
+    ``across``: only strings that start in two different texts count. ``least_words``:
+    a maximal run of repeated bytes with fewer words stays.
+    """
 
     @F.pandas_udf("string")
     def keep(texts: pd.Series, ends: pd.Series) -> pd.Series:
         out = []
         for t, flat in zip(texts, ends, strict=True):
-            spans = [{"a": a, "b": b} for a, b in zip(flat[::2], flat[1::2], strict=True)]
-            out.append(kept_bytes(t.encode("utf-8"), spans)[0].decode("utf-8", "ignore"))
+            data, spans = t.encode("utf-8"), [{"a": a, "b": b} for a, b in zip(flat[::2], flat[1::2], strict=True)]
+            out.append(kept_bytes(data, long_runs(data, spans, least_words) if least_words else spans)[0].decode("utf-8", "ignore"))
         return pd.Series(out)
 
     u1, u2, spans = (fresh(docs, x) for x in ("_u1", "_u2", "_spans"))
-    found = with_spans(docs, text, length, [F.col(c) for c in docs.columns], u1, u2, spans)
+    found = with_spans(docs, text, length, [F.col(c) for c in docs.columns], u1, u2, spans, across)
     ends = F.flatten(F.transform(spans, lambda s: F.array(s["a"], s["b"])))
     # rows without spans, null texts among them, are left as they are
     touched = F.col(spans).isNotNull() & F.col(text).isNotNull()

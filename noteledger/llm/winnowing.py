@@ -3,12 +3,16 @@
 A text's UTF-8 bytes give one hash per gram of ``GRAM`` consecutive bytes; a
 text of fewer bytes has one gram of them all. Of each window of ``WINDOW``
 consecutive hashes the smallest is chosen, the rightmost of equal ones, and its
-position is kept. Two texts that share ``WINDOW + GRAM - 1`` bytes in a row
-share a chosen hash, whatever they are written in, and its positions tell
-where. Texts of at most ``SHORT`` characters keep every gram, so that two of
-them need to share ``GRAM`` bytes only; a longer text's marks of a shared run
-are among them. A text so shares a mark with its edit if the half that stays
-has ``GRAM`` bytes.
+position is kept; the first windows reach over the text's start, so they hold
+its first gram, its first two and so on. Two texts that share
+``WINDOW + GRAM - 1`` bytes in a row share a chosen hash, whatever they are written
+in, and its positions tell where; with the start, ``GRAM`` bytes are enough. The
+rule is one for all lengths. A text so shares a mark with its edit if the half
+that stays has ``GRAM`` bytes.
+
+The edit of a text is not hashed again: windows that lie in what stays, or in
+what comes from the next text, have those texts' marks, and only windows
+around the seam are looked at (``edited_marks``).
 
 ``marks`` is the same over words (runs without white space) in grams of ``K``;
 a text without white space is one gram there.
@@ -47,7 +51,8 @@ from noteledger.llm.common import n_tasks, small_frame, text_key
 GRAM = 8  # bytes in a gram
 K = 5  # words in a gram of words
 WINDOW = 16  # grams in a window
-SHORT = 64  # characters of a text that keeps every gram
+DIRECT = 64  # an edited text of fewer bytes is looked at whole
+REACH = GRAM + WINDOW - 2  # bytes after its first that a window needs
 BLOCK = 4096  # windows at a time
 RANGES_PER_TASK = 4
 
@@ -94,7 +99,7 @@ def packed_grams(data: Column, first: Column, last: Column) -> Column:
 
 
 def window_minima(packed: Column, window: int = WINDOW) -> Column:
-    """The smallest of each window of packed grams; of fewer grams, the smallest of all."""
+    """The smallest of each window of packed grams (none: fewer than a window)."""
 
     def wider(mins: Column, step: int) -> Column:
         # least() passes over the nulls after the end
@@ -105,24 +110,80 @@ def window_minima(packed: Column, window: int = WINDOW) -> Column:
         while width < window:
             step = min(width, window - width)
             mins, width = wider(mins, step), width + step
-        return F.slice(mins, F.lit(1), F.greatest(F.size(p) - (window - 1), F.lit(1)))
+        return F.slice(mins, F.lit(1), F.greatest(F.size(p) - (window - 1), F.lit(0)))
 
     return let(packed, whole)
 
 
+#: Before the first gram, so that the first windows reach over the text's start.
+NONE = (1 << 63) - 1
+
+
+def window_marks(data: Column, first: Column, last: Column) -> Column:
+    """Marks (packed) of the windows of the grams from ``first`` to ``last``; from 1 on with those over the start."""
+    found = packed_grams(data, first, last)
+    return F.array_distinct(window_minima(F.when(first == 1, F.concat(F.array_repeat(F.lit(NONE), WINDOW - 1), found)).otherwise(found)))
+
+
 def byte_marks(text: Column) -> Column:
-    """Struct of ``at`` (byte positions from 0, array<int>) and ``hash`` (array<bigint>) of the chosen grams of bytes."""
+    """Packed marks of a text's bytes, in order of their positions."""
 
     def chosen(data: Column, n: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1)), F.lit(BLOCK))
-        block = lambda s: F.array_distinct(window_minima(packed_grams(data, s, F.least(n, s + (BLOCK + WINDOW - 2)))))
-        return F.array_distinct(F.flatten(F.transform(starts, block)))
+        return F.array_distinct(F.flatten(F.transform(starts, lambda s: window_marks(data, s, F.least(n, s + (BLOCK + WINDOW - 2))))))
+
+    return let(text.cast("binary"), lambda data: F.when(F.octet_length(data) == 0, F.array().cast("array<bigint>")).otherwise(
+        let(F.greatest(F.octet_length(data) - (GRAM - 1), F.lit(1)), lambda n: chosen(data, n))))
+
+
+def position(packed: Column) -> Column:
+    """Place of a packed gram, counted from 1."""
+    return F.lit(LAST) - packed.bitwiseAND(F.lit(LAST))
+
+
+def unpacked(packed: Column) -> Column:
+    """Struct of ``at`` (byte positions from 0, array<int>) and ``hash`` (array<bigint>) of packed marks."""
+    return let(packed, lambda p: F.struct(
+        F.transform(p, lambda x: (position(x) - 1).cast("int")).alias("at"), F.transform(p, lambda x: F.shiftright(x, 31)).alias("hash")))
 
-    found = let(text.cast("binary"), lambda data: let(F.greatest(F.octet_length(data) - (GRAM - 1), F.lit(1)), lambda n: (
-        F.when(F.octet_length(data) == 0, F.array().cast("array<bigint>"))
-        .when(F.char_length(text) <= SHORT, packed_grams(data, F.lit(1), n)).otherwise(chosen(data, n)))))
-    return let(found, lambda p: F.struct(
-        F.transform(p, lambda x: (F.lit(LAST - 1) - x.bitwiseAND(F.lit(LAST))).cast("int")).alias("at"), F.transform(p, lambda x: F.shiftright(x, 31)).alias("hash")))
+
+def first_windows(packed: Column) -> Column:
+    """First window (by the place of its first gram) that chose each mark, in ascending order.
+
+    A mark replaces the one before either as it comes into the window, if its hash is
+    not larger, or when the one before goes out.
+    """
+    def since(x: Column, k: Column) -> Column:
+        before = F.get(packed, k - 1)
+        came = F.shiftright(x, 31) <= F.shiftright(before, 31)
+        return F.when(k == 0, F.lit(2 - WINDOW).cast("long")).when(came, position(x) - (WINDOW - 1)).otherwise(position(before) + 1)
+
+    return F.transform(packed, since)
+
+
+def edited_marks(data: Column, own: Column, stays: Column, following: Column, comes: Column) -> Column:
+    """Marks of the text ``data`` (binary): ``stays`` bytes of one with the marks ``own``, then ``comes`` of one with ``following``.
+
+    Windows up to ``stays`` - REACH lie in the first text, those after ``stays`` in the second.
+    """
+    def upto(windows: Column, last: Column) -> Column:
+        return F.size(F.filter(windows, lambda f: f <= last))
+
+    def whole(x: Column) -> Column:
+        n = x["stays"] + x["comes"] - (GRAM - 1)
+        near = x["stays"] < REACH  # the seam's windows reach over the start
+        left = F.when(near, F.lit(0)).otherwise(upto(x["own_since"], x["stays"] - REACH))
+        first = F.when(near, F.lit(1)).otherwise(x["stays"] - (REACH - 1))
+        last = F.least(x["stays"] + (WINDOW - 1), n)
+        after = upto(x["since"], F.lit(1))  # the mark of the second text's first full window
+        right = F.when(x["comes"] <= REACH, F.lit(0)).otherwise(upto(x["since"], x["comes"] - REACH) - after + 1)
+        return F.array_distinct(F.concat(
+            F.slice(x["own"], F.lit(1), left), window_marks(x["data"], first, last),
+            F.when(right > 0, F.transform(F.slice(x["following"], after, right), lambda m: m - x["stays"])).otherwise(F.array().cast("array<bigint>"))))
+
+    parts = F.struct(data.alias("data"), own.alias("own"), first_windows(own).alias("own_since"), stays.alias("stays"),
+                     following.alias("following"), first_windows(following).alias("since"), comes.alias("comes"))
+    return let(parts, whole)
 
 
 def fingerprint(found: Column) -> Column:
@@ -173,20 +234,31 @@ def with_next(docs: DataFrame, columns: list[str], ranges: int, enrich: Callable
     return rows.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns)).where(~F.col("_copy")).drop("_copy", "_range")
 
 
-def edited(text: Column, following: Column) -> Column:
-    """``text`` with its last half (rounded down) replaced by as much of the start of ``following``."""
+def edited(text: Column, following: Column) -> tuple[Column, Column]:
+    """``text`` without its last half (rounded down), and as much of the start of ``following``."""
     half = F.floor(F.length(text) / 2).cast("int")
-    return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
+    return F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half)
 
 
-def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", find: Callable[[Column], Column] = byte_marks) -> DataFrame:
-    """Fingerprints of every document and its edited text, and likeness to both the edit and the next document. ``find``: marks of a text, ``byte_marks`` or ``marks``."""
+def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", find: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Fingerprints of every document and its edited text, and likeness to both the edit and the next document.
+
+    ``find``: marks of a text as ``at`` and ``hash`` (``marks`` for words) instead of the byte marks.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("_key", text_key(F.col("text")))
-    marked = lambda df: df.withColumn("_marks", find(F.col("text"))).select("*", "_marks.at", "_marks.hash").drop("_marks")
-    paired = with_next(rows, ["text", "hash"], RANGES_PER_TASK * n_tasks(docs.sparkSession), marked)
-    both = paired.withColumn("_edited", edited(F.col("text"), F.col("next_text"))).select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
-        F.struct("at", "hash").alias("own"), "next_hash", find(F.col("_edited")).alias("other"))
+    marked = lambda df: df.withColumn("marks", find(F.col("text")) if find else byte_marks(F.col("text")))
+    paired = with_next(rows, ["text", "marks"], RANGES_PER_TASK * n_tasks(docs.sparkSession), marked)
+    stays, comes = edited(F.col("text"), F.col("next_text"))
+    both = paired.withColumn("_stays", stays).withColumn("_comes", comes).withColumn("_edited", F.concat("_stays", "_comes"))
+    if find:
+        other, own, after = find(F.col("_edited")), F.col("marks"), F.col("next_marks")
+    else:
+        data = F.col("_edited").cast("binary")
+        composed = edited_marks(data, F.col("marks"), F.octet_length("_stays"), F.col("next_marks"), F.octet_length("_comes"))
+        other = unpacked(F.when(F.octet_length(data) < DIRECT, byte_marks(F.col("_edited"))).otherwise(composed))
+        own, after = unpacked(F.col("marks")), unpacked(F.col("next_marks"))
+    both = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
+                       own.alias("own"), after["hash"].alias("next_hash"), other.alias("other"))
     return both.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("other")).alias("edited_fingerprint"),
         likeness(F.col("own.hash"), F.col("other.hash")).alias("near_edited"), likeness(F.col("own.hash"), F.col("next_hash")).alias("near_next"))

@@ -23,6 +23,22 @@ def brute(texts, length):
     return out
 
 
+def brute_across(texts, length):
+    """Texts without the bytes of strings that start in two different texts."""
+    where = {}
+    for t in texts:
+        for s in range(len(t) - length + 1):
+            where.setdefault(t[s:s + length], set()).add(t)
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for s in range(len(t) - length + 1):
+            if len(where[t[s:s + length]]) > 1:
+                gone[s:s + length] = True
+        out.append(gone)
+    return out
+
+
 def made_texts(rng, n, length):
     base = ["".join(rng.choice("abcd é") for _ in range(rng.randint(length, 4 * length))) for _ in range(4)]
     texts = []
@@ -48,6 +64,37 @@ def test_matches_brute_force(spark, length):
     assert got[900] == (0, 0, 0, hashlib.sha256(b"").hexdigest())
 
 
+@pytest.mark.parametrize("hot", [3, 10**6])
+def test_strings_of_two_texts(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
+    rng = random.Random(hot)
+    texts = made_texts(rng, 60, 40) + ["own " * 60, "own " * 90 + "x"]
+    texts = [t.encode("ascii", "replace").decode() for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.remove_repeats(docs, 40, across=True).collect()}
+    for (i, t), gone in zip(enumerate(texts), brute_across([t.encode() for t in texts], 40), strict=True):
+        assert got[i].encode() == bytes(np.frombuffer(t.encode(), np.uint8)[~gone])
+    # runs of fewer words stay
+    got = {r.doc_id: r.text for r in S.remove_repeats(docs, 40, across=True, least_words=6).collect()}
+    for (i, t), gone in zip(enumerate(texts), brute_across([t.encode() for t in texts], 40), strict=True):
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
+        data = t.encode()
+        for a, b in zip(edge[::2], edge[1::2]):
+            if len(data[a:b].split()) < 6:
+                gone[a:b] = False
+        assert got[i].encode() == bytes(np.frombuffer(data, np.uint8)[~gone])
+
+
+def test_what_a_text_repeats_within_itself_stays(spark):
+    rng = random.Random(8)
+    line = " ".join(str(rng.randint(0, 999)) for _ in range(40))
+    docs = spark.createDataFrame([(1, f"{line}\n{line}\n{line}"), (2, "something else"), (3, f"{line}x"), (4, "q" * 900)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in S.remove_repeats(docs.where("doc_id <> 3"), 60, across=True).collect()}
+    assert got[1] == f"{line}\n{line}\n{line}" and got[4] == "q" * 900
+    got = {r.doc_id: r.text for r in S.remove_repeats(docs, 60, across=True).collect()}
+    assert line[10:50] not in got[1] and got[3].strip() in ("x", "") and got[4] == "q" * 900
+
+
 def test_hot_groups_are_split(spark, monkeypatch):
     monkeypatch.setattr(S, "HOT", 3)
     rng = random.Random(3)

@@ -90,20 +90,44 @@ def test_odd_rows(spark):
     assert W.fingerprint_edits(null.limit(0)).count() == 0
 
 
+def naive_bytes(text):
+    """Chosen grams of a text as (position, gram); windows reach over the start."""
+    data = text.encode()
+    grams = [data[i:i + W.GRAM] for i in range(max(1, len(data) - W.GRAM + 1))] if data else []
+    return grams
+
+
 def test_byte_marks_are_rightmost_minima(spark):
     rng = random.Random(3)
-    texts = ["".join(rng.choice("ab 日") for _ in range(rng.randint(W.SHORT + 1, 300))) for _ in range(40)]
-    texts += ["x" * 100, "日" * 100, "ab" * 5000, "".join(map(str, range(3000))), "", "a", "a" * W.GRAM, "short text", "b" * W.SHORT]
+    texts = ["".join(rng.choice("ab 日") for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    texts += ["x" * 100, "日" * 100, "ab" * 5000, "".join(map(str, range(3000))), "", "a", "a" * W.GRAM, "short text", "b" * 64]
     df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").select("i", "text", F.encode("text", "UTF-8").alias("b"))
     n = F.greatest(F.octet_length("b") - (W.GRAM - 1), F.lit(1))
-    for r in df.select("text", W.packed_grams(F.col("b"), F.lit(1), n).alias("g"), W.byte_marks(F.col("text")).alias("m")).collect():
-        size = len(r.text.encode())
-        g = [x >> 31 for x in r.g] if size else []
-        assert len(g) == (max(1, size - W.GRAM + 1) if size else 0)
-        assert r.m.at == (naive(g, W.WINDOW) if len(r.text) > W.SHORT else list(range(len(g))))
+    for r in df.select("text", W.packed_grams(F.col("b"), F.lit(1), n).alias("g"), W.unpacked(W.byte_marks(F.col("text"))).alias("m")).collect():
+        g = [x >> 31 for x in r.g] if r.text else []
+        assert len(g) == len(naive_bytes(r.text))
+        at = set()
+        for end in range(1, len(g) + 1):  # the window that ends with each gram
+            part = list(enumerate(g[:end]))[-W.WINDOW:]
+            low = min(h for _, h in part)
+            at.add(max(i for i, h in part if h == low))
+        assert r.m.at == sorted(at)
         assert r.m.hash == [g[i] for i in r.m.at]
 
 
+def test_edited_marks_are_those_of_the_edited_text(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "b", " ", "é", "日", "\U0001f600"]) for _ in range(rng.choice([*range(60), 100, 300, 5000]))) for _ in range(250)]
+    texts += ["a" * 400, "ab" * 300, "a" * 23, "日" * 30, "", "", "x"] * 2
+    rows = [(texts[i], texts[j]) for i in range(len(texts)) for j in rng.sample(range(len(texts)), 2)]
+    df = spark.createDataFrame(rows, "text string, after string")
+    stays, comes = W.edited(F.col("text"), F.col("after"))
+    df = df.withColumn("a", stays).withColumn("b", comes).withColumn("e", F.concat("a", "b")).where(F.octet_length("e") >= 1)
+    composed = W.edited_marks(F.col("e").cast("binary"), W.byte_marks(F.col("text")), F.octet_length("a"), W.byte_marks(F.col("after")), F.octet_length("b"))
+    for r in df.select("e", W.byte_marks(F.col("e")).alias("want"), composed.alias("got")).where(F.octet_length("e") >= W.GRAM).collect():
+        assert r.got == r.want, r.e
+
+
 def test_texts_without_white_space(spark):
     rng = random.Random(4)
     letters = {"a": "abcdefghijklmnopqrstuvwxyz0123456789+/", "c": "".join(map(chr, range(0x4E00, 0x4F00))), "t": "".join(map(chr, range(0xE01, 0xE2F)))}
