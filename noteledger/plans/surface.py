@@ -96,6 +96,11 @@ def q_literal_names(spark, d):
     return read_table(spark, d, "documents").join(names, "lang", "left").groupBy("language").agg(F.count(F.lit(1)).alias("records"))
 
 
+def q_value_rows(spark, d):
+    """Value lists of records as rows."""
+    return R.value_rows(roles.records(spark, d, ["category", "code", "age"]), {"category": "category", "code": "code", "age": "age"})
+
+
 # -- reports and cleaners as SQL --------------------------------------------
 
 
@@ -182,6 +187,9 @@ def _grouped(section: str, name: str, key: str) -> str:
 SELECT '{section}' AS report_section, {name}, n AS count, round(n::DOUBLE * 100.0 / (SELECT count(*) FROM r), 2) AS percentage FROM g"""
 
 
+SQL["value_rows"] = f"""WITH r AS (SELECT {_RECORDS}),
+t AS (SELECT unnest(['category', 'code', 'age']) AS field, unnest([category, code, age::VARCHAR]) AS value FROM r)
+SELECT field, value, count(*) AS count FROM t GROUP BY ALL"""
 SQL["sql_ages"] = _grouped("Age Distribution", "age_group_name", "CASE WHEN age < 18 THEN 'Under 18' WHEN age <= 30 THEN '18-30' WHEN age <= 50 THEN '31-50' WHEN age <= 70 THEN '51-70' WHEN age > 70 THEN 'Over 70' ELSE 'Unknown' END")
 SQL["sql_stays"] = _grouped("Length of Stay Distribution", "los_group", "CASE WHEN stay <= 1 THEN '1 day or less' WHEN stay <= 7 THEN '2-7 days' WHEN stay <= 14 THEN '8-14 days' WHEN stay <= 30 THEN '15-30 days' WHEN stay > 30 THEN 'Over 30 days' ELSE 'Unknown' END")
 SQL["sql_categories"] = _grouped("Category Distribution", "category", "category")

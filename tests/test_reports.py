@@ -92,3 +92,17 @@ def test_dataset_metadata(spark):
     assert r.all_icd10_valid is False and r.no_null_notes is False and r.no_empty_notes is False
     m = R.dataset_metrics(df, note="note").collect()[0]
     assert m.avg_codes_per_record == 1.33 and m.gender_balance == 0.5 and m.age_std == 20.0
+
+
+def test_distinct_counts_do_not_multiply_rows(spark):
+    ids = [0, 0, 1, -1, -1, 32767, 32768, 32769, -32768, 2**40, 2**40, None, -2**40]
+    df = spark.createDataFrame([(i, 30, "F", "long enough text", f"E1{abs(i or 0) % 3}.9", 3) for i in ids],
+                               "patient_id long, age int, gender string, diagnosis_text string, icd10_code string, length_of_stay int")
+    out = R.quality_summary(df)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in R.report_metadata(df)._jdf.queryExecution().executedPlan().toString()
+    r = out.first()
+    assert (r.unique_patients, r.unique_icd10_codes, r.total_records) == (len(set(ids)) - 1, 3, len(ids))
+    text = df.withColumn("patient_id", df.patient_id.cast("string"))
+    assert R.report_metadata(text).first().unique_patients == len(set(ids)) - 1
+    assert R.quality_summary(df.limit(0)).first().unique_patients == 0
