@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from noteledger.llm.common import checkpoint
 
 
+ROWS = 100_000  # of a partition of a table of links or labels
+
+
+def n_parts(rows: int) -> int:
+    """Partitions of a table that every round reads and shuffles: few for a small one, as each costs files and tasks."""
+    return max(1, -(-rows // ROWS))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) of every id in ``links`` (a, b); comp is the smallest id that can be reached.
 
@@ -17,7 +25,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     # both directions of one frame: fresh columns, else Spark takes them for the same
     edges = checkpoint(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a")).where("u <> v").distinct())
-    labels = checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("comp")))
+    parts = n_parts(edges.count())
+    edges = edges.coalesce(parts)
+    labels = checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("comp")).coalesce(parts))
     while True:
         near = (
             edges.join(labels.select(F.col("id").alias("v"), F.col("comp").alias("c")), "v")
@@ -25,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         lower = labels.join(near, "id").select("id", F.col("comp").alias("old"), F.least("comp", "c").alias("comp"))
         jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("far"))
-        moved = checkpoint(lower.join(jump, "comp").select("id", "old", F.least("comp", "far").alias("comp")))
+        moved = checkpoint(lower.join(jump, "comp").select("id", "old", F.least("comp", "far").alias("comp")).coalesce(parts))
         labels = moved.select("id", "comp")
         if moved.where("old <> comp").isEmpty():
             return labels
@@ -37,10 +47,11 @@ def roots(parents: DataFrame) -> DataFrame:
     Pointers are doubled until none moves, which is cheaper than ``components``.
     """
     tops = parents.select(F.col("a").alias("id")).distinct().join(parents.select(F.col("b").alias("id")), "id", "left_anti")
-    labels = checkpoint(parents.select(F.col("b").alias("id"), F.col("a").alias("comp")))
+    parts = n_parts(parents.count())
+    labels = checkpoint(parents.select(F.col("b").alias("id"), F.col("a").alias("comp")).coalesce(parts))
     while True:
         jump = labels.select(F.col("id").alias("comp"), F.col("comp").alias("far"))
-        moved = checkpoint(labels.join(jump, "comp", "left").select("id", F.coalesce("far", "comp").alias("comp"), F.col("far").isNotNull().alias("moved")))
+        moved = checkpoint(labels.join(jump, "comp", "left").select("id", F.coalesce("far", "comp").alias("comp"), F.col("far").isNotNull().alias("moved")).coalesce(parts))
         labels = moved.select("id", "comp")
         if moved.where("moved").isEmpty():
             return labels.unionByName(tops.select("id", F.col("id").alias("comp")))

@@ -348,7 +348,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominato
 
     # the smallest doc_id of each component, and back to the rows by the set's key
     found = with_components(nodes.select("id", "skey", "low_id"), comps, "id")
-    lowest = found.groupBy("c_id").agg(F.min("low_id").alias("component_id"))
+    # written, so that the join's sides are plain exchanges, which Spark can split where a component holds many nodes
+    lowest = checkpoint(found.groupBy("c_id").agg(F.min("low_id").alias("component_id")))
     by_set = found.join(lowest, "c_id").select("skey", "component_id", F.col("c_id").alias("node"))
     out = documents.select("doc_id", "tkey", "skey", "n").join(by_set, "skey", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -363,13 +364,15 @@ def keep_one(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int
     Rows without shingles all stay.
     """
     found = near_duplicates(docs, k, numerator, denominator, doc_id, text)
-    # one (id, text key) per component; documents without shingles are not looked up
-    id_, key, mine = (fresh(docs, x) for x in ("_id", "_chosen", "_tkey"))
+    # one (id, text key) per component; documents without shingles are not looked up. The three columns that
+    # say which row stays are plain, so the rows that the join has dealt out need not move again for repeats
+    key, number, none = (fresh(docs, x) for x in ("_tkey", "_number", "_none"))
     chosen = (
         found.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey")).alias("one"))
-        .select(F.col("one.doc_id").alias(id_), F.col("one.tkey").alias(key))
+        .select(F.col("one.tkey").alias(key), F.coalesce("one.doc_id", F.lit(0)).alias(number), F.col("one.none").alias(none))
     )
-    keyed = docs.withColumn(mine, text_key(F.col(text)))
+    id_ = F.col(doc_id).cast("long")
+    keyed = docs.withColumn(key, text_key(F.col(text))).withColumn(number, F.coalesce(id_, F.lit(0))).withColumn(none, id_.isNull())
     has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    stays = keyed.where(has_words).join(chosen, (F.col(mine) == F.col(key)) & F.col(doc_id).eqNullSafe(F.col(id_)), "left_semi")
-    return stays.dropDuplicates([mine]).unionByName(keyed.where(~has_words)).select(*docs.columns)
+    stays = keyed.where(has_words).join(chosen, [key, number, none], "left_semi")
+    return stays.dropDuplicates([key, number, none]).unionByName(keyed.where(~has_words)).select(*docs.columns)
