@@ -46,6 +46,7 @@ from noteledger.llm.common import checkpoint, stored
 
 LETTERS = "A-Za-zÀ-ÿ"
 FEW = 10_000
+NEAR = 2
 PRIME = (1 << 61) - 1
 BASE = 0x16A09E667F3BCC9
 SLICE = 1 << 17  # rows that a task makes at once
@@ -120,15 +121,17 @@ def prefixes(words: DataFrame) -> DataFrame:
 def trie_edges(words: DataFrame) -> DataFrame:
     """Edges of both tries of ``words`` (id, side, word): level, side, node, first, label, child, ends (the word that ends at the child, or null)."""
     places = prefixes(words)
-    nodes = (
-        places.groupBy("side", "node").agg(F.min("next").alias("lo"), F.max("next").alias("hi"))
-        .where("lo <> hi or lo = '' or node = 0").select("side", "node")
+    nodes = checkpoint(
+        places.groupBy("side", "node").agg(F.min("at").alias("at"), F.min("next").alias("lo"), F.max("next").alias("hi"))
+        .where("lo <> hi or lo = '' or node = 0").select("side", "node", "at")
     )
+    # prefixes that very many words share are few: those of up to NEAR characters
+    near, prefix = nodes.where(F.col("at") <= NEAR).drop("at"), places.select("id", "side", "at", "node")
+    near = F.broadcast(near) if near.count() <= FEW else near
+    found = prefix.where(F.col("at") <= NEAR).join(near, ["side", "node"]).unionByName(
+        prefix.where(F.col("at") > NEAR).join(nodes.where(F.col("at") > NEAR).drop("at"), ["side", "node"]))
     # a word's nodes in order; consecutive ones are an edge
-    path = (
-        places.select("id", "side", "at", "node").join(nodes, ["side", "node"])
-        .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("path")).join(words, "id")
-    )
+    path = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "node"))).alias("path")).join(words, "id")
     steps = path.select("side", "word", "path", F.explode(F.expr("sequence(1, size(path) - 1)")).alias("level"))
     here, before = F.expr("path[level]"), F.expr("path[level - 1]")
     edges = steps.select(
