@@ -10,13 +10,16 @@ with the smallest C ends them.
 The groups stay distributed. Their running sum is made in 4,096 ranges of the
 md5 order (a driver-side table of 4,096 sums links them), and one step of the
 greedy pass for ``FAN`` capacities at once is one lookup job: a broadcast of FAN
-points, joined with the groups of the ranges they fall in. A shard is a range
+points, joined with the groups of the ranges they fall in. Groups are written in the order
+of their ranges, and a lookup reads those files only that hold ranges between its points. A shard is a range
 of md5 values, so documents find their shard by comparing with n-1 literals;
 a group of any size is dealt without a join, a shuffle of texts or a window.
 
 A null text has size 1 (no bytes, plus 1), crc32 0 and belongs to the group
 of null texts. Repeated rows are rows of their group. An empty table gives no
 rows. If one group is larger than total/n, it is the capacity, as it is atomic.
+Texts have no length limit. Extra columns are kept by ``assign_shards``, which
+replaces those named size, text_key and shard, and ignored by ``shard_slots``.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as WIN
 
-from noteledger.llm.common import NULL_KEY, checkpoint, number_within, small_frame, text_key, utf8_size
+from noteledger.llm.common import NULL_KEY, n_tasks, number_within, small_frame, stored, text_key, utf8_size
 
 RANGES = 4096  # ranges of the group order whose sums the driver holds
 FAN = 400  # capacities tried by one greedy pass
@@ -41,7 +44,9 @@ class RunningSums:
         spark = groups.sparkSession
         in_range = groups.withColumn("_range", _range())
         by_range = WIN.Window.partitionBy("_range").orderBy("key").rowsBetween(WIN.Window.unboundedPreceding, 0)
-        local = checkpoint(in_range.select("key", "_range", F.col("size"), F.sum("size").over(by_range).alias("_sum")))
+        local = in_range.select("key", "_range", F.col("size"), F.sum("size").over(by_range).alias("_sum"))
+        # written by ranges, so that a lookup reads the files of the ranges it asks for
+        local = stored(local.repartitionByRange(n_tasks(spark), "_range").sortWithinPartitions("_range"))
         sums = {r["_range"]: (r["s"], r["m"]) for r in local.groupBy("_range").agg(F.sum("size").alias("s"), F.max("size").alias("m")).collect()}
         self.ends, at, starts = [], 0, []
         for k in sorted(sums):
@@ -59,8 +64,11 @@ class RunningSums:
         rows = [(i, self.ranges[k], p) for i, (k, p) in enumerate(zip(at, points, strict=True)) if k < len(self.ranges)]
         # a lookup may end in the range before; its last group is asked for as well
         rows += [(i, self.ranges[k - 1], p) for i, (k, p) in enumerate(zip(at, points, strict=True)) if k > 0]
+        if not rows:
+            return [(0, None)] * len(points)
+        near = self.groups.where(F.col("_range").between(min(r for _, r, _ in rows), max(r for _, r, _ in rows)))
         found = (
-            self.groups.join(F.broadcast(small_frame(self.spark, rows, "i int, _range int, p long")), "_range")
+            near.join(F.broadcast(small_frame(self.spark, rows, "i int, _range int, p long")), "_range")
             .where("end <= p").groupBy("i").agg(F.max(F.struct("end", "key")).alias("best")).collect()
         )
         best = {r["i"]: (r["best"]["end"], r["best"]["key"]) for r in found}

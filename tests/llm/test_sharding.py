@@ -80,6 +80,14 @@ def test_extra_columns_survive_assignment(spark):
     assert SH.assign_shards(docs, 2).select("law", "shard").first() == ("keep", 0)
 
 
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(i, "x" * i, "s", -1, "k", 5) for i in range(9)], "doc_id long, text string, shard string, size int, text_key string, slot int")
+    got = SH.assign_shards(docs, 3)
+    assert got.columns == docs.columns
+    assert all(r.size == r.doc_id + 1 and 0 <= r.shard < 3 and len(r.text_key) == 32 and r.slot == 5 for r in got.collect())
+    check(SH.shard_slots(docs, 3).collect(), 3, {i: ["x" * i] for i in range(9)})
+
+
 def test_number_within(spark):
     df = spark.range(1000).withColumn("g", (F.col("id") % 7 == 0).cast("int")).repartition(9)
     rows = number_within(df, "g", "at", ["id"]).collect()
