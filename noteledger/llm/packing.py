@@ -16,7 +16,10 @@ Batches are dealt by the place of a row in a written table, so a document or
 source of any size, and rows that repeat, spread evenly. Ids never cross a
 shuffle unless ``keep_ids`` asks for them.
 
-A null text is empty: its only id is the end id. An empty table gives no rows.
+A null text is empty: its only id is the end id. Texts have no length limit; a long
+one is many pieces. Pieces of one length are told apart by their place, so ties do
+not matter. An empty table gives no rows. Only the id and the text are read, so other
+columns may have any name.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ Null texts count as empty; empty texts are scored. Labels that are null, or
 that differ between rows of one doc_id, are left out, and of documents with
 one doc_id the smallest text is learned from. Without labels of both classes
 the score is their share (0.5 without any). Repeated rows get equal scores,
-an empty table gives no rows; a null doc_id is scored and not held out.
+an empty table gives no rows; a null doc_id is scored and not held out. Texts
+have no length limit. Extra columns are kept; those named score and predicted
+are replaced by the results.
 """
 
 from __future__ import annotations

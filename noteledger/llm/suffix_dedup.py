@@ -32,6 +32,10 @@ segment is looked up, so copies cost nothing there. A group with more than
 ``HOT`` different strings (the edge of a passage that very many documents share) is
 split into its windows, which are counted by their content.
 
+Cores are told apart by a 64-bit hash, and what is around a core is compared byte by byte, so a
+wrong match needs two cores with one hash inside strings that agree in all other bytes of a window;
+segments are taken for equal by the hashes of the core and of the whole, 128 bits together.
+
 A null text is empty; texts shorter than ``length`` have no window. Repeated rows
 are copies that repeat all their windows. Matches never cross documents. An
 empty table gives no rows; extra columns are kept by ``remove_repeats`` and

@@ -16,8 +16,8 @@ wrongly as are listed, and all levels are O(listed) bits. The filters travel
 as literals; above ``max_listed`` keys the operator joins on the key instead.
 
 Null urls, and urls without ``://``, have empty host and path and no rule.
-Repeated rows are judged alike, an empty table gives an empty result, and
-extra columns are kept out of the result.
+Repeated rows are judged alike, and an empty table gives an empty result. Extra
+columns are kept; those named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint
+from noteledger.llm.common import checkpoint, fresh
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -157,8 +157,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], url: str = "url", default: s
         for s, key in keys.items() for v in verdicts
     ]
     none = F.lit(None).cast("struct<n:int,h:int,rule:string,verdict:string>")
-    best = F.array_max(F.array(none, *fits))
-    return parts.withColumn("_best", best).withColumn("rule", F.col("_best.rule")).withColumn("verdict", F.coalesce(F.col("_best.verdict"), F.lit(default))).drop("_best")
+    best = fresh(parts, "_best")
+    judged = parts.withColumn(best, F.array_max(F.array(none, *fits)))
+    return judged.withColumn("rule", F.col(best)["rule"]).withColumn("verdict", F.coalesce(F.col(best)["verdict"], F.lit(default))).drop(best)
 
 
 def _judge_by_join(parts: DataFrame, rules: list[Rule], keys: list[Column], default: str) -> DataFrame:

@@ -34,7 +34,9 @@ key, in proportion to their rows. Only rows alike in id and text stay together.
 
 Null texts count as empty. An empty text has no marks; two texts without marks
 are alike (1.0), and one without is unlike any with (0.0). Repeated rows get a
-row each. With a single row the next document is the row itself.
+row each. With a single row the next document is the row itself. Texts have no
+length limit, and an empty table gives no rows. Only the id and the text are read,
+so other columns may have any name.
 """
 
 from __future__ import annotations

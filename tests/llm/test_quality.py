@@ -49,3 +49,49 @@ def test_pairs_model_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
     model = Q.fit(x, y)
     assert (0, 1) in model.pairs and ((model.score(x) > 0.5) == y).mean() > 0.9
+
+
+def plain_score(model, text):
+    """A text's score by looking up one entry after the other."""
+    x = Q.text_features(text)
+
+    def place(edges, v):  # the number of edges that are not above the value
+        return sum(e <= v for e in edges)
+
+    z = float(model.base)
+    for j, table in enumerate(model.tables):
+        z += float(table[place(model.edges[j], x[j])])
+    for (a, b), table in zip(model.pairs, model.pair_tables, strict=True):
+        z += float(table[place(model.pair_edges[a], x[a])][place(model.pair_edges[b], x[b])])
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_a_plain_scorer(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    model = Q.fit_quality(docs, spark.read.parquet(f"{sf_small}/labels.parquet"))
+    assert model.pairs
+    for r in Q.score_documents(docs, model).collect():
+        assert r.score == pytest.approx(plain_score(model, r.text), abs=1e-9)
+
+
+def test_two_cut_tree_against_all_cuts():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        n = int(rng.integers(2, 9))
+        g, h = rng.normal(size=n), rng.random(n) + 0.1
+        parts = lambda i, j: [p for p in (slice(0, i), slice(i, j), slice(j, n)) if p.start < p.stop]
+        gain = lambda cuts: sum(g[p].sum() ** 2 / (h[p].sum() + Q.PRIOR) for p in cuts)
+        best = max(gain(parts(i, j)) for i in range(n + 1) for j in range(i, n + 1))
+        values = Q.two_cut_tree(g, h)
+        edges = [0, *(np.flatnonzero(np.diff(values)) + 1), n]
+        assert len(edges) <= 4
+        # the tree's own partition reaches that gain, and its values are the leaves' steps
+        assert gain([slice(a, b) for a, b in zip(edges, edges[1:])]) == pytest.approx(best, abs=1e-9)
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "some text", "s", -1), (2, None, "t", -1)], "doc_id long, text string, score string, predicted int")
+    model = Q.fit_quality(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    got = Q.score_documents(docs, model)
+    assert got.columns == docs.columns
+    assert all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got.collect())

@@ -34,6 +34,16 @@ def test_matches_naive(spark):
         assert {r.page_id: tuple(r)[1:] for r in got} == {i: naive(u, rules) for i, u in enumerate(found)}
 
 
+def test_clashing_columns(spark):
+    found = urls(random.Random(9), 60)
+    pages = spark.createDataFrame([(i, u, "h", 1, "r", True, "b", "k") for i, u in enumerate(found)], "page_id long, url string, host string, path int, rule string, verdict boolean, _best string, _r0 string")
+    got = U.judge_urls(pages, URL_RULES)
+    assert got.columns == pages.columns  # results take the place of columns of their names
+    rows = got.collect()
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows} == {i: naive(u, URL_RULES) for i, u in enumerate(found)}
+    assert all((r["_best"], r["_r0"]) == ("b", "k") for r in rows)
+
+
 def test_join_beyond_the_bound(spark):
     found = urls(random.Random(6), 200)
     pages = spark.createDataFrame(list(enumerate(found)), "page_id long, url string")
