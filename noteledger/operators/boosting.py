@@ -32,6 +32,7 @@ from ..session import materialize
 BINS = 32  # of a feature; the first is for missing values
 COMMIT = 8  # rounds whose trees are replayed before the margins are written
 PATIENCE = 10
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def fit_frame(df: DataFrame, id_col: str, features: str, truth: str, edges: list[np.ndarray], fold: str | None = None) -> DataFrame:
-    """pick (the hash of the id), fold, bins, labels and zero margins are added later; one partition per 4,096 rows or core."""
+    """pick (the hash of the id), fold, bins, labels and margins (none yet).
+
+    A partition has at least ``BLOCK`` rows, so a small fit needs no exchange; a larger one has as many
+    partitions as the input, or the cores.
+    """
     width = len(edges)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +155,7 @@ def fit_frame(df: DataFrame, id_col: str, features: str, truth: str, edges: list
         F.xxhash64(F.col(id_col)).alias("pick"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
         F.col(features).cast("array<double>").alias("x"), F.col(truth).cast("array<double>").alias("y"))
     made = materialize(narrow.mapInArrow(rows, "pick long, fold int, bins binary, labels binary"))
-    parts = max(1, min(-(-made.count() // 1024), max(df.sparkSession.sparkContext.defaultParallelism, made.rdd.getNumPartitions())))
+    parts = max(1, min(-(-made.count() // BLOCK), max(df.sparkSession.sparkContext.defaultParallelism, made.rdd.getNumPartitions())))
     return made.repartition(parts, "pick").withColumn("margins", F.lit(b"").cast("binary"))
 
 
@@ -247,8 +252,14 @@ LEVEL = "task int, sums binary, loss double, rows long"
 FOUND = "task int, splits array<double>, loss double, rows long"
 
 
-def run_level(frame: DataFrame, tasks: list[Task], active: dict[int, np.ndarray], trees: dict[int, Tree], recent: list[dict[int, Tree]], n: int, level: int, judged: bool) -> dict[int, tuple]:
-    """One aggregation: splits of the open nodes of all active tasks, and the tasks' losses if ``judged``."""
+def run_level(frame: DataFrame, tasks: list[Task], active: dict[int, np.ndarray], trees: dict[int, Tree], recent: list[dict[int, Tree]], n: int, level: int, judged: bool, alone: bool = False) -> dict[int, tuple]:
+    """One aggregation: splits of the open nodes of all active tasks, and the tasks' losses if ``judged``.
+
+    ``alone``: the frame is one partition, whose sums are the whole ones and need not be merged.
+    """
+
+    def splits_of(t: int, sums: np.ndarray) -> list[float]:
+        return best_splits(sums.reshape(len(active[t]), -1, BINS, 2), tasks[t].settings).reshape(-1).tolist() if len(active[t]) else []
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(batches, tasks)
@@ -257,20 +268,19 @@ def run_level(frame: DataFrame, tasks: list[Task], active: dict[int, np.ndarray]
         block.replay(recent)
         out = []
         for t, open_nodes in active.items():
-            sums = histograms(block, tasks[t], t, n, trees[t], level, open_nodes).tobytes() if len(open_nodes) else b""
-            out.append((t, sums, *(_losses(block, tasks[t], t) if judged else (0.0, 0))))
-        yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int32(), pa.binary(), pa.float64(), pa.int64()))], names=["task", "sums", "loss", "rows"])
+            sums = histograms(block, tasks[t], t, n, trees[t], level, open_nodes) if len(open_nodes) else np.empty(0)
+            out.append((t, splits_of(t, sums) if alone else sums.tobytes(), *(_losses(block, tasks[t], t) if judged else (0.0, 0))))
+        kinds = (pa.int32(), pa.list_(pa.float64()) if alone else pa.binary(), pa.float64(), pa.int64())
+        yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=["task", "splits" if alone else "sums", "loss", "rows"])
 
     def merge(table: pa.Table) -> pa.Table:
         t = table.column("task")[0].as_py()
-        splits = np.empty(0)
-        if len(active[t]):
-            sums = sum(np.frombuffer(s.as_py()) for s in table.column("sums"))
-            splits = best_splits(sums.reshape(len(active[t]), -1, BINS, 2), tasks[t].settings).reshape(-1)
-        return pa.table({"task": pa.array([t], pa.int32()), "splits": pa.array([splits.tolist()], pa.list_(pa.float64())),
+        sums = sum(np.frombuffer(s.as_py()) for s in table.column("sums"))
+        return pa.table({"task": pa.array([t], pa.int32()), "splits": pa.array([splits_of(t, sums)], pa.list_(pa.float64())),
                          "loss": pa.array([sum(x.as_py() for x in table.column("loss"))], pa.float64()), "rows": pa.array([sum(x.as_py() for x in table.column("rows"))], pa.int64())})
 
-    found = frame.mapInArrow(partial, LEVEL).groupBy("task").applyInArrow(merge, FOUND).collect()
+    made = frame.mapInArrow(partial, FOUND) if alone else frame.mapInArrow(partial, LEVEL).groupBy("task").applyInArrow(merge, FOUND)
+    found = made.collect()
     return {r.task: (np.array(r.splits).reshape(-1, 7), r.loss, r.rows) for r in found}
 
 
@@ -310,7 +320,7 @@ def fit_tasks(frame: DataFrame, tasks: list[Task], edges: list[np.ndarray], pati
     not improved for so many rounds, and keeps the trees up to its best round.
     """
     frame = materialize(frame)
-    width = len(edges)
+    width, alone = len(edges), frame.rdd.getNumPartitions() == 1
     models = [Boosted(t, edges) for t in tasks]
     groups = sorted({t.group for t in tasks})
     losses: dict[int, list[float]] = {g: [] for g in groups}
@@ -340,7 +350,7 @@ def fit_tasks(frame: DataFrame, tasks: list[Task], edges: list[np.ndarray], pati
             judged = watch and level == 0 and n > 0  # losses after the round before
             if not judged and not any(len(x) for x in active.values()):
                 break
-            found = run_level(frame, tasks, active, trees, recent, n, level, judged)
+            found = run_level(frame, tasks, active, trees, recent, n, level, judged, alone)
             if judged:
                 judge({t: found[t] for t in found})
             following = {}

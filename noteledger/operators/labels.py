@@ -16,6 +16,7 @@ from ..functions.generators import explode_rows
 from ..functions.patterns import CODE_STRICT
 from .ranking import exact_rank
 
+
 def code_dictionary(df: DataFrame, codes: str = "codes", raw: bool = False,
                     pattern: str = CODE_STRICT) -> DataFrame:
     """(code, code_index): distinct codes numbered 0.. in code order.
@@ -71,6 +72,22 @@ def one_hot_labels(df: DataFrame, dictionary: DataFrame, codes: str = "codes", p
     return found.select(*df.columns, dense_labels(F.col(indexes), F.size("_dictionary")).alias(labels), indexes)
 
 
+def label_vectors(df: DataFrame, dictionary: DataFrame, codes: str = "codes", pattern: str = CODE_STRICT, out: str = "label_vector") -> DataFrame:
+    """``df`` with its labels as a sparse 0/1 vector over the dictionary.
+
+    The vectors are built in the JVM by Spark ML's count vectorizer, which gets the
+    dictionary (the label space) as its vocabulary; nothing is fitted.
+    """
+    from pyspark.ml.feature import CountVectorizerModel
+
+    names = [r.code for r in dictionary.orderBy("code_index").collect()]
+    staged = df.withColumn("_labels", F.array_distinct(parse_code_set(codes, pattern)))
+    if not names:
+        raise ValueError("the dictionary is empty")
+    model = CountVectorizerModel.from_vocabulary(names, inputCol="_labels", outputCol=out).setBinary(True).setMinTF(1.0)
+    return model.transform(staged).drop("_labels")
+
+
 def label_union(df: DataFrame, split: str = "split", codes: str = "codes",
                 pattern: str = CODE_STRICT) -> DataFrame:
     """Sorted distinct codes over the union of the per-split code sets."""

@@ -35,7 +35,8 @@ def distinct_count(df: DataFrame, column: str) -> Column:
         part, place = F.bitmap_bucket_number(F.col(column)), F.bitmap_bit_position(F.col(column))
         maps = df.where(F.col(column).isNotNull()).groupBy(part.alias("part")).agg(F.bitmap_construct_agg(place).alias("held"))
         return maps.select(F.coalesce(F.sum(F.bitmap_count("held")), F.lit(0))).scalar()
-    return df.select(F.count_distinct(F.col(column))).scalar()
+    # groups are counted one level up: two such counts side by side would be merged into one that multiplies rows
+    return df.where(F.col(column).isNotNull()).select(column).distinct().select(F.count(F.lit(1))).scalar()
 
 
 def quality_summary(df: DataFrame, cols: RecordColumns = RecordColumns(),

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import labels as L
 from ..operators import reports as R
 from ..operators import scoring as S
 from ..operators import text_vectors as TV
 from ..operators import vectorize as V
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import files as FI
 from ..sources import roles
 from ..sources import sql as SQ
@@ -101,6 +102,15 @@ def q_value_rows(spark, d):
     return R.value_rows(roles.records(spark, d, ["category", "code", "age"]), {"category": "category", "code": "code", "age": "age"})
 
 
+def q_label_vectors(spark, d):
+    """The label matrix as sparse vectors: indexes of the ones of each order, from the vector itself."""
+    v = materialize(roles.visits(spark, d, ["record_id", "codes"]))
+    vectors = L.label_vectors(v, L.code_dictionary(v))
+    held = F.unwrap_udt("label_vector")
+    return vectors.select("record_id", held["size"].alias("width"), F.size(held["indices"]).alias("n_labels"),
+                          F.array_join(F.transform(held["indices"], lambda i: i.cast("string")), ",").alias("label_indexes"))
+
+
 # -- reports and cleaners as SQL --------------------------------------------
 
 
@@ -133,8 +143,8 @@ def q_sql_code_parse(spark, d):
 
 
 def _word_table(spark, d):
-    tokens = V.materialize(V.token_frame(spread(read_table(spark, d, "documents"), "doc_id"), "doc_id", "text").select("doc_id", F.slice(F.filter("filtered", lambda t: t != ""), 1, TV.MAX_TOKENS).alias("filtered")))
-    return tokens, V.materialize(TV.word_vectors(tokens, "filtered"))
+    tokens = materialize(V.token_frame(spread(read_table(spark, d, "documents"), "doc_id"), "doc_id", "text").select("doc_id", F.slice(F.filter("filtered", lambda t: t != ""), 1, TV.MAX_TOKENS).alias("filtered")))
+    return tokens, materialize(TV.word_vectors(tokens, "filtered"))
 
 
 def _shown(vector: str):
@@ -187,6 +197,10 @@ def _grouped(section: str, name: str, key: str) -> str:
 SELECT '{section}' AS report_section, {name}, n AS count, round(n::DOUBLE * 100.0 / (SELECT count(*) FROM r), 2) AS percentage FROM g"""
 
 
+SQL["label_vectors"] = f"""WITH pairs AS ({CATALOG_SQL["label_pairs"]}), width AS (SELECT count(DISTINCT code)::INTEGER AS n FROM pairs)
+SELECT o.o_orderkey AS record_id, (SELECT n FROM width) AS width, count(p.code_index)::INTEGER AS n_labels,
+  coalesce(string_agg(p.code_index::VARCHAR, ',' ORDER BY p.code_index), '') AS label_indexes
+FROM orders o LEFT JOIN pairs p ON p.record_id = o.o_orderkey GROUP BY o.o_orderkey"""
 SQL["value_rows"] = f"""WITH r AS (SELECT {_RECORDS}),
 t AS (SELECT unnest(['category', 'code', 'age']) AS field, unnest([category, code, age::VARCHAR]) AS value FROM r)
 SELECT field, value, count(*) AS count FROM t GROUP BY ALL"""

@@ -53,3 +53,12 @@ def test_one_hot_is_per_row(spark):
     rows = L.one_hot_labels(v, L.code_dictionary(v)).collect()
     assert sorted((str(r.record_id), r.labels, r.label_indexes) for r in rows) == [
         ("None", [0, 1], [1]), ("P1", [0, 1], [1]), ("P1", [1, 0], [0])]
+
+
+def test_label_vectors_equal_the_dense_rows(spark):
+    v = spark.createDataFrame([(1, "I10|E11.9"), (2, ""), (3, None), (4, "E11.9|I10|bad|Z99"), (4, "Z99")], "record_id long, codes string")
+    d = L.code_dictionary(v)
+    dense = sorted((r.record_id, r.labels) for r in L.one_hot_labels(v, d).collect())
+    rows = L.label_vectors(v, d).collect()
+    assert sorted((r.record_id, [int(x) for x in r.label_vector.toArray()]) for r in rows) == dense
+    assert all(type(r.label_vector).__name__ == "SparseVector" for r in rows)
