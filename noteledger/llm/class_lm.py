@@ -9,8 +9,9 @@ unseen word takes that of words that end alike.
 
 Exchange: a unit moves to the class that raises the likelihood of the class
 bigrams most. The neighbours of a unit, with their counts, are one row (at
-most two entries per unit), and rows are dealt out; in a round each task goes
-through half of its units one by one against the class counts it was given, and
+most two entries per unit), and rows are dealt out; in a turn half of the units choose
+their class against the class counts they were given, each for itself, so that the
+result does not depend on how rows lie in tasks, and
 the driver, which holds one number per unit and the classes' square, takes the
 moves together. The assignment with the highest likelihood counts; rounds end
 when it grows by less than ``LEAST`` of itself.
@@ -52,6 +53,7 @@ UNITS = 1 << 13
 GROUPS = 1 << 9
 CLASSES = 64
 ROUNDS = 6
+TURNS = 2  # a round's units move in as many turns
 LEAST = 1e-3
 LOOKUP = 1 << 18
 BASE = 0.02
@@ -286,13 +288,15 @@ def cluster(context: DataFrame, size: int, k: int = CLASSES, rounds: int = ROUND
     classes[0] = 0
     pairs = class_pairs(context, classes, k)
     best = likelihood(pairs), classes, pairs
-    for n in range(2 * rounds):
+    for n in range(TURNS * rounds):
         def rows(batches: Iterator[pa.RecordBatch], n: int = n, classes=classes, pairs=pairs) -> Iterator[pa.RecordBatch]:
-            own, held, moved = classes.copy(), pairs.copy(), []
+            moved = []
             for batch in batches:
                 for unit, *lists in _rows(batch):
-                    if unit and (unit * 2654435761 >> 7) % 2 == n % 2 and exchange(held, own, unit, *lists) != classes[unit]:
-                        moved.append((unit, int(own[unit])))
+                    if unit and (unit * 2654435761 >> 7) % TURNS == n % TURNS:
+                        best = exchange(pairs.copy(), classes.copy(), unit, *lists)
+                        if best != classes[unit]:
+                            moved.append((unit, best))
             yield pa.record_batch({"unit": pa.array([m[0] for m in moved], pa.int64()), "class": pa.array([m[1] for m in moved], pa.int64())})
 
         moved = context.mapInArrow(rows, "unit long, class long").collect()
@@ -303,7 +307,7 @@ def cluster(context: DataFrame, size: int, k: int = CLASSES, rounds: int = ROUND
         now, before = likelihood(pairs), best[0]
         if now > before:
             best = now, classes, pairs
-        if not moved or n % 2 and now - before < LEAST * abs(before):
+        if n % TURNS == TURNS - 1 and now - before < LEAST * abs(before):
             break
     return best[1], best[2]
 
