@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import boosting
 from . import metrics as M
 from .split import kfold
 
@@ -86,9 +87,12 @@ def fit_binary_relevance(train: DataFrame, n_labels: int, kind: str = "gbt", fea
 
 
 def score(models: list, df: DataFrame, features: str = "features", out: str = "scores") -> DataFrame:
-    """Wide scores: probability of the positive class of each label's model."""
+    """Wide scores: probability of the positive class of each label's model.
+    ``features`` is a vector, also for boosted trees, which read it as an array."""
     from pyspark.ml.functions import vector_to_array
 
+    if models and isinstance(models[0], boosting.Boosted):
+        return boosting.score(models, df.withColumn("_dense", vector_to_array(features)), "_dense", out).drop("_dense")
     cur = df
     cols = []
     for k, m in enumerate(models):

@@ -119,15 +119,18 @@ def train_and_evaluate(split_df: DataFrame, n_labels: int, id_col: str = "patien
     """Fit one model per label on train (+ validation rows for early stopping
     with GBT), evaluate on test, optionally append params and metrics to the
     run table. Returns (models, metrics row)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from . import boosting as BO
     from . import models as MO
     from . import runs as H
 
-    train = split_df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "validation")
-    if kind != "gbt":
-        train = train.where(F.col("split") == "train")
-    models = MO.fit_binary_relevance(train, n_labels, kind, truth=truth,
-                                     validation="is_val" if kind == "gbt" else None,
-                                     parallelism=parallelism, **params)
+    if kind == "gbt":
+        train = split_df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "validation")
+        models = BO.fit_labels(train.withColumn("_dense", vector_to_array("features")), n_labels, id_col, "_dense", truth, "is_val", **params)
+    else:
+        models = MO.fit_binary_relevance(split_df.where(F.col("split") == "train"), n_labels, kind, truth=truth,
+                                         parallelism=parallelism, **params)
     scored = materialize(MO.score(models, split_df.where(F.col("split") == "test")))
     metrics = MO.evaluate(scored, threshold, id_col, truth)
     if runs_path:

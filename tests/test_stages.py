@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 
 from noteledger.operators import stages as ST
 from noteledger.sources import files as IO
@@ -54,7 +55,8 @@ def test_write_validation_reports(spark):
     assert summary.fully_valid_records == "1" and summary.overall_quality_score == "50.0"
 
 
-def test_train_evaluate_log_and_score_uploads(spark):
+@pytest.mark.parametrize(("kind", "params"), [("lr", {"maxIter": 20}), ("gbt", {"rounds": 4, "depth": 2})])
+def test_train_evaluate_log_and_score_uploads(spark, kind, params):
     import tempfile
 
     from noteledger.operators import runs as H
@@ -65,7 +67,7 @@ def test_train_evaluate_log_and_score_uploads(spark):
     feats = ST.model_features(feats)
     split, _ = ST.split_and_write(feats, "patient_id")
     runs = tempfile.mkdtemp(prefix="runs-", dir="/tmp") + "/runs"
-    models, metrics = ST.train_and_evaluate(split, 5, kind="lr", runs_path=runs, run_id="r1", maxIter=20)
+    models, metrics = ST.train_and_evaluate(split, 5, kind=kind, runs_path=runs, run_id="r1", **params)
     m = metrics.collect()[0]
     assert 0.0 <= m.element_accuracy <= 1.0
     keys = {r.key for r in H.read_runs(spark, runs).collect()}
