@@ -26,10 +26,15 @@ from .split import kfold
 GBT_PARAMS = dict(maxIter=100, stepSize=0.1, maxDepth=6, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=42)
 RF_PARAMS = dict(numTrees=100, maxDepth=10, seed=42)
+# How a forest is fitted, not what: each row's node in each tree is kept from level to level
+# instead of being found from the root again. At most ten levels, so the lineage needs no cut.
+RF_EXECUTION = dict(cacheNodeIds=True, checkpointInterval=-1)
 LR_PARAMS = dict(maxIter=1000)
 
 
 PARTITION_BYTES = 64 << 20  # of feature vectors in one partition of a fit
+FOREST_BYTES = 1 << 20  # the same for a forest, up to FOREST_PARTS partitions
+FOREST_PARTS = 16
 
 
 def make_estimator(kind: str, features: str = "features", label: str = "label", n_rows: int | None = None, **overrides):
@@ -38,7 +43,7 @@ def make_estimator(kind: str, features: str = "features", label: str = "label",
     if kind == "gbt":
         return GBTClassifier(featuresCol=features, labelCol=label, **{**GBT_PARAMS, **overrides})
     if kind == "rf":
-        return RandomForestClassifier(featuresCol=features, labelCol=label, **{**RF_PARAMS, **overrides})
+        return RandomForestClassifier(featuresCol=features, labelCol=label, **{**RF_PARAMS, **RF_EXECUTION, **overrides})
     if kind == "lr":
         params = {**LR_PARAMS, **overrides}
         if "regParam" not in params and n_rows:
@@ -53,17 +58,22 @@ def label_frame(df: DataFrame, truth: str, k: int, out: str = "label") -> DataFr
     return df.withColumn(out, F.element_at(F.col(truth), k + 1).cast("double"))
 
 
-def fit_frame(df: DataFrame, columns: list[str], features: str, id_col: str | None) -> tuple[DataFrame, int]:
+def fit_frame(df: DataFrame, columns: list[str], features: str, id_col: str | None, kind: str = "") -> tuple[DataFrame, int]:
     """``columns`` of ``df`` kept for the fits of all labels, and its rows.
 
     As many partitions as the vectors' size asks for: every tree level and
-    every gradient is a job over all of them. With an id the rows' place is
-    fixed, so a fit does not depend on how the frame was made.
+    every gradient is a job over all of them. A row of a forest is worth far more
+    work (each tree counts it at each level), so smaller partitions pay; but each of them
+    sends the counts of all open nodes, hence a bound on their number. With an id the rows'
+    place is fixed, so a fit depends neither on how the frame was made nor on the cluster.
     """
     n = df.count()
     first = df.select(features).first()
     width = first[0].size if first else 0
-    parts = max(1, -(-n * (8 * width + 64) // PARTITION_BYTES))
+    held = n * (8 * width + 64)
+    parts = max(1, -(-held // PARTITION_BYTES))
+    if kind == "rf":
+        parts = max(parts, min(FOREST_PARTS, held // FOREST_BYTES))
     if id_col:
         df = df.repartition(parts, id_col).sortWithinPartitions(id_col)
     elif parts < df.rdd.getNumPartitions():
@@ -75,7 +85,7 @@ def fit_binary_relevance(train: DataFrame, n_labels: int, kind: str = "gbt", fea
                          truth: str = "y_true", parallelism: int = 4, id_col: str | None = None, **overrides) -> list:
     """Fit one model per label; returns the fitted models in label order.
     Boosted trees that stop on validation rows are in :mod:`.boosting`."""
-    cached, n_rows = fit_frame(train, [features, truth], features, id_col)
+    cached, n_rows = fit_frame(train, [features, truth], features, id_col, kind)
     try:
         def fit(k):
             return make_estimator(kind, features, "label", n_rows, **overrides).fit(label_frame(cached, truth, k))
