@@ -138,3 +138,29 @@ def test_missing_values_constant_features_and_no_rows(spark):
 def test_settings_are_the_usual_ones():
     s = replace(B.Settings(), rounds=7)
     assert (s.rate, s.depth, s.subsample, s.colsample, s.min_child_weight) == (0.1, 6, 0.8, 0.8, 1.0)
+
+
+def test_histograms_hold_no_value_per_row_and_feature():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n, width = 20_000, 60
+    bins, labels = rng.integers(0, B.BINS, (n, width), dtype=np.uint8), rng.integers(0, 2, (n, 2), dtype=np.uint8)
+    batch = pa.record_batch({
+        "pick": pa.array(rng.integers(0, 2**62, n)), "fold": pa.array(np.ones(n, np.int32)),
+        **{k: pa.array([x.tobytes() for x in v], pa.binary()) for k, v in (("bins", bins), ("labels", labels), ("margins", rng.random((n, 2))))}})
+    task = B.Task(1, B.Settings(subsample=1.0, colsample=1.0))
+    block, tree = B.Block(iter([batch.slice(0, 7), batch.slice(7)]), [task, task]), B.Tree.stump(6)
+    tree.feature[0], tree.last[0] = 4, 11
+    tracemalloc.start()
+    out = B.histograms(block, task, 1, 0, tree, 1, np.array([2]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * n * width / 2
+    inside = bins[:, 4] > 11
+    p = B.sigmoid(block.margins[:, 1])
+    for j in (0, 4, 59):
+        for side, v in enumerate((p - labels[:, 1], p * (1 - p))):
+            assert out[0, j, :, side] == pytest.approx([v[inside & (bins[:, j] == b)].sum() for b in range(B.BINS)])
