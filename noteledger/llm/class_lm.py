@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from noteledger.llm import words as W
 from noteledger.llm.batches import by_bytes
-from noteledger.llm.common import n_tasks, stored
+from noteledger.llm.common import in_light_batches, n_tasks, stored
 
 UNITS = 1 << 13
 GROUPS = 1 << 9
@@ -79,7 +79,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) of ``texts`` (text); the end token is the empty word."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "text", 16 << 20):
+        for batch in by_bytes(batches, "text"):
             distinct, ids, _ = text_words(batch)
             counts = np.bincount(ids, minlength=len(distinct))
             yield pa.record_batch({"word": pa.concat_arrays([distinct, pa.array([END])]), "c": pa.array(np.append(counts, len(batch)))})
@@ -159,6 +159,7 @@ def unit_sequence(batch: pa.RecordBatch, known: Vocabulary) -> tuple[np.ndarray,
 def unit_pairs(texts: DataFrame, known: Vocabulary) -> DataFrame:
     """(u, v, n): unit v follows unit u; texts begin after an end."""
     size = known.size
+    kind = np.int32 if size**2 < 2**31 else np.int64  # of a pair
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -168,7 +169,7 @@ def unit_pairs(texts: DataFrame, known: Vocabulary) -> DataFrame:
         held, tokens = [], 0
         for batch in by_bytes(batches, "text"):
             unit = unit_sequence(batch, known)[0]
-            held.append(np.append(0, unit[:-1]) * size + unit)
+            held.append((np.append(0, unit[:-1]) * size + unit).astype(kind))
             tokens += len(unit)
             if tokens >= TOKENS:
                 yield counted(held)
@@ -380,6 +381,7 @@ def score_texts(docs: DataFrame, counts: DataFrame, model: ClassModel, doc_id: s
         (logs - F.col("n_tokens") * float(np.log10(known.tokens + known.distinct + 1))).alias("base_score"), (logs + F.col("steps")).alias("score"))
 
 
+@in_light_batches
 def language_model_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """Learn from the documents that are not held out, and score all of them."""
     training = docs.where(~held_out(F.col(doc_id))).select(F.col(text).cast("string").alias("text"))

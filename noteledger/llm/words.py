@@ -14,8 +14,12 @@ def translated(texts: pa.Array, table: bytes) -> pa.Array:
     """``texts`` with every byte replaced by ``table``; nulls are empty. The table must keep UTF-8 valid."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     _, ends, data = texts.buffers()
-    body = data.to_pybytes().translate(table) if data is not None else b""
-    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, ends, pa.py_buffer(body)], 0, texts.offset)
+    if data is None or not len(texts):
+        return pa.array([""] * len(texts), pa.large_string())
+    # a slice shares the buffer of its whole column; only its own bytes are copied
+    ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset)
+    body = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes().translate(table)
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends - ends[0]), pa.py_buffer(body)], 0)
 
 
 def lists_flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray]:
