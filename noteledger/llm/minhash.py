@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint, fresh, text_key
+from noteledger.llm.common import checkpoint, fresh, in_light_batches, text_key
 from noteledger.llm.components import components, roots
 
 HASHES = 198
@@ -302,6 +302,7 @@ def across_clusters(members: DataFrame, nodes: DataFrame, least: dict[int, int])
     return dealt.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
+@in_light_batches
 def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (doc_id = component_id), tkey (of the text) and node (of the component), one row per row."""
     threshold = numerator / denominator

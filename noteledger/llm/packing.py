@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noteledger.llm.common import checkpoint
+from noteledger.llm.common import checkpoint, in_light_batches
 
 COARSE, FINE = 2, 64  # the rest of a document is cut to pieces of capacity / COARSE, or FINE for one document in EVERY
 EVERY = 16
@@ -220,6 +220,7 @@ def pack_batch(batch: pd.DataFrame, capacity: int) -> pd.DataFrame:
     return batch.assign(sequence_id=2 * places[sequence] + 1, offset=offset).drop(columns=["_at", "_batch"])
 
 
+@in_light_batches
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, doc_id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for).
 

@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pytest
 
-from noteledger.llm import class_lm, common
+from noteledger.llm import class_lm, common, minhash, packing, suffix_dedup
 from noteledger.llm import words as W
 from noteledger.llm.batches import by_bytes
 
@@ -23,6 +23,9 @@ def test_a_slice_of_texts_copies_only_its_own_bytes():
 @pytest.mark.parametrize(("module", "step", "operator"), [
     (class_lm, "word_counts", lambda d: class_lm.language_model_scores(d)),
     (class_lm, "score_texts", lambda d: class_lm.language_model_scores(d)),
+    (minhash, "sets_of", lambda d: minhash.near_duplicates(d)),
+    (suffix_dedup, "candidate_segments", lambda d: suffix_dedup.remove_repeats(d)),
+    (packing, "piece_rows", lambda d: packing.pack(d, "none")),
 ])
 def test_eager_steps_take_batches_by_bytes(spark, monkeypatch, module, step, operator):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
@@ -35,7 +38,8 @@ def test_eager_steps_take_batches_by_bytes(spark, monkeypatch, module, step, ope
         seen.append(spark.conf.get(SETTING))
         raise Stop
 
-    monkeypatch.setattr(module, step, stop)
+    # packing's first eager step is its checkpoint
+    monkeypatch.setattr(module, "checkpoint" if module is packing else step, stop)
     with pytest.raises(Stop):
         operator(docs)
     assert seen == [common.BATCH_BYTES]
