@@ -2,11 +2,13 @@
 
 Encoding. A text (with the model's leading space) is cut into units: spaces
 and what follows them up to the next space, and line feeds by themselves; no
-piece of the model crosses a unit's border. Distinct units are counted once.
-Their substrings of at most the longest piece's length are exploded and joined
-with the piece table (one row per piece, so its size is fixed by the model and
-it is broadcast); the edges of a unit's lattice are gathered and folded by
-higher-order functions.
+piece of the model crosses a unit's border, so a distinct unit is encoded once
+for many occurrences.
+
+As relations: substrings of at most the longest piece's length are exploded and
+joined with the piece table (one row per piece, so its size is fixed by the
+model and it is broadcast); the edges of a unit's lattice are gathered and
+folded by higher-order functions.
 
 * ``viterbi``, for unigram models: the fold keeps for each end the best score and
   its last edge; the path is read back from the end.
@@ -20,10 +22,17 @@ Characters that are no piece become byte pieces, or the unknown id if the model
 has none. Units longer than ``LONG`` characters, whose lattice one row should
 not hold, are encoded by the library.
 
-Occurrences of units find their ids in two ways, both exact: the ``FREQUENT``
-commonest units, a bounded number, are broadcast; the rest are joined by a
-shuffle of their occurrences, so a unit that a third of all text consists of
-never meets in one task.
+``encode_units`` gives units and ids as a relation. Occurrences of units find
+their ids there in two ways, both exact: the ``FREQUENT`` commonest units, a
+bounded number, are broadcast; the rest are joined by a shuffle of their
+occurrences, so a unit that a third of all text consists of never meets in one
+task. Places, units and ids of every occurrence take several times the disk of the texts.
+
+``encode`` gives whole texts' ids, which stay with their row, so nothing is
+shuffled or written. A batch of about 4 MB of text is cut into units, its distinct
+units are rows of matrices of symbols, and a round joins two symbols in each:
+of the edges that are possible (pairs of neighbours that make up a piece, looked up
+in the model's table of pairs) the one of highest score, from the left.
 
 Decoding looks each id's bytes up and puts them together.
 
@@ -34,18 +43,26 @@ An empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from noteledger.llm.common import checkpoint, stored
+from noteledger.llm.batches import by_bytes
+from noteledger.llm.common import checkpoint, fresh, stored
 
 SPACE = "▁"  # fixed value: how pieces write a space
 FREQUENT = 300_000
 LONG = 400
 ID = 1 << 20  # ids are below this
+SYMBOL = 1 << 22  # ids, and code points moved by the number of ids, are below this
+NONE = np.iinfo(np.int32).max  # rank of a pair that is no piece
+CELLS = 1 << 20  # symbols of a matrix of units at most
 UNITS = r" +[^ \n]*|\n|[^ \n]+"
 
 
@@ -76,6 +93,20 @@ class Pieces:
         for i in bytes_:
             self.hex[i] = f"{i - self.byte_base:02x}"
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Every way to make up a piece of two symbols: key (ascending), rank of the piece's score, its id.
+
+        A symbol is a piece, or a character that is none: the number of ids and its code point.
+        """
+        known = {p: i for p, i, *_ in self.rows}
+        symbol = lambda x: known.get(x, len(self.hex) + ord(x) if len(x) == 1 else None)
+        made = sorted(
+            (left * SYMBOL + right, rank, i)
+            for p, i, _, rank in self.rows for at in range(1, len(p))
+            if (left := symbol(p[:at])) is not None and (right := symbol(p[at:])) is not None)
+        columns = list(zip(*made, strict=True)) or [(), (), ()]
+        return np.array(columns[0], np.int64), np.array(columns[1], np.int32), np.array(columns[2], np.int32)
+
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(pd.DataFrame(self.rows, columns=["piece", "id", "score", "rank"]), "piece string, id int, score double, rank int")
 
@@ -185,25 +216,31 @@ def unigram_units(units: DataFrame, pieces: Pieces, unknown_penalty: float = 10.
     return edges.select("unit", viterbi_fold(F.col("n"), F.col("edges")).alias("ids"))
 
 
+def library(path: str) -> Callable[[str], list[int]]:
+    """The library's ids of a unit."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    line = "\n" if model.encode("\n") else ""
+    skip = len(model.encode(line + line)) - len(model.encode(line)) if line else 0
+    head = len(model.encode(line)) - skip if line else 0
+
+    def ids(unit: str) -> list[int]:
+        if unit.startswith(" "):  # the library puts this space itself
+            return model.encode(unit[1:])
+        return model.encode(line + unit)[head + skip:]  # a line feed before it keeps the library's space apart
+
+    return ids
+
+
 def merged_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     """``unit`` and ``ids`` after all merges, for BPE models. ``units``: distinct, partitioned by unit."""
     path = pieces.path
 
     def by_library(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        line = "\n" if model.encode("\n") else ""
-        skip = len(model.encode(line + line)) - len(model.encode(line)) if line else 0
-        head = len(model.encode(line)) - skip if line else 0
+        ids = library(path)
         for batch in batches:
-            out = []
-            for unit in batch["unit"]:
-                if unit.startswith(" "):  # the library puts this space itself
-                    out.append(model.encode(unit[1:]))
-                else:  # a line feed before it keeps the library's space apart
-                    out.append(model.encode(line + unit)[head + skip:])
-            yield batch[["unit"]].assign(ids=out)
+            yield batch[["unit"]].assign(ids=[ids(unit) for unit in batch["unit"]])
 
     short = lattice(units.where(F.char_length("unit") <= LONG), pieces)
     folded = short.withColumn("at", merge_fold(F.col("singles"), F.col("edges"))).select("unit", ids_of_unit(F.col("unit"), F.col("at"), pieces).alias("ids"))
@@ -233,10 +270,174 @@ def encode_units(docs: DataFrame, pieces: Pieces, row: str = "row", text: str =
     return known.unionByName(marked.where("ids is null").drop("ids").join(rare, "unit")).select(row, "nth", "unit", "ids")
 
 
+def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All units of some texts in a row (bytes), and their number per text; ``text_units`` on a column."""
+    plain = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), SPACE, " ")
+    empty = pa.scalar("", pa.large_string())
+    plain = pc.if_else(pc.equal(pc.binary_length(plain), 0), empty, pc.binary_join_element_wise(empty, plain, pa.scalar(" ", pa.large_string())))
+    if not pc.sum(pc.binary_length(plain)).as_py():
+        return pa.array([], pa.large_binary()), np.zeros(len(texts), np.int64)
+    _, ends, data = plain.buffers()
+    ends = np.frombuffer(ends, np.int64, len(plain) + 1, 8 * plain.offset)
+    body = np.frombuffer(data, np.uint8, ends[-1])
+    space, line = body == 32, body == 10
+    first = space | line
+    first[1:] &= line[1:] | ~space[:-1]
+    first[1:] |= line[:-1] & ~space[1:]
+    first[:ends[0]] = False
+    first[ends[:-1][np.diff(ends) > 0]] = True
+    starts = np.flatnonzero(first)
+    units = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, ends[-1])), data])
+    return units, np.diff(np.searchsorted(starts, ends))
+
+
+def gathered(values: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Runs of ``n`` values from ``start`` on, in a row."""
+    return values[np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)]
+
+
+def merge_rounds(symbols: np.ndarray, pairs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """``symbols`` [unit, place], -1 behind a unit's end, after all merges: each round joins one pair per unit."""
+    keys, ranks, ids = pairs
+    out = np.full_like(symbols, -1)
+    if not len(keys):
+        return symbols
+
+    def found(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = left.astype(np.int64) * SYMBOL + right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return at, (keys[at] == key) & (left >= 0) & (right >= 0)
+
+    def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        at, there = found(left, right)
+        return np.where(there, ranks[at], NONE)
+
+    rows = np.arange(len(symbols))
+    rank = rank_of(symbols[:, :-1], symbols[:, 1:])
+    while symbols.shape[1] > 1 and len(rows):
+        at = rank.argmin(axis=1)  # the leftmost of equal ones
+        on = rank[np.arange(len(rows)), at] < NONE
+        out[rows[~on], :symbols.shape[1]] = symbols[~on]
+        rows, symbols, rank, at = rows[on], symbols[on], rank[on], at[on]
+        each = np.arange(len(rows))
+        joined = ids[found(symbols[each, at], symbols[each, at + 1])[0]]
+        keep = np.ones(symbols.shape, bool)
+        keep[each, at + 1] = False
+        symbols = symbols[keep].reshape(len(rows), symbols.shape[1] - 1)
+        symbols[each, at] = joined
+        # the joined pair's rank goes; those of the new symbol and its neighbours are looked up
+        keep = np.ones(rank.shape, bool)
+        keep[each, at] = False
+        rank = rank[keep].reshape(len(rows), rank.shape[1] - 1)
+        left, right = np.flatnonzero(at > 0), np.flatnonzero(at < rank.shape[1])
+        rank[left, at[left] - 1] = rank_of(symbols[left, at[left] - 1], joined[left])
+        rank[right, at[right]] = rank_of(joined[right], symbols[right, at[right] + 1])
+    out[rows, :symbols.shape[1]] = symbols
+    return out
+
+
+class UnitCoder:
+    """Ids of units, in a task: the tables of the model that ``merge_rounds`` needs."""
+
+    def __init__(self, pieces: Pieces):
+        self.path, self.n_ids, self.byte_base, self.unknown = pieces.path, len(pieces.hex), pieces.byte_base, pieces.unknown
+        chars = sorted((ord(p), i) for p, i, *_ in pieces.rows if len(p) == 1)
+        self.chars, self.char_ids = np.array([c for c, _ in chars], np.int64), np.array([i for _, i in chars], np.int32)
+        self.pairs = pieces.pairs()
+
+    def symbols_of(self, points: np.ndarray) -> np.ndarray:
+        """A character's id, or the number of ids and its code point if it is no piece."""
+        at = np.minimum(np.searchsorted(self.chars, points), max(len(self.chars) - 1, 0))
+        there = self.chars[at] == points if len(self.chars) else np.zeros(len(points), bool)
+        return np.where(there, self.char_ids[at] if len(self.chars) else 0, self.n_ids + points).astype(np.int32)
+
+    def missing(self, point: int) -> list[int]:
+        """Ids of a character that is no piece."""
+        if self.byte_base is None:
+            return [self.unknown]
+        return [self.byte_base + b for b in chr(point).encode()]
+
+    def short(self, units: list[str], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units of ``n`` characters in a row, and their number per unit."""
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        symbols, start = self.symbols_of(points), np.cumsum(n) - n
+        order, made, counts, a = np.argsort(n, kind="stable"), [], np.zeros(len(n), np.int64), 0
+        while a < len(order):
+            # units of like lengths share a matrix
+            width = n[order[a]] + max(2, n[order[a]] // 8)
+            b = min(int(np.searchsorted(n[order], width, side="right")), a + max(1, CELLS // int(width)))
+            some = order[a:b]
+            matrix = np.full((len(some), int(n[some[-1]])), -1, np.int32)
+            matrix[np.arange(matrix.shape[1]) < n[some][:, None]] = gathered(symbols, start[some], n[some])
+            matrix = merge_rounds(matrix, self.pairs)
+            counts[some] = (matrix >= 0).sum(axis=1)
+            made.append(matrix[matrix >= 0])
+            a = b
+        merged = np.concatenate(made) if made else np.empty(0, np.int32)
+        place = np.zeros(len(n), np.int64)
+        place[order] = np.cumsum(counts[order]) - counts[order]
+        merged = gathered(merged, place, counts)
+        # a character that is no piece stands for a run of ids
+        others, which = np.unique(merged[merged >= self.n_ids], return_inverse=True)
+        if len(others):
+            runs = [self.missing(int(x) - self.n_ids) for x in others]
+            size = np.array([len(r) for r in runs])
+            at, length = merged.astype(np.int64), np.ones(len(merged), np.int64)
+            at[merged >= self.n_ids] = (self.n_ids + np.cumsum(size) - size)[which]
+            length[merged >= self.n_ids] = size[which]
+            pool = np.concatenate([np.arange(self.n_ids), *runs]).astype(np.int32)
+            counts = np.diff(np.concatenate([[0], np.cumsum(length)])[np.concatenate([[0], np.cumsum(counts)])])
+            merged = gathered(pool, at, length)
+        return merged, counts
+
+    def __call__(self, units: pa.Array, ids_of_long: Callable[[str], list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct units in a row, and their number per unit."""
+        texts = [u.decode("utf-8", "replace") for u in units.to_pylist()]
+        n = np.fromiter(map(len, texts), np.int64, len(texts))
+        long = np.flatnonzero(n > LONG)
+        if not len(long):
+            return self.short(texts, n)
+        brief = np.flatnonzero(n <= LONG)
+        ids, counts = self.short([texts[i] for i in brief], n[brief])
+        more = [ids_of_long(texts[i]) for i in long]
+        all_counts = np.zeros(len(n), np.int64)
+        all_counts[brief], all_counts[long] = counts, [len(m) for m in more]
+        pool, start = np.concatenate([ids, *more]).astype(np.int32), np.zeros(len(n), np.int64)
+        start[np.concatenate([brief, long])] = np.cumsum(np.concatenate([counts, all_counts[long]])) - np.concatenate([counts, all_counts[long]])
+        return gathered(pool, start, all_counts), all_counts
+
+
+def with_ids(docs: DataFrame, pieces: Pieces, text: str, ids: str, n_units: str) -> DataFrame:
+    """``docs`` with the ids of every text (array) and the number of its units; rows stay in their partitions."""
+    coder = UnitCoder(pieces)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def by_library(unit: str) -> list[int]:
+            if not held:
+                held.append(library(coder.path))
+            return held[0](unit)
+
+        for batch in by_bytes(batches, text):
+            units, n = units_of(batch.column(text))
+            distinct = units.dictionary_encode()
+            made, length = coder(distinct.dictionary, by_library)
+            which = distinct.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            each = length[which]
+            flat = gathered(made, (np.cumsum(length) - length)[which], each)
+            ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(n)])]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(n, pa.int64())], names=[*batch.schema.names, ids, n_units])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(n_units, T.LongType())])
+    return docs.mapInArrow(rows, schema)
+
+
 def encode(docs: DataFrame, pieces: Pieces, row: str = "row", text: str = "text") -> DataFrame:
     """row and ids (array) of every text that has units."""
-    units = encode_units(docs, pieces, row, text)
-    return units.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("nth", "ids"))).alias("parts")).select(row, F.flatten(F.col("parts.ids")).alias("ids"))
+    given, n_units = fresh(docs, "_text"), fresh(docs, "n_units")
+    return with_ids(docs.select(row, F.col(text).alias(given)), pieces, given, "ids", n_units).where(F.col(n_units) > 0).select(row, "ids")
 
 
 def decode_ids(ids: Column, pieces: Pieces, leading: bool = True) -> Column:
@@ -260,10 +461,8 @@ def coded_documents(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", tex
     round_trip: the decoded text equals the whole input text, as it is given. A
     text with U+2581 is not given back, as pieces write a space so.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("given"))
-    coded = decode(encode(rows, pieces, text="given"), pieces)
-    # an empty text has no units
-    whole = rows.join(coded, "row", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>"))).withColumn("text", F.coalesce("text", F.lit("")))
-    return whole.select(
-        "doc_id", F.size(text_units(F.col("given"))).cast("long").alias("n_units"), F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("given"))
+    coded = decode(with_ids(rows, pieces, "given", "ids", "n_units"), pieces)
+    return coded.select(
+        "doc_id", "n_units", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest"),
         F.char_length("text").cast("long").alias("n_chars"), (F.col("text") == F.col("given")).alias("round_trip"), "ids", "text")

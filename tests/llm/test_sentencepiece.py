@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +40,56 @@ def test_equals_the_library(spark, model, pieces, frequent):
     assert all(got.get(i, []) == model.encode(t) for i, t in rows)
 
 
+def test_ids_stay_with_their_row(spark, model, pieces):
+    """Whole texts' ids without a shuffle, from batches cut anywhere; nulls, long units and unknown characters included."""
+    rows = [*enumerate(texts()), (-1, None), (-2, "日本" * 150), (-3, "\u2028\r x" * 40)]
+    df = spark.createDataFrame(rows, "row long, text string").repartition(3)
+    coded = L.encode(df, pieces)
+    got = {r.row: r.ids for r in coded.collect()}
+    assert set(got) == {i for i, t in rows if t}
+    assert all(got.get(i, []) == model.encode(t or "") for i, t in rows)
+
+
+def test_bytes_that_are_no_text(spark, model, pieces):
+    docs = spark.sql("select 1L doc_id, cast(x'6120ff62206320' as string) text union all select 2L, cast(x'e2' as string)")
+    got = {r.doc_id: r for r in L.coded_documents(docs, pieces).collect()}
+    assert got[1].ids == model.encode("a \ufffdb c ") and got[2].ids == model.encode("\ufffd")
+    assert not got[1].round_trip and not got[2].round_trip
+
+
+def test_query_shuffles_nothing(spark, sf_small):
+    plan = QUERIES["op7_sentencepiece_lattice"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def plain_merges(unit, rank, missing):
+    """Every possible merge looked at in each step."""
+    at = list(unit)
+    while True:
+        ways = [(rank[at[i] + at[i + 1]], i) for i in range(len(at) - 1) if at[i] + at[i + 1] in rank]
+        if not ways:
+            return [x for s in at for x in missing(s)]
+        i = min(ways)[1]
+        at[i:i + 2] = [at[i] + at[i + 1]]
+
+
+@pytest.mark.parametrize("byte_base", [None, 300])
+def test_merges_of_odd_models(byte_base):
+    """Pieces reached in other ways than they were learned, equal scores, characters that are no piece."""
+    class Table:
+        path, unknown, hex = "", 0, [""] * 600
+        rows = [(p, 10 + i, 0.0, r) for i, (p, r) in enumerate([("a", 99), ("b", 99), (" ", 98), ("ab", 3), ("ba", 3), ("aba", 1), ("bb", 5), ("xy", 2), ("axy", 0), (" a", 4), ("abab", 7), ("éa", 6)])]
+        pairs = L.Pieces.pairs
+    Table.byte_base = byte_base
+    known, rank = {p: i for p, i, *_ in Table.rows}, {p: r for p, _, _, r in Table.rows if len(p) > 1}
+    missing = lambda s: [known[s]] if s in known else [0] if byte_base is None else [byte_base + b for b in s.encode()]
+    rng = random.Random(8)
+    units = sorted({"".join(rng.choice("aabbxyé日 ") for _ in range(rng.randint(1, 30))) for _ in range(1500)})
+    ids, n = L.UnitCoder(Table())(pa.array([u.encode() for u in units], pa.large_binary()), None)
+    ends = [0, *n.cumsum().tolist()]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [plain_merges(u, rank, missing) for u in units]
+
+
 def test_round_trip(spark, pieces):
     rows = list(enumerate(texts()))
     back = {r.row: r.text for r in L.decode(L.encode(spark.createDataFrame(rows, "row long, text string"), pieces), pieces).collect()}
