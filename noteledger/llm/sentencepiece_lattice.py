@@ -37,8 +37,8 @@ in the model's table of pairs) the one of highest score, from the left.
 Decoding looks each id's bytes up and puts them together.
 
 A null text is empty, and an empty text has no ids. Repeated rows are encoded
-alike; rows are told apart by a row number, not by doc_id, which may be null.
-An empty table gives no rows; extra columns are ignored.
+alike and stay rows of their own; doc_id may be null. Bytes that are no UTF-8 are
+read as U+FFFD. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
