@@ -1,10 +1,13 @@
 import hashlib
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from noteledger.llm import common
 from noteledger.llm import suffix_dedup as S
 from noteledger.llm.queries import QUERIES
 
@@ -85,6 +88,19 @@ def test_strings_of_two_texts(spark, monkeypatch, hot):
         assert got[i].encode() == bytes(np.frombuffer(data, np.uint8)[~gone])
 
 
+@pytest.mark.parametrize(("hot", "most"), [(3, 7), (10**6, 5)])
+def test_few_tables_are_written(spark, monkeypatch, hot, most):
+    """Every part of a written table is a file, and an executor starts processes for each."""
+    monkeypatch.setattr(S, "HOT", hot)
+    written = []
+    monkeypatch.setattr(S, "checkpoint", lambda df: written.append(df.columns) or common.checkpoint(df))
+    texts = made_texts(random.Random(5), 30, 40)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in S.repeated_bytes(docs, 40).collect()}
+    assert [got[i] for i in range(len(texts))] == brute([t.encode() for t in texts], 40)
+    assert len(written) <= most
+
+
 def test_what_a_text_repeats_within_itself_stays(spark):
     rng = random.Random(8)
     line = " ".join(str(rng.randint(0, 999)) for _ in range(40))
@@ -105,6 +121,23 @@ def test_hot_groups_are_split(spark, monkeypatch):
     assert [got[i] for i in range(30)] == brute([t.encode() for t in texts], 40)
 
 
+def test_windows_of_hot_groups_are_made_in_bounded_frames():
+    made, n = [], 3_000
+    batch = pd.DataFrame({"core": 1, "whole": range(n), "n": 1, "lo": 1, "hi": 2, "windows": 5, "lefts": [b"abcd"] * n, "rights": [b"%d" % i for i in range(n)]})
+
+    class Seen(Exception):
+        pass
+
+    def first(rows, _):
+        made.extend(rows(iter([batch])))
+        raise Seen
+
+    with pytest.raises(Seen):
+        S.count_windows(SimpleNamespace(mapInPandas=first), 40)
+    assert sum(map(len, made)) == 5 * n and max(map(len, made)) <= 5 * 256
+    assert [w for x in made for w in x["whole"]] == [w for w in range(n) for _ in range(5)]
+
+
 def test_chunks_keep_groups_whole(spark, monkeypatch):
     monkeypatch.setattr(S, "CHUNK", 5)
     texts = made_texts(random.Random(9), 30, 40)
