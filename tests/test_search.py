@@ -41,6 +41,26 @@ def test_a_dealt_out_fit_equals_the_split_one(spark):
         assert counts[fold] == ((said & truth).sum(), (said & ~truth).sum(), (~said & truth).sum())
 
 
+def test_settings_of_a_grid_are_fitted_on_their_own_rows(spark):
+    df = frame(spark, rows()).withColumn("stratum", F.element_at("y_true", 1))
+    grid = {"rounds": [4], "depth": [2], "subsample": [0.5, 1.0]}
+    whole = {r.subsample: r for r in SE.grid_search(df, "row_id", "features", "y_true", "stratum", grid, folds=2).collect()}
+    assert set(whole) == {0.5, 1.0} and all(r.folds == 2 and 0 < r.f1_micro_mean <= 1 for r in whole.values())
+    for share, r in whole.items():
+        assert SE.grid_search(df, "row_id", "features", "y_true", "stratum", {**grid, "subsample": [share]}, folds=2).collect() == [r]
+
+
+def test_held_rows_are_fitted_as_rows_read(spark):
+    df = frame(spark, rows(60))
+    x = np.array([r[1] for r in rows(60)])
+    edges = B.bin_edges(df, "features", x.shape[1])
+    got = B.fit_frame(df.withColumn("fold", (F.col("row_id") % 3).cast("int")), "row_id", "features", "y_true", edges, "fold").coalesce(1).toArrow()
+    task = B.Task(1, B.Settings(rounds=5, depth=3, subsample=0.7), 2)
+    read = B.Block(iter(got.to_batches()), [task])
+    held = B.Block.of(read.bins, read.labels, read.fold, read.pick)
+    assert SE.fit_one(held, task, edges, [2, 5]) == SE.fit_one(read, task, edges, [2, 5])
+
+
 def hill(asked):
     """Best at rate 0.05, depth 5 and min_child_weight 2."""
     return [1 / (1 + 40 * abs(np.log(s["rate"] / 0.05)) + abs(s["depth"] - 5) + 0.5 * abs(s["min_child_weight"] - 2) + 2 * abs(s["subsample"] - 0.8)) for s in asked]
