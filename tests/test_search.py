@@ -99,3 +99,19 @@ def test_boosted_search_keeps_its_trials(spark, tmp_path):
     again = SE.boosted_search(df, "row_id", "features", "y_true", "is_val", space, trials=6, batch=2, runs_path=path).collect()
     assert {r.trial: r.f1_micro for r in first}.items() <= {r.trial: r.f1_micro for r in again}.items()
     assert H.read_runs(spark, path).where("key = 'f1_micro'").count() == 6
+
+
+def test_boosted_search_goes_on_with_proposals(spark):
+    df = frame(spark, rows(80)).withColumn("is_val", F.col("row_id") % 4 == 0)
+    space = {"rounds": ("int", 1, 3), "depth": ("int", 1, 2), "subsample": ("float", 0.6, 1.0)}
+    found = SE.boosted_search(df, "row_id", "features", "y_true", "is_val", space, trials=12, batch=6).collect()
+    assert sorted(r.trial for r in found) == list(range(12)) and all(0 < r.f1_micro <= 1 for r in found)
+    by = sorted(found, key=lambda r: r.trial)
+    history = [({k: r[k] for k in space}, r.f1_micro) for r in by[:6]]
+    # the second batch has two trials after the ten random ones
+    assert [{k: r[k] for k in space} for r in by[:10]] == [SE.propose([], space, np.random.default_rng([42, i])) for i in range(10)]
+    mean = float(np.mean([v for _, v in history]))
+    for i in (10, 11):
+        asked = history + [({k: r[k] for k in space}, mean) for r in by[6:i]]
+        settings = SE.propose(asked, space, np.random.default_rng([42, i]))
+        assert settings["rounds"] == by[i].rounds and settings["depth"] == by[i].depth and abs(settings["subsample"] - by[i].subsample) < 1e-9
