@@ -115,3 +115,12 @@ def test_boosted_search_goes_on_with_proposals(spark):
         asked = history + [({k: r[k] for k in space}, mean) for r in by[6:i]]
         settings = SE.propose(asked, space, np.random.default_rng([42, i]))
         assert settings["rounds"] == by[i].rounds and settings["depth"] == by[i].depth and abs(settings["subsample"] - by[i].subsample) < 1e-9
+
+
+def test_a_batch_of_all_trials_is_independent_draws(spark):
+    df = frame(spark, rows(80)).withColumn("is_val", F.col("row_id") % 4 == 0)
+    space = {"rounds": ("int", 1, 3), "depth": ("int", 1, 2), "subsample": ("float", 0.6, 1.0)}
+    found = SE.boosted_search(df, "row_id", "features", "y_true", "is_val", space, trials=5, batch=5).collect()
+    drawn = [s for s, _ in SE.random_search(lambda asked: [0.0] * len(asked), space, trials=5)]
+    assert [{k: r[k] for k in space} for r in sorted(found, key=lambda r: r.trial)] == drawn
+    assert [r.f1_micro for r in found] == sorted((r.f1_micro for r in found), reverse=True) and found[-1].f1_micro > 0
